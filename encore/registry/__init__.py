@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("warehouse", "analysis")
+MODULES = ("warehouse", "analysis", "quality")
 
 
 def gather(attribute: str) -> dict:

@@ -54,6 +54,8 @@ def compare(spark, con, query, sql, folder):
     bad = [(a, b) for a, b in zip(left[1], right[1]) if a != b]
     if bad:
         return f"{len(bad)} of {len(left[1])} rows differ, e.g.\n   {bad[0][0]}\n   {bad[0][1]}"
+    if not left[1]:
+        print("   (no rows)")
     return ""
 
 
