@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("warehouse", "analysis", "quality")
+MODULES = ("warehouse", "analysis", "quality", "cleaning")
 
 
 def gather(attribute: str) -> dict:

@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 STATUS = {"F": "completed", "O": "scheduled", "P": "postponed"}
+VENUE_TEXTS = ("Sports ARENA", "Amphitheatre ", "dance club", "Old Theater", "Town Hall", "Warehouse", "arena")
+STATUS_TEXTS = ("Confirmed ", "finished", "canceled", "rescheduled", "sold out", "SCHEDULED", "completed")
+TIER_TEXTS = ("General", "VIP", "balcony", "standing", "early_bird", "premium")
+PAY_TEXTS = ("credit_card", "PayPal", "cheque", "cash", "", "other", "apple_pay")
 STRENGTH = {"purchase": 1.0, "click": 0.5, "view": 0.2}
 
 
@@ -152,3 +156,105 @@ class Stage:
             F.col("o_totalprice").alias("actual"),
             "predicted", "challenger", "lines",
         )
+
+    # Raw, dirty forms for the cleaning and validation jobs.
+
+    def raw_artists(self) -> DataFrame:
+        """Parts as artists with padded names, mixed genre separators, wild scores and broken dates."""
+        key = F.col("p_partkey")
+        name = F.when(key % 37 == 0, "").when(key % 7 == 0, F.concat(F.lit(" "), "p_name", F.lit("!* "))).otherwise(
+            F.initcap("p_name")
+        )
+        return self.table("part").select(
+            F.when(key % 41 == 0, F.lit(None)).otherwise(F.concat(F.lit("art_"), key.cast("string"))).alias("artist_id"),
+            name.alias("name"),
+            F.when(key % 5 == 0, F.concat_ws(" / ", "p_type", "p_brand")).when(key % 5 == 1, F.concat_ws("; ,", "p_type", "p_brand"))
+            .when(key % 5 == 2, F.lit(None)).otherwise(F.concat_ws("|", "p_brand", "p_type")).alias("genre"),
+            F.when(key % 11 == 0, F.lit(None)).otherwise(F.col("p_size") * 3.0 - 20).alias("popularity_score"),
+            F.when(key % 13 == 0, "unknown").otherwise(
+                F.concat((1950 + key % 50).cast("string"), F.lit("-0"), (1 + key % 9).cast("string"), F.lit("-15"))
+            ).alias("formation_date"),
+            F.array(F.concat(F.lit(" "), "p_brand"), F.col("p_type")).alias("members"),
+        )
+
+    def raw_venues(self) -> DataFrame:
+        """Customers as venues with a nested location and free-text types."""
+        key, nation = F.col("c_custkey"), F.col("c_nationkey")
+        words = F.array(*[F.lit(w) for w in VENUE_TEXTS])
+        location = F.struct(
+            F.when(key % 23 == 0, "").otherwise(F.concat(F.lit(" City. "), nation.cast("string"))).alias("city"),
+            F.concat(F.lit(" s"), (key % 50).cast("string"), F.lit(" ")).alias("state"),
+            F.when(key % 29 == 0, "x").otherwise("usa").alias("country"),
+            (nation * 9.0 - 100).alias("latitude"),
+            F.when(key % 17 == 0, F.lit(None)).otherwise(((key % 500) - 250).cast("double")).alias("longitude"),
+        )
+        return self.table("customer").select(
+            F.concat(F.lit("ven_"), key.cast("string")).alias("venue_id"),
+            F.when(key % 31 == 0, "  ").otherwise(F.concat(F.lit("The "), F.col("c_name"), F.lit(" Inc."))).alias("name"),
+            location.alias("location"),
+            F.floor(F.col("c_acctbal") * 25).cast("int").alias("capacity"),
+            F.element_at(words, (key % len(VENUE_TEXTS) + 1).cast("int")).alias("venue_type"),
+            F.array(F.lit(" Parking "), F.col("c_mktsegment")).alias("amenities"),
+        )
+
+    def raw_concerts(self) -> DataFrame:
+        """Orders as concerts with text dates and status synonyms."""
+        key = F.col("o_orderkey")
+        year = (F.year("o_orderdate") - F.when(key % 53 == 0, 70).otherwise(0)).cast("string")
+        text = F.concat(year, F.date_format("o_orderdate", "-MM-dd HH:mm:ss"))
+        words = F.array(*[F.lit(w) for w in STATUS_TEXTS])
+        return self.table("orders").select(
+            F.concat(F.lit("con_"), key.cast("string")).alias("concert_id"),
+            F.when(key % 9 == 0, "").when(key % 10 == 0, F.lit(None)).otherwise(
+                F.concat(F.lit("art_"), (key % 200).cast("string"))
+            ).alias("artist_id"),
+            F.concat(F.lit("ven_"), F.col("o_custkey").cast("string")).alias("venue_id"),
+            F.when(key % 47 == 0, "soon").otherwise(text).alias("event_date"),
+            F.create_map(F.lit("general"), F.col("o_totalprice") / 45, F.lit("vip"), F.col("o_totalprice") / 30 - 50)
+            .alias("ticket_prices"),
+            F.floor(F.col("o_totalprice") * 1.2 - 40000).cast("int").alias("total_attendance"),
+            (F.col("o_totalprice") * 250 - 10000000).alias("revenue"),
+            F.element_at(words, (key % len(STATUS_TEXTS) + 1).cast("int")).alias("status"),
+        )
+
+    def raw_sales(self) -> DataFrame:
+        """Line items as sale records in the validated form."""
+        tiers = F.array(*[F.lit(w) for w in TIER_TEXTS])
+        pays = F.array(*[F.lit(w) for w in PAY_TEXTS])
+        line = F.col("l_linenumber")
+        return self.table("lineitem").select(
+            F.concat_ws("-", F.col("l_orderkey"), line).alias("sale_id"),
+            F.col("l_orderkey").cast("string").alias("concert_id"),
+            F.when(F.col("l_suppkey") % 19 == 0, F.lit(None)).otherwise(F.col("l_suppkey").cast("string")).alias("customer_id"),
+            F.element_at(tiers, (F.col("l_partkey") % len(TIER_TEXTS) + 1).cast("int")).alias("ticket_tier"),
+            F.col("l_quantity").cast("int").alias("quantity"),
+            (F.col("l_extendedprice") / F.col("l_quantity") / 10).alias("unit_price"),
+            (F.col("l_extendedprice") / 10 + F.when(line == 3, 0.05).otherwise(0.0)).alias("total_price"),
+            F.col("l_shipdate").alias("purchase_timestamp"),
+            F.element_at(pays, line).alias("payment_method"),
+        )
+
+    def landed_artists(self) -> DataFrame:
+        """External artist rows for every second supplier, fetched up to two hours before the run."""
+        key = F.col("s_suppkey")
+        fetched = F.to_timestamp_ntz(F.lit("2024-01-31 12:00:00")) - F.make_dt_interval(mins=((key % 5) * 30).cast("int"))
+        return self.table("supplier").filter(key % 2 == 0).select(
+            key.alias("artist_id"),
+            F.concat(F.lit("ext "), "s_name").alias("name"),
+            F.array(F.concat(F.lit("genre"), (key % 3).cast("string"))).alias("genre"),
+            (F.abs("s_acctbal") / 110).alias("popularity_score"),
+            fetched.alias("fetched_at"),
+        )
+
+    def landed_venues(self) -> DataFrame:
+        key = F.col("c_custkey")
+        fetched = F.to_timestamp_ntz(F.lit("2024-01-31 12:00:00")) - F.make_dt_interval(mins=((key % 4) * 25).cast("int"))
+        return self.table("customer").filter(key % 3 == 0).select(
+            key.alias("venue_id"),
+            F.concat(F.lit("ext "), "c_name").alias("name"),
+            F.concat(F.lit("City "), F.col("c_nationkey").cast("string")).alias("city"),
+            F.lit("US").alias("country"),
+            (key % 900 + 100).cast("int").alias("capacity"),
+            F.lit("club").alias("venue_type"),
+            fetched.alias("fetched_at"),
+        )
