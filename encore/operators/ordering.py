@@ -46,6 +46,25 @@ def global_position(df: DataFrame, order: Sequence[Column], name: str = "positio
     )
 
 
+def position_within(df: DataFrame, group: Sequence[str], order: Sequence[Column], name: str = "position") -> DataFrame:
+    """Add the 1-based position within the group, however large a group is.
+
+    One global order with the group in front numbers all rows; each group's first position is then
+    subtracted. ``_size`` holds the size of the group.
+    """
+    placed = global_position(df, [*[F.col(g).asc_nulls_first() for g in group], *order], "_place")
+    sizes = placed.groupBy(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)]).agg(
+        F.count(F.lit(1)).alias("_size"), (F.min("_place") - 1).alias("_before")
+    )
+    same = None
+    for i, g in enumerate(group):
+        one = F.col(g).eqNullSafe(F.col(f"_g{i}"))
+        same = one if same is None else same & one
+    return placed.join(sizes, same).withColumn(name, F.col("_place") - F.col("_before")).drop(
+        "_place", "_before", *[f"_g{i}" for i in range(len(group))]
+    )
+
+
 def dense_rank_by(df: DataFrame, value: str, name: str = "rank", descending: bool = True) -> DataFrame:
     """Dense rank of ``value`` over the whole relation: rank the distinct values, then join them back."""
     key = F.col(value).desc() if descending else F.col(value).asc()
