@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("warehouse", "analysis", "quality", "cleaning", "models", "recommend", "training")
+MODULES = ("warehouse", "analysis", "quality", "cleaning", "models", "recommend", "training", "records", "streams")
 
 
 def gather(attribute: str) -> dict:

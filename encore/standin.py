@@ -13,6 +13,19 @@ VENUE_TEXTS = ("Sports ARENA", "Amphitheatre ", "dance club", "Old Theater", "To
 STATUS_TEXTS = ("Confirmed ", "finished", "canceled", "rescheduled", "sold out", "SCHEDULED", "completed")
 TIER_TEXTS = ("General", "VIP", "balcony", "standing", "early_bird", "premium")
 PAY_TEXTS = ("credit_card", "PayPal", "cheque", "cash", "", "other", "apple_pay")
+QUESTIONS = (
+    "what is the total revenue of jazz concerts?",
+    "how many seats were sold in Boston?",
+    "show the top 5 rock bands",
+    'tell me about "Sun Rays"',
+    'which venue is "Old Hall", near New York or San Diego?',
+    "any upcoming gig in miami for 250 people?",
+    "list 20 concerts with pop and hip hop",
+    "thanks",
+    "suggest something, please",
+    "please forecast attendance and analyze it",
+    "what is the pricing in Denver",
+)
 STRENGTH = {"purchase": 1.0, "click": 0.5, "view": 0.2}
 
 
@@ -258,3 +271,40 @@ class Stage:
             F.lit("club").alias("venue_type"),
             fetched.alias("fetched_at"),
         )
+
+    # Governance tables and questions.
+
+    def lineage(self) -> DataFrame:
+        """Regions feed nations, nations feed customers: one edge per row of either table."""
+        up = self.table("nation").select(
+            F.concat(F.lit("region/"), F.col("n_regionkey").cast("string")).alias("source"),
+            F.concat(F.lit("nation/"), F.col("n_nationkey").cast("string")).alias("target"),
+            F.lit("split").alias("transformation"),
+        )
+        down = self.table("customer").select(
+            F.concat(F.lit("nation/"), F.col("c_nationkey").cast("string")).alias("source"),
+            F.concat(F.lit("customer/"), F.col("c_custkey").cast("string")).alias("target"),
+            F.lower("c_mktsegment").alias("transformation"),
+        )
+        return up.unionByName(down)
+
+    def audits(self) -> DataFrame:
+        return self.table("events").select(
+            F.col("event_id").alias("audit_id"),
+            F.concat(F.lit("user/"), F.col("user_id").cast("string")).alias("user"),
+            F.concat(F.lit("nation/"), F.get_json_object("props", "$.k")).alias("resource"),
+            F.col("event_type").alias("action"),
+            F.col("ts").alias("timestamp"),
+        )
+
+    def permissions(self) -> DataFrame:
+        return self.table("supplier").select(
+            F.concat(F.lit("nation/"), F.col("s_nationkey").cast("string")).alias("resource"),
+            F.col("s_name").alias("principal"),
+        )
+
+    def questions(self) -> DataFrame:
+        """Messages with a question behind their text, by a fixed rule."""
+        asked = F.array(*[F.lit(q) for q in QUESTIONS])
+        pick = ((F.col("session_id") + F.col("turn")) % len(QUESTIONS) + 1).cast("int")
+        return self.messages().withColumn("content", F.concat_ws(" ", "content", F.element_at(asked, pick)))
