@@ -59,23 +59,24 @@ def parse(raw: DataFrame, value: str = "value") -> DataFrame:
     Accepted layouts: the bare envelope, an envelope wrapped as {timestamp, data}, and a flat record
     that carries its own source, data_type and ingestion_timestamp beside its fields.
     """
-    outer = F.from_json(F.col(value).cast("string"), WIRE)
-    staged = raw.withColumn("_outer", outer)
-    inner_text = F.coalesce("_outer.data", F.col(value).cast("string"))
-    staged = staged.withColumn("_text", inner_text).withColumn("_inner", F.from_json("_text", WIRE))
-    flat = F.col("_inner.payload").isNull() & F.col("_inner.data_type").isNotNull()
-    fields = {
-        "record_id": F.col("_inner.record_id"),
-        "source": F.col("_inner.source"),
-        "data_type": F.col("_inner.data_type"),
-        "ingestion_timestamp": F.col("_inner.ingestion_timestamp"),
-        "payload": F.when(flat, F.col("_text")).otherwise(F.col("_inner.payload")),
-    }
-    out = staged.withColumns(fields)
+    def opened(df: DataFrame, text: Column, prefix: str) -> DataFrame:
+        # a generator computes the fields once per row; a later filter cannot copy the parsing into itself
+        names = [f"{prefix}{field.split()[0]}" for field in WIRE.split(", ")]
+        return df.select("*", F.inline(F.array(F.from_json(text, WIRE))).alias(*names))
+
+    text = F.col(value).cast("string")
+    outer = opened(raw, text, "_outer_").withColumn("_text", F.coalesce("_outer_data", text))
+    inner = opened(outer, F.col("_text"), "_inner_")
+    flat = F.col("_inner_payload").isNull() & F.col("_inner_data_type").isNotNull()
+    out = inner.select(
+        *raw.columns,
+        *[F.col(f"_inner_{f}").alias(f) for f in ("record_id", "source", "data_type", "ingestion_timestamp")],
+        F.when(flat, F.col("_text")).otherwise(F.col("_inner_payload")).alias("payload"),
+    )
     missing = [F.when(F.col(f).isNull(), F.lit(f"missing {f}")) for f in REQUIRED]
     unreadable = F.when(F.coalesce(*[F.col(f) for f in REQUIRED]).isNull(), "not a record")
     unknown = F.when(~F.col("data_type").isin(*ROUTES), "unknown data type")
-    return out.withColumn("problem", F.coalesce(unreadable, *missing, unknown)).drop("_outer", "_inner", "_text")
+    return out.withColumn("problem", F.coalesce(unreadable, *missing, unknown))
 
 
 def decode(raw: DataFrame, column: str = "data") -> DataFrame:
@@ -85,7 +86,7 @@ def decode(raw: DataFrame, column: str = "data") -> DataFrame:
 
 def _opened(records: DataFrame) -> DataFrame:
     """The payload as a map of texts, parsed once; nested values stay JSON text."""
-    return records.withColumn("_p", F.from_json("payload", "map<string,string>")).withColumn(
+    return records.select("*", F.explode(F.array(F.from_json("payload", "map<string,string>"))).alias("_p")).withColumn(
         "_place", F.from_json(F.col("_p")["location"], "map<string,string>")
     )
 
