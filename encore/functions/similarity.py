@@ -28,7 +28,8 @@ def distance_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colum
     """Great-circle distance; null if a coordinate is null."""
     half_lat, half_lon = F.radians(lat2 - lat1) / 2, F.radians(lon2 - lon1) / 2
     h = F.sin(half_lat) ** 2 + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.sin(half_lon) ** 2
-    return F.asin(F.sqrt(F.least(h, F.lit(1.0)))) * (2 * EARTH_RADIUS_KM)
+    # ``least`` would skip a null
+    return F.asin(F.sqrt(F.when(h > 1, 1.0).otherwise(h))) * (2 * EARTH_RADIUS_KM)
 
 
 def capacity_similarity(a: Column, b: Column) -> Column:

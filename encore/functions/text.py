@@ -37,13 +37,19 @@ def ratio(a: str, b: str) -> int:
 
 
 def partial_ratio(a: str, b: str) -> int:
-    """Best ratio of the shorter text with any stretch of the longer one of the same length."""
+    """Best ratio of the shorter text with any stretch of the longer one of the same length.
+
+    Of two texts of equal length either may be the longer one, so the order does not matter.
+    """
     short, long = (a, b) if len(a) <= len(b) else (b, a)
     if not short:
         return 0
     if short in long:
         return 100
-    return max(ratio(short, long[i:i + len(short)]) for i in range(len(long)))
+    best = max(ratio(short, long[i:i + len(short)]) for i in range(len(long)))
+    if len(a) == len(b):
+        best = max(best, *(ratio(long, short[i:]) for i in range(len(short))))
+    return best
 
 
 def token_ratio(a: str, b: str) -> int:

@@ -169,6 +169,8 @@ def find_duplicates(
         F.col(id_column).alias("_id"),
         *[F.coalesce(match_key(F.col(c)), F.lit("")).alias(k) for c, k in zip(columns, names)],
     )
+    # a row without any text matches nothing, its likes included
+    rows = rows.filter(F.concat(*[F.col(k) for k in names]) != "")
     # rows with the same keys behave alike: they form one node, led by their smallest id
     nodes = global_position(rows.groupBy(*names).agg(F.min("_id").alias("lead")), [F.col("lead")], "place")
     settled = _settle(nodes, names, threshold, first_chunk)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("warehouse", "analysis", "quality", "cleaning", "models", "recommend", "training", "records", "streams")
+MODULES = (
+    "warehouse", "analysis", "quality", "cleaning", "models", "recommend", "training", "records", "streams", "inputs",
+)
 
 
 def gather(attribute: str) -> dict:
