@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from encore.session import cut_lineage
+
 HOT_DEGREE = 10_000
 HOT_COLUMNS = 5
 
@@ -49,7 +51,9 @@ def cosine_neighbours(
     """
     cells = matrix.select(F.col(row).alias("r"), F.col(column).alias("c"), F.col("strength").alias("w")).filter("w <> 0")
     norms = cells.groupBy("r").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    unit = cells.join(norms, "r").select("r", "c", (F.col("w") / F.col("norm")).alias("u"))
+    # every later step reads these cells, so the interactions behind them are scanned once
+    cells = cut_lineage(cells.join(norms, "r"))
+    unit = cells.select("r", "c", (F.col("w") / F.col("norm")).alias("u"))
     # at most ``hot_columns`` rows reach the driver
     hot = [
         x["c"] for x in cells.groupBy("c").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_degree)
@@ -58,7 +62,7 @@ def cosine_neighbours(
     cold = unit.filter(~F.col("c").isin(hot)) if hot else unit
     scored = _shared_columns(cold, queries)
     if hot:
-        scored = _with_hot_columns(scored, cells, norms, hot, k, queries)
+        scored = _with_hot_columns(scored, cells, hot, k, queries)
     # rounded, so that the order does not hang on the summation order of doubles
     best = scored.withColumn("similarity", F.round("similarity", 9)).filter(F.col("similarity") >= min_similarity)
     order = Window.partitionBy("id1").orderBy(F.desc("similarity"), "id2")
@@ -74,15 +78,19 @@ def _shared_columns(unit: DataFrame, queries: DataFrame | None) -> DataFrame:
         left = left.join(asked, "id1", "left_semi")
         return left.join(right, "c").filter(F.col("id1") != F.col("id2")).groupBy("id1", "id2").agg(product)
     half = left.join(right, "c").filter(F.col("id1") < F.col("id2")).groupBy("id1", "id2").agg(product)
-    return half.unionByName(half.select(F.col("id2").alias("id1"), F.col("id1").alias("id2"), "similarity"))
+    there = F.struct("id1", "id2", "similarity")
+    back = F.struct(F.col("id2").alias("id1"), F.col("id1").alias("id2"), "similarity")
+    return half.select(F.inline(F.array(there, back)))
 
 
 def _with_hot_columns(
-    cold: DataFrame, cells: DataFrame, norms: DataFrame, hot: list, k: int, queries: DataFrame | None
+    cold: DataFrame, cells: DataFrame, hot: list, k: int, queries: DataFrame | None
 ) -> DataFrame:
     """Add the hot part to the pairs found, and the best partners that share hot columns only."""
     strengths = F.array(*[F.coalesce(F.max(F.when(F.col("c") == h, F.col("w"))), F.lit(0.0)) for h in hot])
-    profiles = cells.filter(F.col("c").isin(hot)).groupBy("r").agg(strengths.alias("p")).join(norms, "r")
+    profiles = cells.filter(F.col("c").isin(hot)).groupBy("r").agg(
+        strengths.alias("p"), F.first("norm").alias("norm")
+    )
 
     def product(a: str, b: str):
         return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)

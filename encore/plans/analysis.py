@@ -194,3 +194,8 @@ def revenue_attendance_points(concerts: DataFrame) -> DataFrame:
 def matrix(df: DataFrame, row: str, column: str, measure, column_values: Sequence) -> DataFrame:
     """Row by column matrix; the column values are given, so no extra pass collects them."""
     return df.groupBy(row).pivot(column, list(column_values)).agg(measure)
+
+
+def random_rows(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
+    """n random rows; only each task's n smallest draws reach the last step."""
+    return df.withColumn("_draw", F.rand(seed)).orderBy("_draw").limit(n).drop("_draw")

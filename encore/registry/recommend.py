@@ -8,23 +8,20 @@ from encore.operators import neighbours as nb
 from encore.operators import recommend as rc
 from encore.registry.analysis import stage
 from encore.registry.sqlviews import rd, using
+from encore.session import cut_lineage
 
 
 def _matrix(s):
     return nb.interaction_matrix(s.raw_interactions())
 
 
-def _liked(s, entity):
+def _liked(s, entity, matrix=None):
     """Artists or venues of the concerts a user bought."""
-    bought = _matrix(s).filter("strength = 1.0").select("user_id", "concert_id")
+    bought = (matrix or _matrix(s)).filter("strength = 1.0").select("user_id", "concert_id")
     return bought.join(s.concerts().select("concert_id", entity), "concert_id").filter(
         F.col(entity).isNotNull()).select("user_id", entity).distinct()
 
 
-def _known(s):
-    return _matrix(s).select("user_id", "concert_id")
-
-
 def _similar(find, entity, table):
     def build(s):
         entities = s.artists(genre=True) if table == "artists" else s.venues()
@@ -34,10 +31,11 @@ def _similar(find, entity, table):
 
 def _strategy(name):
     def build(s):
-        users = _matrix(s).select("user_id").distinct()
+        matrix = cut_lineage(_matrix(s))
+        liked = {e: cut_lineage(_liked(s, e, matrix)) for e in ("artist_id", "venue_id")}
         return rc.recommend(
-            name, users, _matrix(s), s.artists(genre=True), s.venues(), s.concerts(), _liked(s, "artist_id"),
-            _liked(s, "venue_id"), _known(s))
+            name, matrix.select("user_id").distinct(), matrix, s.artists(genre=True), s.venues(), s.concerts(),
+            liked["artist_id"], liked["venue_id"], matrix.select("user_id", "concert_id"))
     return build
 
 
