@@ -148,13 +148,6 @@ def _scored(pairs: DataFrame, threshold: float) -> DataFrame:
     return pairs.withColumn("score", fuzzy_similarity("a", "b")).filter(F.col("score") >= threshold)
 
 
-def all_matches(keys: DataFrame, threshold: float) -> DataFrame:
-    """Matches of all pairs of a small table, to test the search against."""
-    keys = keys.select("key").filter(F.col("key") != "").distinct()
-    other = keys.select(F.col("key").alias("b"))
-    return _scored(keys.select(F.col("key").alias("a")).join(other, F.col("a") < F.col("b")), threshold)
-
-
 def find_duplicates(
     df: DataFrame, match_columns: Sequence[str], id_column: str, threshold: float, first_chunk: int = FIRST_CHUNK
 ) -> DataFrame:
