@@ -207,6 +207,27 @@ def concerts_by_preference(
     )
 
 
+def with_reasons(found: DataFrame, concerts: DataFrame, entities: DataFrame, entity: str) -> DataFrame:
+    """Add the reason of a content match and the artist and venue of the concert."""
+    if entity == "artist_id":
+        reason = F.concat(
+            F.lit("Similar to your preferred artists (genre: "), F.array_join(F.slice("genre", 1, 2), ", "), F.lit(")")
+        )
+        bare = "Artist match"
+    else:
+        reason = F.concat(F.lit("Similar venue ("), F.col("venue_type"), F.lit(", "), F.col("city"), F.lit(")"))
+        bare = "Venue match"
+    about = concerts.select(F.col("concert_id").alias("item_id"), "artist_id", "venue_id")
+    metadata = F.create_map(
+        F.lit("artist_id"), F.col("artist_id").cast("string"), F.lit("venue_id"), F.col("venue_id").cast("string")
+    )
+    return (
+        found.join(about, "item_id")
+        .join(entities.select(entity, reason.alias("reasoning")), entity, "left")
+        .select(*found.columns, F.coalesce("reasoning", F.lit(bare)).alias("reasoning"), metadata.alias("metadata"))
+    )
+
+
 def content_hybrid(by_artist: DataFrame, by_venue: DataFrame, k: int = 10) -> DataFrame:
     """0.6 artist + 0.4 venue over the two lists (made with 2k each), with the better confidence."""
     both = by_artist.withColumn("score", F.col("score") * 0.6).unionByName(

@@ -39,6 +39,18 @@ def _strategy(name):
     return build
 
 
+def _reasons(entity, table):
+    """The concerts of every user's preferred entities with their reasons, best three per user."""
+    def build(s):
+        entities = s.artists(genre=True) if table == "artists" else s.venues()
+        liked = cut_lineage(_liked(s, entity))
+        similar = (rc.similar_artists if table == "artists" else rc.similar_venues)(entities, liked.select(entity), 20)
+        found = rc.concerts_by_preference(liked, similar, s.concerts(), entity, 3)
+        return rc.with_reasons(found, s.concerts(), entities, entity).select(
+            "user_id", "item_id", "rank", "reasoning", F.col("metadata")["venue_id"].alias("venue_id"))
+    return build
+
+
 def _artists(s):
     return rc.recommend_artists(_liked(s, "artist_id"), s.artists(genre=True)).select(
         "user_id", "item_id", "rank", "score", "confidence", "reasoning", F.col("metadata")["genres"].alias("genres"))
@@ -60,6 +72,8 @@ QUERIES = {
     "m08_similar_venues": stage(_similar(rc.similar_venues, "venue_id", "venues")),
     "m09_concerts_by_artist": stage(_strategy("content_artist")),
     "m10_concerts_by_venue": stage(_strategy("content_venue")),
+    "m09_artist_reasons": stage(_reasons("artist_id", "artists")),
+    "m10_venue_reasons": stage(_reasons("venue_id", "venues")),
     "m11_content_hybrid": stage(_strategy("content_hybrid")),
     "m12_hybrid_all": stage(_strategy("hybrid_all")),
     "m13_recommend_artists": stage(_artists),
@@ -127,7 +141,7 @@ def _similar_sql(entity, table, pair, k=20):
     WHERE similarity >= 0.3 QUALIFY rank <= {k}"""
 
 
-def _preferred(entity, table, pair, k, cut=True):
+def _preferred(entity, table, pair, k, known=True):
     source = f"""
     SELECT s.user_id, c.concert_id AS item_id, s.score, least(l.n / 5.0::DOUBLE, 1) AS confidence
     FROM (SELECT user_id, {entity}, max(score) AS score FROM (
@@ -136,8 +150,8 @@ def _preferred(entity, table, pair, k, cut=True):
               UNION ALL SELECT user_id, {entity}, 1.0::DOUBLE FROM ({_liked_sql(entity)})) GROUP BY 1, 2) s
     JOIN concerts c ON c.{entity} = s.{entity}
     JOIN (SELECT user_id, count(*) AS n FROM ({_liked_sql(entity)}) GROUP BY 1) l ON l.user_id = s.user_id
-    WHERE NOT EXISTS (SELECT 1 FROM interactions x WHERE x.user_id = s.user_id AND x.concert_id = c.concert_id)"""
-    return _best(source, k) if cut else source
+    {"WHERE NOT EXISTS (SELECT 1 FROM interactions x WHERE x.user_id = s.user_id AND x.concert_id = c.concert_id)" if known else ""}"""
+    return _best(source, k)
 
 
 def _by_artist(k):
@@ -171,6 +185,12 @@ def _entities(entity, table, pair, reason, extra):
         {reason} AS reasoning, {extra} FROM ({_best(source, 10)}) r JOIN {table} e ON e.{entity} = r.item_id"""
 
 
+def _reason_sql(entity, table, pair, reason):
+    return f"""SELECT r.user_id, r.item_id, r.rank, {reason} AS reasoning, CAST(c.venue_id AS VARCHAR) AS venue_id
+        FROM ({_preferred(entity, table, pair, 3, known=False)}) r JOIN concerts c ON c.concert_id = r.item_id
+        JOIN {table} e ON e.{entity} = c.{entity}"""
+
+
 _STATS = """SELECT count(DISTINCT user_id) AS total_users, count(DISTINCT concert_id) AS total_items,
     count(*) AS total_interactions FROM interactions"""
 _STAT_COLUMNS = f"""total_users, total_items, total_interactions,
@@ -196,6 +216,11 @@ ORACLE = {
         SELECT id1, id2, {rd('similarity')} AS similarity, rank FROM ({_similar_sql('venue_id', 'venues', _VENUE_PAIR)})"""),
     "m09_concerts_by_artist": using(_FULL, _out(_by_artist(10), "content_artist")),
     "m10_concerts_by_venue": using(_FULL, _out(_by_venue(10), "content_venue")),
+    "m09_artist_reasons": using(_FULL, _reason_sql(
+        "artist_id", "artists", _ARTIST_PAIR,
+        "'Similar to your preferred artists (genre: ' || array_to_string(e.genre[1:2], ', ') || ')'")),
+    "m10_venue_reasons": using(_FULL, _reason_sql(
+        "venue_id", "venues", _VENUE_PAIR, "'Similar venue (' || e.venue_type || ', ' || e.city || ')'")),
     "m11_content_hybrid": using(_FULL, _out(_content(10), "content_hybrid")),
     "m12_hybrid_all": using(_FULL, _out(_ALL, "hybrid_all")),
     "m13_recommend_artists": using(_FULL, _entities(
