@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from encore.functions.times import days_before
 from encore.schemas import PARTITIONS, REQUIRED, TABLES
 
 MAX_ERRORS = 100
@@ -34,6 +35,16 @@ def drop_tables(spark: SparkSession, database: str) -> None:
         spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
 
 
+def drop_old_partitions(spark: SparkSession, table: str, column: str, as_of: str, days: int = 30) -> int:
+    """Drop the dates of a snapshot table older than ``days``; the listing holds one row per date."""
+    cutoff = days_before(as_of, days).isoformat()
+    dates = [r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    old = [d for d in dates if d < cutoff]
+    for date in old:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column} = '{date}')")
+    return len(old)
+
+
 def column_listing(spark: SparkSession, database: str, table: str) -> DataFrame:
     """(column_name, data_type, nullable, is_partition) of a table."""
     rows = [(c.name, c.dataType, c.nullable, c.isPartition) for c in spark.catalog.listColumns(f"{database}.{table}")]

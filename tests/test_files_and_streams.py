@@ -6,7 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from encore.operators import governance
+from encore.operators import enrich, governance
 from encore.plans import jobs, warehouse as plans
 from encore.schemas import RECORDS, TABLES
 from encore.sources import files, warehouse as wh
@@ -113,6 +113,26 @@ def test_tables(spark, tmp_path):
     assert not spark.catalog.tableExists("stage_dw.artists")
 
 
+def test_old_partitions_are_dropped(spark, tmp_path):
+    wh.create_tables(spark, "keep_dw", str(tmp_path / "dw"))
+    for day in ("2024-01-01", "2024-05-30"):
+        spark.sql(f"INSERT INTO keep_dw.venue_popularity PARTITION (calculated_at = '{day}') VALUES ('v', 1, 1, 1, 1, 1)")
+    assert wh.drop_old_partitions(spark, "keep_dw.venue_popularity", "calculated_at", AS_OF) == 1
+    assert [str(r["calculated_at"]) for r in spark.table("keep_dw.venue_popularity").collect()] == ["2024-05-30"]
+    wh.drop_tables(spark, "keep_dw")
+
+
+def test_enrichment_prefers_fresh_rows(spark):
+    now = dt.datetime(2024, 1, 1, 12)
+    wanted = spark.createDataFrame([("1", "One"), ("2", "Two"), ("3", "Three")], "artist_id string, name string")
+    landed = spark.createDataFrame(
+        [("1", "Uno", ["pop"], 70.0, now), ("1", "Old", ["x"], 1.0, now - dt.timedelta(minutes=5)),
+         ("2", "Dos", ["pop"], 60.0, now - dt.timedelta(minutes=59)), ("3", "Tres", ["pop"], 60.0, now - dt.timedelta(minutes=61))],
+        "artist_id string, name string, genre array<string>, popularity_score double, fetched_at timestamp_ntz")
+    found = {r["artist_id"]: (r["name"], r["popularity_score"], r["source"]) for r in enrich.enrich_artists(wanted, landed, now).collect()}
+    assert found == {"1": ("Uno", 70.0, "external"), "2": ("Dos", 60.0, "cache"), "3": ("Three", 50.0, "local_fallback")}
+
+
 def test_snapshots_replace_only_their_date(spark, tmp_path):
     day = dt.datetime(2024, 1, 5)
     concerts = spark.createDataFrame([(1, 1, 1, day, 100.0, "completed", 50)], "concert_id int, artist_id int, venue_id int, event_date timestamp_ntz, revenue double, status string, total_attendance int")
