@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm import exact, mixing, pii, quality, secrets, sharding, tokens
+from encore.llm import exact, jaccard, mixing, pii, quality, secrets, sharding, tokens
 from encore.llm.common import documents
 
 
@@ -38,6 +38,10 @@ def op7_secret_ownership(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digests(secrets.find_secrets(documents(spark, folder)))
 
 
+def op8_jaccard_tiles(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.jaccard_components(documents(spark, folder)).drop("node")
+
+
 def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -50,7 +54,7 @@ def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f for f in (
         op2_line_first_cleaning, op3_byte_balanced_shards, op4_bootstrapped_pii, op5_content_sort_dedup,
-        op6_hypergeometric_mix, op7_secret_ownership, op9_byte_bpe,
+        op6_hypergeometric_mix, op7_secret_ownership, op8_jaccard_tiles, op9_byte_bpe,
     )
 }
 ORACLE: dict[str, str] = {}

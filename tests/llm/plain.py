@@ -104,3 +104,40 @@ def awkward():
 
 
 SCHEMA = "doc_id bigint, text string, source string, shard string, kept string, size int"
+
+
+def lower(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+def shingle_set(text, k=5):
+    found = words(lower(text))
+    if not found:
+        return frozenset()
+    return frozenset(tuple(found[i:i + k]) for i in range(max(1, len(found) - k + 1)))
+
+
+def jaccard_groups(rows, percent=75):
+    """(doc_id, size of the set, smallest doc_id reachable) of rows (doc_id, text), by comparing all pairs."""
+    sets = [shingle_set(t) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    holders = {}
+    for i, s in enumerate(sets):
+        for x in s:
+            holders.setdefault(x, []).append(i)
+    for i, s in enumerate(sets):
+        for j in {j for x in s for j in holders[x] if j < i}:
+            if 100 * len(s & sets[j]) >= percent * len(s | sets[j]):
+                parent[max(root(i), root(j))] = min(root(i), root(j))
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        least.setdefault(root(i), []).append(d)
+    return [
+        (d, len(sets[i]), min((x for x in least[root(i)] if x is not None), default=None)) for i, (d, _) in enumerate(rows)
+    ]

@@ -48,7 +48,7 @@ def test_lines():
     body = " ".join(f"Line {i} says a{i}, b{i} and c{i}, all of it in order." for i in range(4))
     kept = quality.judge(body + "\nHome | About | Contact | Help | Login\n" + "Another good sentence stands here.")
     assert kept[6] and "Home" not in kept[-1] and kept[-1].endswith("here.")
-    lost = quality.judge("\n".join([body] + [f"link{i} | a | b | c | d" for i in range(9)]))
+    lost = quality.judge("\n".join([body] + [f"link{i} | a{i} | b{i} | c | d" for i in range(9)]))
     assert not lost[5] and not lost[6]
     assert quality.judge(body)[-1] == body
 
