@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm import exact, jaccard, mixing, pii, quality, secrets, sharding, tokens
+from encore.llm import exact, jaccard, mixing, pii, quality, repeats, secrets, sharding, tokens
 from encore.llm.common import documents
 
 
+def op1_sparse_suffix_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.repeated_spans(documents(spark, folder))
+
+
 def op2_line_first_cleaning(spark: SparkSession, folder: str) -> DataFrame:
     return quality.clean(documents(spark, folder)).drop("clean_text")
 
@@ -53,8 +57,8 @@ def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f for f in (
-        op2_line_first_cleaning, op3_byte_balanced_shards, op4_bootstrapped_pii, op5_content_sort_dedup,
-        op6_hypergeometric_mix, op7_secret_ownership, op8_jaccard_tiles, op9_byte_bpe,
+        op1_sparse_suffix_repeats, op2_line_first_cleaning, op3_byte_balanced_shards, op4_bootstrapped_pii,
+        op5_content_sort_dedup, op6_hypergeometric_mix, op7_secret_ownership, op8_jaccard_tiles, op9_byte_bpe,
     )
 }
 ORACLE: dict[str, str] = {}
