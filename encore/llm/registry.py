@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm import exact, jaccard, mixing, pii, quality, repeats, secrets, sharding, tokens
+from encore.llm import exact, jaccard, lm, mixing, pii, quality, repeats, secrets, sharding, tokens
 from encore.llm.common import documents
 
 
@@ -55,10 +55,19 @@ def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.digests(encoded)
 
 
+def _held_out(doc_id):
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 7 == 2
+
+
+def op10_elias_fano_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.score_corpus(documents(spark, folder), _held_out)
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_sparse_suffix_repeats, op2_line_first_cleaning, op3_byte_balanced_shards, op4_bootstrapped_pii,
         op5_content_sort_dedup, op6_hypergeometric_mix, op7_secret_ownership, op8_jaccard_tiles, op9_byte_bpe,
+        op10_elias_fano_lm,
     )
 }
 ORACLE: dict[str, str] = {}
