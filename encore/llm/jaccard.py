@@ -288,3 +288,15 @@ def jaccard_components(
         "doc_id", "n_shingles", "node",
         F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
+
+
+def one_of_each(
+    docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` whose identifier names their component, with all columns: one document of each group.
+
+    Rows of equal identifier count as one document; rows with a null identifier go only if a named one is linked.
+    """
+    found = jaccard_components(docs, words, percent, id_col, text_col)
+    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")

@@ -7,13 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from encore.session import cut_lineage
+from encore.session import cut_lineage, shuffle_partitions
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
 BLOCKS = 64  # blocks of a source
 CELLS = 1024  # cells of a block
 SHARDS = 16
+BROADCAST_ROWS = 100_000
 
 
 def draw_key(value: Column, seed: int, use: str) -> Column:
@@ -103,42 +104,20 @@ def split_tree(draws: DataFrame, shards: int = SHARDS, seed: int = 0) -> DataFra
     return nodes.select("source", "block", "pass", F.col("low").alias("shard"))
 
 
-def mix(
-    docs: DataFrame,
-    weights: Sequence[int] = WEIGHTS,
-    max_repeat: int = MAX_REPEAT,
-    shards: int = SHARDS,
-    seed: int = 0,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    source_col: str = "source",
-) -> DataFrame:
-    """One row per row of ``docs``: doc_id, source, size, source_size, target, copies, taken, shards.
+def _keyed(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
+    """``docs`` with a struct ``_mix`` of identifier, source, size, key, block and cell."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    key = draw_key(F.col(id_col), seed, "place")
+    return docs.withColumn("_mix", F.struct(
+        F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
+        F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("bigint").alias("size"),
+        key.alias("key"), (key % BLOCKS).cast("int").alias("block"),
+        (F.shiftright(key, 6) % CELLS).cast("int").alias("cell"),
+    ))
 
-    Every source is cut into 64 blocks of 1,024 cells by random bits of the identifier. Its quota is a number of
-    whole passes over all its blocks, and of one more pass the whole blocks that fit, then the cells of the next
-    block that fit, then the documents of the next cell up to the nearest one. Prefix sums run over at most 64 blocks
-    or 1,024 cells of a source and over the documents of one cell, so a source that holds most rows is summed before
-    it moves. ``copies`` is what the mix takes, ``taken`` copies times size; ``shards`` has the output shard of each
-    copy, dealt out by :func:`split_tree`. Reruns agree, as every draw depends on identifiers and the seed alone.
 
-    Size is the number of words; a null text has none. A null source is a source of its own, last in order. A null
-    identifier is drawn like an empty one; rows with equal identifiers lie in one cell and are told apart by size.
-    An empty table gives no rows, and so do all sizes zero give no copies beyond whole passes. Other columns are not
-    read.
-    """
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    bits = draw_key(F.col("doc_id"), seed, "place")
-    rows = (
-        docs.select(
-            F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-            F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("bigint").alias("size"),
-        )
-        .withColumn("key", bits)
-        .withColumn("block", (F.col("key") % BLOCKS).cast("int"))
-        .withColumn("cell", (F.shiftright("key", 6) % CELLS).cast("int"))
-    )
-    rows = cut_lineage(rows)
+def _plan(rows: DataFrame, weights, max_repeat: int, shards: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """What the mix takes: a row per block with its source's target and its shards, and a row per cell of cut blocks."""
     # one row per source from here on to the first join
     sums = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     goals = targets(sums, weights, max_repeat).withColumn(
@@ -154,7 +133,6 @@ def mix(
         _same("source", "_s") & (F.col("block") == F.col("_b")),
     ).drop("_s", "_b")
     cells = cut_lineage(_settle(in_block, cut_block, ["block"], "cell"))
-
     passes = goals.select("source", F.explode(F.sequence(F.lit(0), F.col("passes"))).alias("pass"))
     dealt = split_tree(
         passes.join(blocks.select(F.col("source").alias("_s"), "block"), _same("source", "_s")).drop("_s"), shards, seed
@@ -162,28 +140,100 @@ def mix(
     plans = dealt.groupBy("source", "block").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pass", "shard"))), lambda x: x["shard"]).alias("shards")
     )
-    # one row per block, with all that is known of its source: at most BLOCKS rows per source
     table = (
         blocks.select("source", "block", "whole")
         .join(goals.select(F.col("source").alias("_s"), "source_size", "target", "passes"), _same("source", "_s"))
         .drop("_s")
         .join(plans.select(F.col("source").alias("_s"), F.col("block").alias("_b"), "shards"),
               _same("source", "_s") & (F.col("block") == F.col("_b")))
-        .select(F.col("source").alias("_s"), F.col("block").alias("_b"), "whole", "source_size", "target", "passes", "shards")
+        .select("source", "block", "whole", "source_size", "target", "passes", "shards")
     )
-    located = rows.join(table, _same("source", "_s") & (F.col("block") == F.col("_b"))).drop("_s", "_b")
-    located = located.join(
-        cells.select(F.col("source").alias("_s"), F.col("block").alias("_b"), F.col("cell").alias("_c"),
-                     F.col("whole").alias("cell_whole"), "rest"),
-        _same("source", "_s") & (F.col("block") == F.col("_b")) & (F.col("cell") == F.col("_c")), "left",
-    ).drop("_s", "_b", "_c")
-    cut = F.coalesce(~F.col("cell_whole") & (F.col("rest") > 0), F.lit(False))
-    plain = located.where(~cut).withColumn("extra", F.col("whole") | F.coalesce("cell_whole", F.lit(False)))
-    inside = Window.partitionBy("source", "block", "cell").orderBy("key", F.col("doc_id").asc_nulls_first(), "size")
-    earlier = F.coalesce(F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    last = located.where(cut).withColumn("extra", earlier + F.col("size") / 2 <= F.col("rest"))
-    return plain.unionByName(last).withColumn("copies", F.col("passes") + F.col("extra").cast("int")).select(
-        "doc_id", "source", "size", "source_size", "target", "copies",
-        (F.col("copies") * F.col("size")).cast("bigint").alias("taken"),
-        F.slice("shards", 1, F.col("copies")).alias("shards"),
+    return cut_lineage(table), cells
+
+
+def _small(table: DataFrame) -> DataFrame:
+    """Broadcast a table that follows the number of sources if it is small, else leave the join to Spark."""
+    return F.broadcast(table) if table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else table
+
+
+def _apply(keyed: DataFrame, table: DataFrame, cells: DataFrame) -> DataFrame:
+    """Adds copies, source_size, target and shards to rows with ``_mix``."""
+    names = [*keyed.columns, "_table"]
+    in_block = F.col("_mix.source").eqNullSafe(F.col("_table.source")) & (F.col("_mix.block") == F.col("_table.block"))
+    located = keyed.join(_small(table.select(F.struct("*").alias("_table"))), in_block)
+    in_cell = (
+        F.col("_mix.source").eqNullSafe(F.col("_cell.source")) & (F.col("_mix.block") == F.col("_cell.block"))
+        & (F.col("_mix.cell") == F.col("_cell.cell"))
+    )
+    located = located.join(_small(cells.select(F.struct("*").alias("_cell"))), in_cell, "left")
+    cut = F.coalesce(~F.col("_cell.whole") & (F.col("_cell.rest") > 0), F.lit(False))
+    plain = located.where(~cut).withColumn(
+        "_extra", F.col("_table.whole") | F.coalesce("_cell.whole", F.lit(False))
+    )
+    # only the documents of one cell per source are left to sort
+    inside = Window.partitionBy("_mix.source", "_mix.block", "_mix.cell").orderBy(
+        "_mix.key", F.col("_mix.doc_id").asc_nulls_first(), "_mix.size"
+    )
+    earlier = F.coalesce(F.sum("_mix.size").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    last = located.where(cut).withColumn("_extra", earlier + F.col("_mix.size") / 2 <= F.col("_cell.rest"))
+    return plain.unionByName(last).withColumn("_copies", F.col("_table.passes") + F.col("_extra").cast("int")).select(
+        *names, "_copies"
+    )
+
+
+def mix(
+    docs: DataFrame,
+    weights: Sequence[int] = WEIGHTS,
+    max_repeat: int = MAX_REPEAT,
+    shards: int = SHARDS,
+    seed: int = 0,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+) -> DataFrame:
+    """One row per row of ``docs``: doc_id, source, size, source_size, target, copies, taken, shards.
+
+    Every source is cut into 64 blocks of 1,024 cells by random bits of the identifier. Its quota is a number of
+    whole passes over all its blocks, and of one more pass the whole blocks that fit, then the cells of the next
+    block that fit, then the documents of the next cell up to the nearest one. Prefix sums run over at most 64 blocks
+    or 1,024 cells of a source and over the documents of one cell, so a source that holds most rows is summed before
+    it moves. ``copies`` is what the mix takes, ``taken`` copies times size; ``shards`` has the output shard of each
+    copy, dealt out by :func:`split_tree`. Reruns agree, as every draw depends on identifiers and the seed alone.
+
+    Size is the number of words; a null text has none. A null source is a source of its own, last in order. A null
+    identifier is drawn like an empty one; of rows equal in identifier and size any may be the one that is taken. An
+    empty table gives no rows; where all sizes are zero nothing is taken. Other columns are not read.
+    """
+    keyed = _keyed(docs.select(
+        F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(source_col).alias("source")
+    ), "doc_id", "text", "source", seed).select("_mix")
+    keyed = cut_lineage(keyed)
+    table, cells = _plan(keyed.select("_mix.*"), weights, max_repeat, shards, seed)
+    return _apply(keyed, table, cells).select(
+        "_mix.doc_id", "_mix.source", "_mix.size", "_table.source_size", "_table.target", F.col("_copies").alias("copies"),
+        (F.col("_copies") * F.col("_mix.size")).cast("bigint").alias("taken"),
+        F.slice("_table.shards", 1, F.col("_copies")).alias("shards"),
     )
+
+
+def mixed_documents(
+    docs: DataFrame,
+    weights: Sequence[int] = WEIGHTS,
+    max_repeat: int = MAX_REPEAT,
+    shards: int = SHARDS,
+    seed: int = 0,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+) -> DataFrame:
+    """The mix itself: each row of ``docs``, all columns, as often as :func:`mix` takes it, in shuffled shards.
+
+    Every shard is a stretch of the output in an order drawn anew from the seed; large shards are spread over several
+    tasks. Texts move once.
+    """
+    keyed = _keyed(docs, id_col, text_col, source_col, seed)
+    table, cells = _plan(cut_lineage(keyed.select("_mix")).select("_mix.*"), weights, max_repeat, shards, seed)
+    taken = _apply(keyed, table, cells).withColumn("_shard", F.explode(F.slice("_table.shards", 1, F.col("_copies"))))
+    order = ["_shard", draw_key(F.concat_ws("/", F.col("_mix.key").cast("string"), "_shard"), seed, "order")]
+    count = shuffle_partitions(docs.sparkSession)
+    return taken.repartitionByRange(count, *order).sortWithinPartitions(*order).select(*docs.columns)

@@ -143,3 +143,30 @@ def clean(
         "n_repeat_words bigint, base_failed boolean, kept boolean, n_navigation bigint, n_punctuation bigint, "
         "n_boilerplate bigint, lost_words bigint, clean_text string",
     )
+
+
+def cleaned(
+    docs: DataFrame, text_col: str = "text", length_col: str | None = None, max_lost: float = MAX_LOST_SHARE
+) -> DataFrame:
+    """The rows of ``docs`` that :func:`clean` keeps, all columns as they were but the text without its failing lines.
+
+    ``length_col`` names a column with the text's length in code points, which then follows the text.
+    """
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            at = batch.schema.get_field_index(text_col)
+            step = max(1, batch.num_rows * (4 << 20) // max(batch.nbytes, 1))
+            for start in range(0, batch.num_rows, step):
+                part = batch.slice(start, step)
+                verdicts = [judge(text.as_py(), max_lost) for text in part.column(at)]
+                texts = [v[-1] if v[6] else None for v in verdicts]
+                part = part.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
+                if length_col:
+                    place = batch.schema.get_field_index(length_col)
+                    field = batch.schema.field(place)
+                    part = part.set_column(place, field, pa.array([len(t) if t else 0 for t in texts], field.type))
+                yield part.filter(pa.array([v[6] for v in verdicts], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -85,11 +85,12 @@ def encode(
     )
 
 
-def digests(encoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 (of the decimal ids joined by a blank), decoded_sha256."""
+def digests(encoded: DataFrame, *more: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 (of the decimal ids joined by a blank), decoded_sha256, and columns asked for."""
     return encoded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *more,
     )
