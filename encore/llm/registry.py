@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from encore.llm import exact, jaccard, lm, mixing, pii, quality, repeats, secrets, sharding, tokens
 from encore.llm.common import documents
+from encore.llm.oracles import ORACLE  # noqa: F401
 
 
 def op1_sparse_suffix_repeats(spark: SparkSession, folder: str) -> DataFrame:
@@ -70,4 +71,3 @@ QUERIES = {
         op10_elias_fano_lm,
     )
 }
-ORACLE: dict[str, str] = {}
