@@ -76,12 +76,13 @@ def session_history(
         found = found.filter(F.col(order) >= start)
     if end is not None:
         found = found.filter(F.col(order) <= end)
-    return found.orderBy(order).limit(limit)
+    return found.orderBy(order, *[c for c in sorted(found.columns) if c != order]).limit(limit)
 
 
 def user_history(messages: DataFrame, user, limit: int = 50, order: str = "timestamp") -> DataFrame:
     """Messages of a user, newest first."""
-    return messages.filter(F.col("user_id") == user).orderBy(F.desc(order)).limit(limit)
+    ties = [c for c in sorted(messages.columns) if c != order]
+    return messages.filter(F.col("user_id") == user).orderBy(F.desc(order), *ties).limit(limit)
 
 
 def context_summaries(messages: DataFrame, limit: int = 10, order: str = "timestamp") -> DataFrame:

@@ -25,7 +25,6 @@ from encore.session import cut_lineage
 
 # fixed values: thresholds per data type
 THRESHOLDS = {"artists": 0.85, "venues": 0.80}
-MAX_ROUNDS = 200
 FIRST_CHUNK = 1000
 
 
@@ -234,7 +233,7 @@ def _choose_masters(nodes: DataFrame, indexes: Sequence[KeyIndex], names: Sequen
         edges = one if edges is None else edges.unionByName(one)
     edges = cut_lineage(edges)
     state = nodes.withColumn("role", F.lit("open"))
-    for _ in range(MAX_ROUNDS):
+    while True:  # every round settles at least the smallest open node
         seen = _around(state, edges, names)
         undecided = F.col("role") == "open"
         role = (
@@ -247,7 +246,6 @@ def _choose_masters(nodes: DataFrame, indexes: Sequence[KeyIndex], names: Sequen
             # only now are all masters known, so only now the smallest one next to a duplicate
             own = F.when(F.col("role") == "master", F.col("lead")).otherwise(F.col("near_master"))
             return cut_lineage(_around(state, edges, names).select(*names, own.alias("master")))
-    raise RuntimeError(f"masters still undecided after {MAX_ROUNDS} rounds")
 
 
 def _around(state: DataFrame, edges: DataFrame, names: Sequence[str]) -> DataFrame:

@@ -120,34 +120,59 @@ def _check_ratios(train: float, val: float, test: float) -> None:
         raise ValueError("ratios must sum to 1")
 
 
-def _part(position: Column, n: Column, train: float, val: float) -> Column:
-    """Part of a 1-based position: the first int(n * train), up to int(n * (train + val)), the rest."""
+def seeded(key: str, seed: int) -> Column:
+    """Order drawn from key and seed alone, so that a retry or another partitioning draws alike."""
+    return F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
+
+
+def _cuts(n: Column, train: float, val: float) -> Column:
+    """Which cut a 1-based position is: the last one of the training part, of the validation part, or none."""
+    position = F.col("_position")
+    return F.array_compact(F.array(
+        F.when(position == F.floor(n * train), "train_end"),
+        F.when(position == F.floor(n * (train + val)), "val_end"),
+    ))
+
+
+def _by_cuts(place: Column, train_end: Column, val_end: Column) -> Column:
     return (
-        F.when(position <= F.floor(n * train), "train")
-        .when(position <= F.floor(n * (train + val)), "val")
+        F.when(F.coalesce(place <= train_end, F.lit(False)), "train")
+        .when(F.coalesce(place <= val_end, F.lit(False)), "val")
         .otherwise("test")
     )
 
 
+def _ends(cuts: DataFrame, *group: str) -> DataFrame:
+    return cuts.groupBy(*group).agg(*[
+        F.max(F.when(F.col("cut") == end, F.col("_place"))).alias(end) for end in ("train_end", "val_end")
+    ])
+
+
 def _positional(df: DataFrame, order: Sequence[Column], train: float, val: float, test: float) -> DataFrame:
+    """Only the order's columns are sorted and written; the two rows at the cuts then divide the relation itself."""
     _check_ratios(train, val, test)
-    placed = global_position(df, order, "_position")
+    keys = [f"_k{i}" for i in range(len(order))]
+    placed = global_position(df.select(*[c.alias(k) for c, k in zip(order, keys)]), [F.col(k) for k in keys], "_position")
     n = placed.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return placed.withColumn("split", _part(F.col("_position"), n, train, val)).drop("_position")
+    cuts = placed.select(F.struct(*keys).alias("_place"), F.explode(_cuts(n, train, val)).alias("cut"))
+    ends = _ends(cuts)
+    place = F.struct(*[c.alias(k) for c, k in zip(order, keys)])
+    split = _by_cuts(place, ends.select("train_end").scalar(), ends.select("val_end").scalar())
+    return df.withColumn("split", split)
 
 
 def temporal_split(
     df: DataFrame, date: str, key: str, train: float = 0.7, val: float = 0.15, test: float = 0.15
 ) -> DataFrame:
     """Add ``split`` by position in date order (ties by ``key``)."""
-    return _positional(df, [F.col(date).asc(), F.col(key).asc()], train, val, test)
+    return _positional(df, [F.col(date), F.col(key)], train, val, test)
 
 
 def random_split(
     df: DataFrame, key: str, seed: int = 42, train: float = 0.7, val: float = 0.15, test: float = 0.15
 ) -> DataFrame:
     """Exact sizes in an order given by a hash of key and seed, so that a retry splits alike."""
-    return _positional(df, [F.xxhash64(F.col(key), F.lit(seed)).asc(), F.col(key).asc()], train, val, test)
+    return _positional(df, [seeded(key, seed), F.col(key)], train, val, test)
 
 
 def stratified_split(
@@ -155,18 +180,25 @@ def stratified_split(
 ) -> DataFrame:
     """Exact sizes within each stratum; a stratum with a third of all rows is spread over tasks."""
     _check_ratios(train, val, test)
-    order = [F.xxhash64(F.col(key), F.lit(seed)).asc(), F.col(key).asc()]
-    placed = position_within(df, [stratum], order, "_position")
-    return placed.withColumn("split", _part(F.col("_position"), F.col("_size"), train, val)).drop("_position", "_size")
+    slim = df.select(F.col(stratum).alias("_stratum"), seeded(key, seed).alias("_k0"), F.col(key).alias("_k1"))
+    placed = position_within(slim, ["_stratum"], [F.col("_k0"), F.col("_k1")], "_position")
+    cuts = placed.select(
+        "_stratum", F.struct("_k0", "_k1").alias("_place"), F.explode(_cuts(F.col("_size"), train, val)).alias("cut")
+    )
+    ends = _ends(cuts, "_stratum")  # one row per stratum
+    place = F.struct(seeded(key, seed).alias("_k0"), F.col(key).alias("_k1"))
+    return df.join(ends, F.col(stratum).eqNullSafe(F.col("_stratum")), "left").withColumn(
+        "split", _by_cuts(place, F.col("train_end"), F.col("val_end"))
+    ).drop("_stratum", "train_end", "val_end")
 
 
 def history(records: DataFrame, stamp: str, model: str | None = None, limit: int = 100, **where: str) -> DataFrame:
-    """Newest records, optionally of one model and with further equalities."""
+    """Newest records, optionally of one model and with further equalities; ties go by all other columns."""
     if model is not None:
         where["model_name"] = model
     for column, value in where.items():
         records = records.filter(F.col(column) == value)
-    return records.orderBy(F.desc(stamp)).limit(limit)
+    return records.orderBy(F.desc(stamp), *[c for c in sorted(records.columns) if c != stamp]).limit(limit)
 
 
 def performance_report(evaluations: DataFrame, comparisons: DataFrame, model: str, version: str) -> DataFrame:

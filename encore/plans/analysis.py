@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from encore.operators.evaluate import seeded
 from encore.functions.numbers import share
 from encore.functions.times import PERIOD_DAYS, days_before, period_start
 from encore.plans.search import genre_text
@@ -196,6 +197,6 @@ def matrix(df: DataFrame, row: str, column: str, measure, column_values: Sequenc
     return df.groupBy(row).pivot(column, list(column_values)).agg(measure)
 
 
-def random_rows(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """n random rows; only each task's n smallest draws reach the last step."""
-    return df.withColumn("_draw", F.rand(seed)).orderBy("_draw").limit(n).drop("_draw")
+def random_rows(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
+    """n random rows, drawn by key and seed alone; only each task's n smallest draws reach the last step."""
+    return df.orderBy(seeded(key, seed), key).limit(n)

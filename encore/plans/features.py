@@ -88,7 +88,7 @@ def venue_features(concerts: DataFrame, venues: DataFrame, as_of: str, lookback:
     everywhere = per_venue.agg(F.avg("n").alias("n")).scalar()
     per_city = joined.groupBy("city").agg(F.avg("n").alias("city_popularity"))
     mean_attendance = share(F.col("attendance"), F.col("attended"))
-    return joined.filter("n_done > 0").join(per_city, "city").select(
+    return joined.filter("n_done > 0").join(per_city, "city", "left").select(
         "venue_id",
         F.col("n_done").cast("double").alias("total_concerts"),
         _zero(mean_attendance).alias("avg_attendance"),
@@ -101,7 +101,7 @@ def venue_features(concerts: DataFrame, venues: DataFrame, as_of: str, lookback:
         _zero(everywhere).alias("location_popularity"),
         _zero(share(F.col("artists_done"), F.col("n_done"))).alias("artist_diversity_score"),
         F.when(F.col("artists") > 1, share(F.col("artists"), F.col("n"))).otherwise(0.0).alias("repeat_booking_rate"),
-        "city_popularity",
+        _zero("city_popularity").alias("city_popularity"),
         _zero(share(F.col("returning"), F.col("artists"))).alias("returning_artist_share"),
     )
 

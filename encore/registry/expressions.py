@@ -52,7 +52,7 @@ def _fuzzy(s):
 
 
 QUERIES = {
-    "l03_random_rows": stage(lambda s: random_rows(s.table("orders").select("o_orderkey"), 100)),
+    "l03_random_rows": stage(lambda s: random_rows(s.table("orders").select("o_orderkey"), 100, "o_orderkey")),
     "x09_x12_dates": stage(_dates),
     "x13_x14_prices": stage(_prices),
     "x16_x17_artist_closeness": stage(_genres),
@@ -62,6 +62,7 @@ QUERIES = {
         "s_suppkey", request_key("artist", "s_name", "s_nationkey").alias("request_key"))),
 }
 ORACLE = {
+    "l03_random_rows": "SELECT o_orderkey FROM orders ORDER BY md5(o_orderkey || ':42'), o_orderkey LIMIT 100",
     "x09_x12_dates": using("concerts", """
         SELECT concert_id, isodow(event_date) - 1 AS weekday, isodow(event_date) >= 6 AS weekend,
                CASE WHEN month(event_date) IN (12, 1, 2) THEN 1 WHEN month(event_date) <= 5 THEN 2

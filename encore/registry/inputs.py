@@ -23,24 +23,28 @@ def _folder(s, name):
 
 
 def _csv(s):
+    """Two layouts in one folder: other delimiter, other column order."""
     folder = _folder(s, "csv")
     padded = s.names().withColumn("name", F.when(F.col("id") % 9 == 0, "  ").otherwise(F.concat(F.lit(" "), "name", F.lit(' "x"; '))))
-    padded.write.option("header", True).option("sep", ";").option("escape", '"').csv(folder)
-    return files.read_csv(s.spark, folder, rows=True).groupBy("name").agg(
-        F.count(F.lit(1)).alias("rows"), F.min(F.col("_source_row") >= 2).alias("numbered"))
+    padded.filter("id % 2 = 0").write.option("header", True).option("sep", ";").option("escape", '"').csv(f"{folder}/a")
+    padded.filter("id % 2 = 1").select("name", "id").write.option("header", True).option("escape", '"').csv(f"{folder}/b")
+    return files.read_csv(s.spark, [f"{folder}/a", f"{folder}/b"], rows=True).groupBy("name").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.col("id").cast("bigint")).alias("ids"),
+        F.min(F.col("_source_row") >= 2).alias("numbered"))
 
 
 def _json(s):
-    """Objects with a data, records or items array of up to 500 rows, one object per file."""
+    """Objects with a data, records or items array of up to 500 rows, one object per file, and a file of JSON lines."""
     folder = _folder(s, "json")
     bucket = F.floor(F.col("id") / 500)
     for part, wrapper in enumerate(files.WRAPPERS):
-        s.names().filter(bucket % 3 == part).groupBy(bucket.alias("bucket")).agg(
+        s.names().filter(bucket % 4 == part).groupBy(bucket.alias("bucket")).agg(
             F.collect_list(F.struct("id", "name")).alias(wrapper)
         ).drop("bucket").write.option("maxRecordsPerFile", 1).json(f"{folder}/{wrapper}")
-    read = files.read_json(s.spark, [f"{folder}/{w}" for w in files.WRAPPERS], "id bigint, name string", rows=True)
+    s.names().filter(bucket % 4 == 3).repartition(2).write.json(f"{folder}/lines")
+    read = files.read_json(s.spark, [f"{folder}/{w}" for w in (*files.WRAPPERS, "lines")], "id bigint, name string", rows=True)
     return read.groupBy("name").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum("id").alias("ids"), F.max(F.col("_source_row") <= 500).alias("numbered"))
+        F.count(F.lit(1)).alias("rows"), F.sum("id").alias("ids"), F.min(F.col("_source_row") >= 1).alias("numbered"))
 
 
 def _xml(s):
@@ -55,15 +59,18 @@ def _xml(s):
 
 
 def _mixed(s):
+    """JSON lines, wrapped JSON, Parquet, and CSV files in two column orders and delimiters, read as one folder."""
     folder = _folder(s, "mixed")
-    rows = s.names().withColumn("k", F.col("id") % 3)
-    rows.filter("k = 0").drop("k").write.json(f"{folder}/a")
-    rows.filter("k = 1").drop("k").write.parquet(f"{folder}/b")
-    rows.filter("k = 2").drop("k").write.option("header", True).csv(f"{folder}/c")
-    # the JSON lines are read as such, the other formats by their ending
-    schema = "id bigint, name string"
-    json = s.spark.read.schema(schema).json(f"{folder}/a")
-    return files.read_mixed(s.spark, folder, schema).filter(F.col("id") % 3 != 0).unionByName(json).groupBy("name").agg(
+    rows = s.names().withColumn("k", F.col("id") % 5)
+    part = lambda k: rows.filter(F.col("k") == k).drop("k")
+    part(0).write.json(f"{folder}/a")
+    part(1).write.parquet(f"{folder}/b")
+    part(2).write.option("header", True).csv(f"{folder}/c")
+    part(3).select("name", "id").write.option("header", True).option("sep", ";").csv(f"{folder}/d")
+    part(4).groupBy(F.floor(F.col("id") / 300).alias("bucket")).agg(
+        F.collect_list(F.struct("id", "name")).alias("records")
+    ).drop("bucket").write.option("maxRecordsPerFile", 1).json(f"{folder}/e")
+    return files.read_mixed(s.spark, folder, "id bigint, name string").groupBy("name").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("id").alias("ids"))
 
 
@@ -87,11 +94,17 @@ def _bulk(s):
     raw = s.sales().withColumn("unit_price", F.round("unit_price", 4)).withColumn(
         "purchase_timestamp", F.when((F.col("concert_id") % 5000 == 0) & F.col("sale_id").endswith("-1"), "never")
         .otherwise(F.date_format("purchase_timestamp", "yyyy-MM-dd HH:mm:ss")))
-    counts = wh.bulk_load(raw, "ticket_sales", f"{folder}/good", f"{folder}/bad", AT, max_errors=10**9)
+    try:
+        wh.bulk_load(raw, "ticket_sales", f"{folder}/good", f"{folder}/bad", AT, max_errors=0)
+        refused = False
+    except RuntimeError:
+        refused = True
+    counts = wh.bulk_load(raw, "ticket_sales", f"{folder}/good", f"{folder}/bad", AT)
     good = s.spark.read.parquet(f"{folder}/good").agg(
         F.count(F.lit(1)).alias("rows"), F.sum(F.col("total_amount").cast("double")).alias("amount"))
     bad = s.spark.read.parquet(f"{folder}/bad").agg(F.count(F.lit(1)).alias("n"))
-    return good.withColumn("rejected", bad.scalar()).withColumn("agrees", F.col("rows") == counts["rows_loaded"])
+    return good.withColumn("rejected", bad.scalar()).withColumn("agrees", F.col("rows") == counts["rows_loaded"]).withColumn(
+        "refused", F.lit(refused))
 
 
 def _archive(s):
@@ -100,7 +113,7 @@ def _archive(s):
         F.lit("app").alias("source"), F.col("event_type").alias("data_type"), "event_id", "value", "ts")
     wh.archive(rows, folder, "ts")
     back = s.spark.read.schema("event_id bigint, value double, source string, data_type string, year string, month string, day string").json(folder)
-    return back.filter(F.col("data_type") == "purchase").groupBy("year", "month", "day").agg(
+    return back.groupBy("data_type", "year", "month", "day").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("value").alias("value"))
 
 
@@ -195,21 +208,21 @@ QUERIES = {
     "a27_incremental_input": stage(_incremental),
 }
 ORACLE = {
-    "a01_csv_scan": """SELECT CASE WHEN p_partkey % 9 = 0 THEN NULL ELSE p_name || ' "x";' END AS name, count(*) AS rows, TRUE AS numbered
-        FROM part GROUP BY 1""",
+    "a01_csv_scan": """SELECT CASE WHEN p_partkey % 9 = 0 THEN NULL ELSE p_name || ' "x";' END AS name, count(*) AS rows,
+        CAST(sum(p_partkey) AS BIGINT) AS ids, TRUE AS numbered FROM part GROUP BY 1""",
     "a02_json_scan": "SELECT p_name AS name, count(*) AS rows, CAST(sum(p_partkey) AS BIGINT) AS ids, TRUE AS numbered FROM part GROUP BY 1",
     "a03_xml_scan": "SELECT p_name AS artist_id, count(*) AS rows, sum(p_partkey * 2)::DOUBLE AS vip FROM part GROUP BY 1",
     "a04_mixed_scan": "SELECT p_name AS name, count(*) AS rows, CAST(sum(p_partkey) AS BIGINT) AS ids FROM part GROUP BY 1",
     "a06_batch_report": f"SELECT records_processed, records_successful, records_failed FROM ({_report_sql('ticket_sales')})",
-    "a09_archive": f"""SELECT strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day, count(*) AS rows,
-        {rd('sum(value)')} AS value FROM events WHERE event_type = 'purchase' GROUP BY 1, 2, 3""",
+    "a09_archive": f"""SELECT event_type AS data_type, strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day, count(*) AS rows,
+        {rd('sum(value)')} AS value FROM events GROUP BY 1, 2, 3, 4""",
     "a10_prepared_load": f"""
         SELECT concat_ws(',', CASE WHEN coalesce(artist_id, '') = '' THEN 'artist_id missing' END,
                          CASE WHEN event_date IS NULL THEN 'event_date unreadable' END) AS problems, trim(status) AS status,
                count(*) AS rows, {rd('sum(round(revenue, 2))', 2)} AS revenue, max(CAST(event_date AS DATE)) AS last
         FROM ({_RAW_CONCERTS}) GROUP BY 1, 2""",
     "a15_bulk_load": f"""SELECT count(CASE WHEN NOT bad THEN 1 END) AS rows, {rd('sum(CASE WHEN NOT bad THEN l_extendedprice END)', 2)} AS amount,
-        count(CASE WHEN bad THEN 1 END) AS rejected, TRUE AS agrees
+        count(CASE WHEN bad THEN 1 END) AS rejected, TRUE AS agrees, count(CASE WHEN bad THEN 1 END) > 0 AS refused
         FROM (SELECT *, l_orderkey % 5000 = 0 AND l_linenumber = 1 AS bad FROM lineitem)""",
     "a14_upsert": f"""
         SELECT o_orderkey, o_orderstatus, {rd('o_totalprice + CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 0 END')} AS o_totalprice

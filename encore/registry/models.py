@@ -31,7 +31,7 @@ def _ranking(s, flip=False):
     order = F.col("last").asc() if flip else F.col("last").desc()
     ranked = views.select(
         "user_id", F.col("concert_id").alias("item_id"),
-        F.row_number().over(Window.partitionBy("user_id").orderBy(order)).alias("rank")).filter(F.col("rank") <= 30)
+        F.row_number().over(Window.partitionBy("user_id").orderBy(order)).alias("rank"))
     truth = raw.filter(F.col("interaction_type") == "purchase").select("user_id", F.col("concert_id").alias("item_id"))
     return ranked, truth
 
@@ -72,12 +72,14 @@ def _split_counts(split):
 
 def _stratified(s):
     p = s.predictions().select("concert_id", "status")
-    return ev.stratified_split(p, "status", "concert_id").groupBy("status", "split").agg(F.count(F.lit(1)).alias("rows"))
+    return ev.stratified_split(p, "status", "concert_id").groupBy("status", "split").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("concert_id").alias("ids"))
 
 
 def _random(s):
     p = s.predictions().select("concert_id")
-    return ev.random_split(p, "concert_id").groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
+    return ev.random_split(p, "concert_id").groupBy("split").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("concert_id").alias("ids"))
 
 
 def _report(s):
@@ -148,7 +150,7 @@ def _rank_sql(direction):
     SELECT user_id, concert_id AS item_id, rk AS rank FROM (
         SELECT user_id, concert_id, row_number() OVER (PARTITION BY user_id ORDER BY ts {direction}, id {direction}) AS rk
         FROM (SELECT user_id, concert_id, max(("timestamp", event_id))[1] AS ts, max(("timestamp", event_id))[2] AS id
-              FROM raw_interactions WHERE interaction_type <> 'purchase' GROUP BY 1, 2)) WHERE rk <= 30"""
+              FROM raw_interactions WHERE interaction_type <> 'purchase' GROUP BY 1, 2))"""
 
 
 def _rank_metrics(direction):
@@ -265,10 +267,12 @@ ORACLE = {
         SELECT split, count(*) AS rows, min(event_date) AS first, max(event_date) AS last, CAST(sum(concert_id) AS BIGINT) AS ids
         FROM ({_SPLIT.format(order='ORDER BY event_date, concert_id', part='')}) GROUP BY split"""),
     "v07_random_split": using(P, f"""
-        SELECT split, count(*) AS rows FROM ({_SPLIT.format(order='ORDER BY concert_id', part='')}) GROUP BY split"""),
+        SELECT split, count(*) AS rows, CAST(sum(concert_id) AS BIGINT) AS ids
+        FROM ({_SPLIT.format(order="ORDER BY md5(concert_id || ':42'), concert_id", part='')}) GROUP BY split"""),
     "v08_stratified_split": using(P, f"""
-        SELECT status, split, count(*) AS rows
-        FROM ({_SPLIT.format(order='PARTITION BY status ORDER BY concert_id', part='PARTITION BY status')}) GROUP BY 1, 2"""),
+        SELECT status, split, count(*) AS rows, CAST(sum(concert_id) AS BIGINT) AS ids
+        FROM ({_SPLIT.format(order="PARTITION BY status ORDER BY md5(concert_id || ':42'), concert_id", part='PARTITION BY status')})
+        GROUP BY 1, 2"""),
     "v09_metric_series": using(P, f"""
         WITH y AS ({_BY_YEAR}) SELECT model_name, model_version, metric, {rd('value')} AS value
         FROM ({_unpivot('y', _NAMES, 'value', 'model_name, model_version, ')})"""),

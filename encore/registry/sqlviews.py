@@ -32,9 +32,11 @@ VIEWS = {
                least(greatest((s_acctbal + 1000) / 110, 0.0::DOUBLE), 100.0::DOUBLE) AS popularity_score,
                coalesce(genre, []::VARCHAR[]) AS genre
         FROM supplier LEFT JOIN (
-            SELECT l_suppkey, list_sort(list(DISTINCT lower(p_type))) AS genre
-            FROM lineitem JOIN part ON l_partkey = p_partkey
-            WHERE l_quantity >= 50 AND l_returnflag = 'A' GROUP BY l_suppkey) ON s_suppkey = l_suppkey""",
+            SELECT l_suppkey, list_sort(list(style)) AS genre FROM (
+                SELECT l_suppkey, lower(p_type) AS style,
+                       row_number() OVER (PARTITION BY l_suppkey ORDER BY sum(l_quantity) DESC, lower(p_type)) AS nth
+                FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_suppkey, lower(p_type))
+            WHERE nth <= 3 GROUP BY l_suppkey) ON s_suppkey = l_suppkey""",
     "raw_interactions": """
         SELECT event_id, user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS concert_id,
                event_type AS interaction_type,

@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from encore.operators.validate import mark, upload_report
 from encore.schemas import RECORDS
 
-# fixed values: formats, size limit, delimiters, wrapper fields and record tags, in the order they are tried
+# fixed values: formats, delimiters, wrapper fields and record tags, in the order they are tried
 FORMATS = ("csv", "json", "xml")
-MAX_FILE_BYTES = 100 * 1024 * 1024
 DELIMITERS = (",", ";", "\t", "|")
 WRAPPERS = ("data", "records", "items")
 RECORD_TAGS = ("record", "item", "row", "entry", "artist", "venue", "concert", "ticket_sale")
@@ -24,49 +23,76 @@ def _paths(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def check_files(spark: SparkSession, paths: str | Sequence[str], data_type: str, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
-    """(path, length, problem) per file, from the file listing; contents are not read."""
+def check_files(spark: SparkSession, paths: str | Sequence[str], data_type: str, max_bytes: int | None = None) -> DataFrame:
+    """(path, length, problem) per file, from the file listing; contents are not read. Any size is fine by default."""
     if data_type not in RECORDS:
         raise ValueError(f"unsupported data type {data_type}")
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(_paths(paths)).select("path", "length")
     ending = F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1))
     return listed.withColumn(
         "problem",
-        F.when(F.col("length") > max_bytes, "file too large").when(~ending.isin(*FORMATS), "unsupported format"),
+        F.when(F.col("length") > F.lit(max_bytes), "file too large").when(~ending.isin(*FORMATS), "unsupported format"),
     )
 
 
 def number_rows(df: DataFrame, first: int) -> DataFrame:
     """Add ``_source_row``: the row number within the file, from ``first`` on.
 
-    Each file is read by one task from top to bottom, so its rows have consecutive ids; the smallest
-    id of the file, one row per file, is subtracted.
+    A task reads a stretch of a file from top to bottom, so the stretch's rows have consecutive ids. The stretches of
+    a file (``_block``, where the input has it) come in order: the rows of the earlier ones are added up, one number
+    per stretch.
     """
-    numbered = df.withColumn("_id", F.monotonically_increasing_id())
-    starts = numbered.groupBy("_source_file").agg(F.min("_id").alias("_start"))
-    return numbered.join(starts, "_source_file").withColumn(
-        "_source_row", F.col("_id") - F.col("_start") + first
-    ).drop("_id", "_start")
+    block = F.col("_block") if "_block" in df.columns else F.lit(0)
+    numbered = df.withColumn("_id", F.monotonically_increasing_id()).withColumn("_block", block)
+    inside = Window.partitionBy("_file").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    starts = numbered.groupBy(F.col("_source_file").alias("_file"), F.col("_block").alias("_at")).agg(
+        F.min("_id").alias("_start"), F.count(F.lit(1)).alias("_rows")
+    ).select("_file", "_at", "_start", F.coalesce(F.sum("_rows").over(inside), F.lit(0)).alias("_before"))
+    return numbered.join(
+        starts, (F.col("_source_file") == F.col("_file")) & (F.col("_block") == F.col("_at"))
+    ).withColumn("_source_row", F.col("_id") - F.col("_start") + F.col("_before") + first).drop(
+        "_id", "_block", "_file", "_at", "_start", "_before"
+    )
 
 
-def sniff_delimiter(spark: SparkSession, path: str) -> str:
-    """The delimiter that occurs most often in the first line."""
-    head = spark.read.text(path).limit(1).collect()
-    line = head[0][0] if head else ""
-    return max(DELIMITERS, key=line.count)
+def _lines(spark: SparkSession, paths: str | Sequence[str], options: dict | None = None) -> DataFrame:
+    """(value, path, _block, _id): the lines that are not blank, with the stretch of the file they lie in."""
+    return spark.read.options(**(options or {})).text(_paths(paths)).select(
+        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_block")
+    ).withColumn("_id", F.monotonically_increasing_id()).filter(F.trim("value") != "")
 
 
-def read_csv(spark: SparkSession, paths: str | Sequence[str], delimiter: str | None = None, rows: bool = False) -> DataFrame:
-    """All columns as trimmed text, blanks as null, blank rows dropped; malformed rows keep their text
-    in ``_corrupt_record``. A quoted value may span lines, so one task reads one file."""
-    paths = _paths(paths)
-    sep = delimiter or sniff_delimiter(spark, paths[0])
+def _heads(lines: DataFrame) -> DataFrame:
+    """(path, head, lines): the first line that is not blank and the number of such lines, per file."""
+    return lines.groupBy("path").agg(
+        F.min_by("value", F.struct("_block", "_id")).alias("head"), F.count(F.lit(1)).alias("lines")
+    )
+
+
+def header_groups(
+    spark: SparkSession, paths: str | Sequence[str], delimiter: str | None = None, options: dict | None = None
+) -> list[tuple[str, str, list[str]]]:
+    """(delimiter, header line, files) for every layout among CSV files.
+
+    Each file's delimiter is the one that occurs most often in its first line. One pass finds all first lines; what
+    comes back is the file listing, which the driver holds for any scan, in groups.
+    """
+    counts = [F.length("head") - F.length(F.translate("head", d, "")) for d in DELIMITERS]
+    most = F.greatest(*counts)
+    found = F.coalesce(*[F.when(n == most, F.lit(d)) for n, d in zip(counts, DELIMITERS)])
+    heads = _heads(_lines(spark, paths, options)).withColumn("sep", F.lit(delimiter) if delimiter else found)
+    rows = heads.groupBy("sep", "head").agg(F.sort_array(F.collect_list("path")).alias("files")).collect()
+    return sorted((r.sep, r.head, list(r.files)) for r in rows)
+
+
+def _read_layout(spark: SparkSession, sep: str, files: list[str], rows: bool) -> DataFrame:
+    """Files of one delimiter and one header."""
     options = {"header": True, "sep": sep, "multiLine": True, "escape": '"'}
-    names = spark.read.options(**options).csv(paths).columns
+    names = spark.read.options(**options).csv(files[:1]).columns
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
     raw = spark.read.options(
         **options, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, enforceSchema=True
-    ).schema(schema).csv(paths)
+    ).schema(schema).csv(files)
     raw = raw.select("*", F.col("_metadata.file_path").alias("_source_file"))
     if rows:
         raw = number_rows(raw, first=2)
@@ -76,6 +102,24 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], delimiter: str | N
     return out.filter(F.coalesce(*[F.col(f"`{n.strip()}`") for n in names if n.strip()]).isNotNull())
 
 
+def read_csv(
+    spark: SparkSession, paths: str | Sequence[str], delimiter: str | None = None, rows: bool = False,
+    options: dict | None = None,
+) -> DataFrame:
+    """All columns as trimmed text, blanks as null, blank rows dropped; malformed rows keep their text
+    in ``_corrupt_record``. Each file is read by its own delimiter and header, and the files' columns meet by name.
+    A quoted value may span lines, so one task reads one file."""
+    out = None
+    for sep, _, files in header_groups(spark, paths, delimiter, options):
+        one = _read_layout(spark, sep, files, rows)
+        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
+    if out is None:
+        empty = f"{CORRUPT} string, _source_file string" + (", _source_row bigint" if rows else "")
+        return spark.createDataFrame([], empty)
+    names = [c for c in out.columns if not c.startswith("_")]
+    return out.select(*[F.col(f"`{n}`") for n in names], *[c for c in out.columns if c.startswith("_")])
+
+
 def typed_records(csv: DataFrame, data_type: str, list_separator: str = ",") -> DataFrame:
     """CSV text as records of a type: lists split, maps from ``key:value`` pairs, numbers cast where they can be."""
     wanted = T.StructType.fromDDL(RECORDS[data_type])
@@ -95,25 +139,62 @@ def typed_records(csv: DataFrame, data_type: str, list_separator: str = ",") ->
     return csv.select(*columns, *[c for c in csv.columns if c.startswith("_")])
 
 
-def read_json(spark: SparkSession, paths: str | Sequence[str], schema: str, rows: bool = False) -> DataFrame:
-    """Records of files that hold an array, an object with a data, records or items array, or one object."""
+def _line_files(spark: SparkSession, paths: str | Sequence[str], options: dict | None) -> DataFrame:
+    """The files with one object per line: the first line is a whole object and others follow it."""
+    heads = _heads(_lines(spark, paths, options))
+    whole = F.trim("head").startswith("{") & F.get_json_object("head", "$").isNotNull()
+    return heads.filter(whole & (F.col("lines") > 1)).select(F.col("path").alias("_line_file"))
+
+
+def read_json(
+    spark: SparkSession, paths: str | Sequence[str], schema: str, rows: bool = False, options: dict | None = None
+) -> DataFrame:
+    """Records of files that hold an array, an object with a data, records or items array, one object, or one object
+    per line; each file is read by its own layout, and what cannot be read stays as a row with ``_corrupt_record``."""
     record = T.StructType.fromDDL(schema)
     wrapped = T.StructType([T.StructField(w, T.ArrayType(record)) for w in WRAPPERS if w not in record.fieldNames()])
     full = T.StructType([*record.fields, *wrapped.fields, T.StructField(CORRUPT, T.StringType())])
-    raw = spark.read.schema(full).option("multiLine", True).option("columnNameOfCorruptRecord", CORRUPT).json(_paths(paths))
-    raw = raw.select("*", F.col("_metadata.file_path").alias("_source_file"))
+    by_line = _line_files(spark, paths, options)
+    raw = spark.read.options(**(options or {})).schema(full).option("multiLine", True).option(
+        "columnNameOfCorruptRecord", CORRUPT
+    ).json(_paths(paths))
+    raw = raw.select("*", F.col("_metadata.file_path").alias("_source_file")).join(
+        by_line, F.col("_source_file") == F.col("_line_file"), "left_anti"
+    )
     own = F.array(F.struct(*[F.col(f"`{n}`") for n in record.fieldNames()]))
     inside = F.coalesce(*[F.col(w) for w in wrapped.fieldNames()], own)
     out = raw.select("_source_file", CORRUPT, F.explode(inside).alias("r")).select("r.*", "_source_file", CORRUPT)
-    return number_rows(out, first=1) if rows else out
+
+    single = T.StructType([*record.fields, T.StructField(CORRUPT, T.StringType())])
+    parsed = F.from_json("value", single, {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"})
+    lines = _lines(spark, paths, options).withColumnRenamed("path", "_source_file")
+    if rows:
+        out = number_rows(out, first=1)
+        lines = number_rows(lines.drop("_id"), first=1)
+    lines = lines.join(by_line, F.col("_source_file") == F.col("_line_file"), "left_semi")
+    kept = [c for c in ("_source_file", "_source_row") if c in lines.columns]
+    lines = lines.select(parsed.alias("r"), *kept).select("r.*", *kept)
+    return out.unionByName(lines)
 
 
 def record_tags(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """(path, tag): the first known record tag in each file, else the tag below the root."""
-    whole = spark.read.text(_paths(paths), wholetext=True).select("value", F.col("_metadata.file_path").alias("path"))
-    known = F.coalesce(*[F.when(F.col("value").rlike(rf"<{t}[\s/>]"), t) for t in RECORD_TAGS])
+    """(path, tag): the first known record tag in each file, else the tag below the root; read line by line."""
     opened = F.regexp_extract_all("value", F.lit(r"<([A-Za-z_][\w.-]*)"), F.lit(1))
-    return whole.select("path", F.coalesce(known, F.get(opened, F.lit(1))).alias("tag"))
+    lines = _lines(spark, paths).select(
+        "path", F.struct("_block", "_id").alias("at"), opened.alias("tags"),
+        *[F.col("value").rlike(rf"<{t}([\s/>]|$)").alias(f"has_{t}") for t in RECORD_TAGS],
+    ).filter(F.size("tags") > 0)
+    heads = lines.groupBy("path").agg(
+        F.min("at").alias("first"), F.min_by("tags", "at").alias("tags"),
+        *[F.max(f"has_{t}").alias(f"has_{t}") for t in RECORD_TAGS],
+    )
+    after = lines.select("path", "at", F.col("tags")[0].alias("next")).join(heads.select("path", "first"), "path").filter(
+        F.col("at") > F.col("first")
+    ).groupBy("path").agg(F.min_by("next", "at").alias("next"))
+    known = F.coalesce(*[F.when(F.col(f"has_{t}"), t) for t in RECORD_TAGS])
+    return heads.join(after, "path", "left").select(
+        "path", F.coalesce(known, F.get("tags", F.lit(1)), F.col("next")).alias("tag")
+    )
 
 
 def read_xml(spark: SparkSession, paths: str | Sequence[str], schema: str, tag: str | None = None, rows: bool = False) -> DataFrame:
@@ -140,22 +221,29 @@ def read_xml(spark: SparkSession, paths: str | Sequence[str], schema: str, tag:
     return number_rows(out, first=1) if rows else out
 
 
-def read_mixed(spark: SparkSession, folder: str, schema: str) -> DataFrame:
-    """All JSON, Parquet and CSV files below a folder, unreadable ones skipped, columns matched by name."""
+def read_mixed(spark: SparkSession, folder: str, schema: str, problems: bool = False) -> DataFrame:
+    """All JSON, Parquet and CSV files below a folder, each by its own layout, columns matched by name.
+
+    Rows that cannot be read are left out; with ``problems`` they are what is returned, as (path, text), and nothing
+    is left out unseen but Parquet files that are none. Lists and maps are not looked for in CSV files.
+    """
     record = T.StructType.fromDDL(schema)
-    reader = {"recursiveFileLookup": True, "ignoreCorruptFiles": True}
-    out = None
-    for pattern, build in (
-        ("*.json", lambda r: r.schema(record).option("multiLine", True).json(folder)),
-        ("*.parquet", lambda r: r.schema(record).parquet(folder)),
-        ("*.csv", lambda r: r.schema(record).option("header", True).option("enforceSchema", False).csv(folder)),
-    ):
-        if pattern == "*.csv" and any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)) for f in record.fields):
-            flat = T.StructType([f for f in record.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))])
-            one = spark.read.options(**reader, pathGlobFilter=pattern, header=True).schema(flat).csv(folder)
-        else:
-            one = build(spark.read.options(**reader, pathGlobFilter=pattern))
-        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
+    reader = {"recursiveFileLookup": "true"}
+    nested = (T.ArrayType, T.MapType, T.StructType)
+    json = read_json(spark, folder, schema, options={**reader, "pathGlobFilter": "*.json"})
+    csv = read_csv(spark, folder, options={**reader, "pathGlobFilter": "*.csv"})
+    if problems:
+        parts = [part.filter(F.col(CORRUPT).isNotNull()).select(
+            F.col("_source_file").alias("path"), F.col(CORRUPT).alias("text")) for part in (json, csv)]
+        return parts[0].unionByName(parts[1])
+    flat = [
+        F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in record.fields
+        if f.name in csv.columns and not isinstance(f.dataType, nested)
+    ]
+    parquet = spark.read.options(**reader, pathGlobFilter="*.parquet", ignoreCorruptFiles=True).schema(record).parquet(folder)
+    out = json.filter(F.col(CORRUPT).isNull()).select(*record.fieldNames()).unionByName(parquet)
+    if flat:
+        out = out.unionByName(csv.filter(F.col(CORRUPT).isNull()).select(*flat), allowMissingColumns=True)
     return out
 
 

@@ -5,14 +5,15 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from encore.functions.times import days_before
 from encore.schemas import PARTITIONS, REQUIRED, TABLES
+from encore.session import cut_lineage
 
-MAX_ERRORS = 100
+MAX_ERROR_SHARE = 0.01
 # fixed values: date and time forms of the files, tried in this order
 TIME_FORMS = (
     "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ssX", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
@@ -96,25 +97,26 @@ def prepare_load(raw: DataFrame, table: str) -> DataFrame:
 
 
 def bulk_load(raw: DataFrame, table: str, folder: str, quarantine: str, at: dt.datetime, mode: str = "append",
-              max_errors: int = MAX_ERRORS) -> dict:
+              max_errors: int | None = None, max_error_share: float = MAX_ERROR_SHARE) -> dict:
     """Load the good rows of ``raw``, quarantine the bad ones, and return the counts.
 
-    Rows are counted while they are written. With more than ``max_errors`` bad rows nothing is loaded.
+    The input is read and parsed once. Nothing is loaded if more than ``max_errors`` rows (if given) or more than
+    ``max_error_share`` of them are bad. The quarantine keeps a folder per load, named by table and start, so that a
+    repeated load replaces its rows.
     """
-    prepared = prepare_load(raw, table)
+    prepared = cut_lineage(prepare_load(raw, table))
+    counts = prepared.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.size("_errors") > 0).alias("bad")).first()
     bad = prepared.filter(F.size("_errors") > 0).select(
         F.lit(table).alias("table_name"), F.lit(at).cast("timestamp_ntz").alias("started"), F.col("_errors").alias("errors"),
-        F.col("_raw").alias("raw_line"),
+        F.col("_raw").alias("raw_line"), F.lit(f"{table}-{at:%Y%m%dT%H%M%S%f}").alias("load_id"),
     )
-    rejected = Observation("rejected")
-    bad.observe(rejected, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(quarantine)
-    failed = rejected.get["rows"]
-    if failed > max_errors:
-        raise RuntimeError(f"{failed} bad rows in the load of {table}, more than {max_errors}")
-    loaded = Observation("loaded")
+    bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load_id").parquet(quarantine)
+    most = max_error_share * counts.rows if max_errors is None else max_errors
+    if counts.bad > most:
+        raise RuntimeError(f"{counts.bad} bad rows in the load of {table}, more than {most:g}")
     good = prepared.filter(F.size("_errors") == 0).drop("_errors", "_raw")
-    good.observe(loaded, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(folder)
-    return {"table": table, "rows_loaded": loaded.get["rows"], "rows_rejected": failed}
+    good.write.mode(mode).parquet(folder)
+    return {"table": table, "rows_loaded": counts.rows - counts.bad, "rows_rejected": counts.bad}
 
 
 def load_csv(spark: SparkSession, path: str, table: str, columns: Sequence[str] | None = None, delimiter: str = ",",

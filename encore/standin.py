@@ -5,7 +5,7 @@ The same rules are written as SQL in ``encore.registry.sqlviews`` for the side-b
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 STATUS = {"F": "completed", "O": "scheduled", "P": "postponed"}
@@ -94,7 +94,7 @@ class Stage:
         )
 
     def artists(self, genre: bool = False) -> DataFrame:
-        """One row per supplier. ``genre`` adds the sorted types of the parts in its largest kept lines."""
+        """One row per supplier. ``genre`` adds, in order of name, the three part types of which it sold most."""
         base = self.table("supplier").select(
             F.col("s_suppkey").alias("artist_id"),
             F.col("s_name").alias("name"),
@@ -104,12 +104,15 @@ class Stage:
         )
         if not genre:
             return base
-        big = self.table("lineitem").filter((F.col("l_quantity") >= 50) & (F.col("l_returnflag") == "A"))
-        styles = (
-            big.select("l_suppkey", "l_partkey")
-            .join(self.table("part").select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
-            .groupBy("l_suppkey")
-            .agg(F.array_sort(F.collect_set(F.lower("p_type"))).alias("genre"))
+        sold = (
+            self.table("lineitem").select("l_suppkey", "l_partkey", "l_quantity")
+            .join(self.table("part").select("p_partkey", F.lower("p_type").alias("style")), F.col("l_partkey") == F.col("p_partkey"))
+            .groupBy("l_suppkey", "style")
+            .agg(F.sum("l_quantity").alias("sold"))
+        )
+        most = Window.partitionBy("l_suppkey").orderBy(F.col("sold").desc(), "style")
+        styles = sold.withColumn("nth", F.row_number().over(most)).filter("nth <= 3").groupBy("l_suppkey").agg(
+            F.array_sort(F.collect_list("style")).alias("genre")
         )
         empty = F.array().cast("array<string>")
         return base.join(styles, F.col("artist_id") == F.col("l_suppkey"), "left").select(

@@ -17,8 +17,10 @@ WIRE = (
 )
 
 
-def record_id(source: Column, data_type: Column, when: Column) -> Column:
-    return F.concat_ws("_", source, data_type, F.unix_micros(when.cast("timestamp")).cast("string"))
+def record_id(source: Column, data_type: Column, when: Column, payload: Column) -> Column:
+    """Source, type and microsecond, and a digest of the payload, as many records can carry one stamp."""
+    stamp = F.unix_micros(when.cast("timestamp")).cast("string")
+    return F.concat_ws("_", source, data_type, stamp, F.substring(F.md5(payload.cast("binary")), 1, 16))
 
 
 def partition_key(data_type: Column, payload: Column) -> Column:
@@ -41,7 +43,7 @@ def envelopes(rows: DataFrame, data_type: str, source: str, when: Column) -> Dat
     payload = F.to_json(F.struct("*"))
     packed = rows.select(payload.alias("payload"), when.alias("stamp"))
     body = F.struct(
-        record_id(F.lit(source), F.lit(data_type), F.col("stamp")).alias("record_id"),
+        record_id(F.lit(source), F.lit(data_type), F.col("stamp"), F.col("payload")).alias("record_id"),
         F.lit(source).alias("source"),
         F.lit(data_type).alias("data_type"),
         F.date_format("stamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ingestion_timestamp"),

@@ -14,7 +14,6 @@ from encore.session import ensure_checkpoint_dir
 from encore.streaming.envelope import PROCESSORS, ROUTES, parse
 
 TRIGGER_SECONDS = 5
-BATCH_RECORDS = 100
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
@@ -22,20 +21,23 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def file_stream(spark: SparkSession, folder: str, pattern: str = "*", files_per_trigger: int = 100) -> DataFrame:
+def file_stream(spark: SparkSession, folder: str, pattern: str = "*", files_per_trigger: int | None = None) -> DataFrame:
     """Lines of the files landed in a folder, each file once (the checkpoint remembers them)."""
-    lines = spark.readStream.option("pathGlobFilter", pattern).option("maxFilesPerTrigger", files_per_trigger).text(folder)
+    reader = spark.readStream.option("pathGlobFilter", pattern)
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    lines = reader.text(folder)
     return lines.select("value", F.col("_metadata.file_path").alias("sequence"))
 
 
 def kafka_stream(
-    spark: SparkSession, servers: str, topic: str, records_per_trigger: int = BATCH_RECORDS, start: str = "latest"
+    spark: SparkSession, servers: str, topic: str, records_per_trigger: int | None = None, start: str = "latest"
 ) -> DataFrame:
     """Records of a Kafka topic with key, position and arrival time; needs the Kafka package."""
-    raw = spark.readStream.format("kafka").options(**{
-        "kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": start,
-        "maxOffsetsPerTrigger": str(records_per_trigger),
-    }).load()
+    options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": start}
+    if records_per_trigger is not None:
+        options["maxOffsetsPerTrigger"] = str(records_per_trigger)
+    raw = spark.readStream.format("kafka").options(**options).load()
     return raw.select(
         F.col("value").cast("string").alias("value"),
         F.col("key").cast("string").alias("partition_key"),
@@ -45,9 +47,13 @@ def kafka_stream(
 
 
 def deduplicated(parsed: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Delivery is at least once: one record per id within the delay."""
-    stamped = parsed.withColumn("ingested_at", F.try_to_timestamp(F.col("ingestion_timestamp")))
-    return stamped.withWatermark("ingested_at", delay).dropDuplicatesWithinWatermark(["record_id"])
+    """Delivery is at least once: one record per id within the delay; a record without id goes by its content."""
+    content = F.concat_ws("\n", "source", "data_type", "ingestion_timestamp", "payload")
+    named = F.concat(F.lit("id:"), F.col("record_id"))
+    stamped = parsed.withColumn("ingested_at", F.try_to_timestamp(F.col("ingestion_timestamp"))).withColumn(
+        "_once", F.coalesce(named, F.sha2(content, 256))
+    )
+    return stamped.withWatermark("ingested_at", delay).dropDuplicatesWithinWatermark(["_once"]).drop("_once")
 
 
 def route_batch(folder: str) -> Callable[[DataFrame, int], None]:
@@ -107,20 +113,22 @@ def sales_windows(sales: DataFrame, when: str, key: str, length: str = "1 hour",
 
 
 def late_rows(when: str, delay: str, folder: str) -> Callable[[DataFrame, int], None]:
-    """Batch writer that counts rows behind the newest time seen in earlier batches minus the delay."""
+    """Batch writer that counts rows behind the newest time seen in earlier batches minus the delay.
+
+    Each batch leaves the newest time of all batches so far, so the next one reads a single row.
+    """
     def count(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         seen = f"{folder}/newest"
         newest = batch.agg(F.max(when).alias("newest"))
         if batch_id > 0:
-            before = spark.read.parquet(seen).filter(F.col("batch_id") < batch_id).agg(F.max("newest").alias("m")).scalar()
+            before = batch.sparkSession.read.parquet(f"{seen}/batch_id={batch_id - 1}").select("newest").scalar()
             late = batch.filter(F.col(when) < before - F.expr(f"INTERVAL {delay}"))
+            newest = newest.select(F.greatest("newest", before).alias("newest"))
         else:
             late = batch.limit(0)
         late.agg(F.count(F.lit(1)).alias("late")).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{folder}/late")
-        newest.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(seen)
+        newest.write.mode("overwrite").parquet(f"{seen}/batch_id={batch_id}")
 
     return count
 

@@ -86,7 +86,7 @@ def test_crawl_merges_new_columns(spark, tmp_path):
 def test_bulk_load_limits_bad_rows(spark, tmp_path):
     raw = spark.createDataFrame([("1", "n" * 300, " "), ("2", None, "2020-01-01")], "artist_id string, name string, formation_date string")
     at = dt.datetime(2024, 1, 1)
-    counts = wh.bulk_load(raw, "artists", str(tmp_path / "t"), str(tmp_path / "q"), at)
+    counts = wh.bulk_load(raw, "artists", str(tmp_path / "t"), str(tmp_path / "q"), at, max_error_share=0.5)
     assert (counts["rows_loaded"], counts["rows_rejected"]) == (1, 1)
     row = spark.read.parquet(str(tmp_path / "t")).first()
     assert len(row["name"]) == 200 and row["formation_date"] is None
@@ -231,3 +231,57 @@ def test_windows_drop_late_rows_and_close(spark, tmp_path):
     run()
     rows = spark.read.parquet(str(tmp_path / "o")).orderBy("window_start").collect()
     assert [r["sales"] for r in rows] == [1, 1]
+
+
+def test_csv_files_of_different_layouts(spark, tmp_path):
+    put(tmp_path / "m", "a.csv", "id,name\n1,x\n2,y\n")
+    put(tmp_path / "m", "b.csv", "name,id\nz,3\n")
+    put(tmp_path / "m", "c.csv", "id;note\n4;a,b\n")
+    rows = files.read_csv(spark, str(tmp_path / "m"), rows=True).orderBy("id").collect()
+    assert [(r["id"], r["name"], r["note"], r["_source_row"]) for r in rows] == [
+        ("1", "x", None, 2), ("2", "y", None, 3), ("3", "z", None, 2), ("4", None, "a,b", 2)]
+
+
+def test_json_lines(spark, tmp_path):
+    put(tmp_path / "j", "lines.json", "".join(f'{{"id": {i}, "name": "n{i}"}}\n' for i in range(10)) + "{broken\n")
+    put(tmp_path / "j", "array.json", '[{"id": 10, "name": "n10"},\n {"id": 11, "name": "n11"}]')
+    rows = files.read_json(spark, str(tmp_path / "j"), "id bigint, name string", rows=True).collect()
+    assert sorted(r["id"] for r in rows if r["id"] is not None) == list(range(12))
+    assert [r["_corrupt_record"] for r in rows if r["id"] is None] == ["{broken"]
+    assert sorted(r["_source_row"] for r in rows if r["_source_file"].endswith("lines.json")) == list(range(1, 12))
+
+
+def test_mixed_folder_loses_no_row(spark, tmp_path):
+    folder = tmp_path / "x"
+    put(folder / "a", "lines.json", '{"id": 1, "name": "a"}\n{"id": 2, "name": "b"}\n')
+    put(folder / "b", "wrapped.json", '{"data": [{"id": 3, "name": "c"}]}')
+    put(folder / "c", "one.csv", "id,name\n4,d\n")
+    put(folder / "c", "two.csv", "name;id\ne;5\n")
+    put(folder / "d", "bad.json", '[{"id": ')
+    spark.createDataFrame([(6, "f")], "id bigint, name string").write.parquet(str(folder / "p"))
+    rows = files.read_mixed(spark, str(folder), "id bigint, name string").collect()
+    assert sorted((r["id"], r["name"]) for r in rows) == [(i, c) for i, c in enumerate("abcdef", 1)]
+    bad = files.read_mixed(spark, str(folder), "id bigint, name string", problems=True).collect()
+    assert [r["path"].split("/")[-1] for r in bad] == ["bad.json"]
+
+
+def test_records_with_one_stamp_or_no_id_stay(spark, tmp_path):
+    rows = spark.createDataFrame([(i, f"n{i}") for i in range(10)], "artist_id int, name string")
+    stamped = en.envelopes(rows, "artists", "x", F.lit("2024-01-31 00:00:00").cast("timestamp")).select("value")
+    nameless = stamped.select(F.regexp_replace("value", '"record_id":"[^"]*",', "").alias("value"))
+    for name, lines in (("one", stamped), ("none", nameless)):
+        lines.unionByName(lines).write.text(str(tmp_path / name))
+        found = pl.deduplicated(en.parse(pl.file_stream(spark, str(tmp_path / name))).filter("problem IS NULL"))
+        assert pl.run_available(found.select("payload"), name).count() == 10
+
+
+def test_venues_without_city_stay(spark):
+    from encore.plans import features as ft
+
+    day = dt.datetime(2024, 1, 5)
+    concerts = spark.createDataFrame(
+        [(i, i % 3, i % 2, day + dt.timedelta(days=i), 10.0, "completed", 5) for i in range(8)],
+        "concert_id int, artist_id int, venue_id int, event_date timestamp_ntz, revenue double, status string, total_attendance int")
+    venues = spark.createDataFrame([(0, None, 10, "club"), (1, "x", 10, "ARENA")], "venue_id int, city string, capacity int, venue_type string")
+    got = {r["venue_id"]: (r["city_popularity"], r["venue_type_encoded"]) for r in ft.venue_features(concerts, venues, AS_OF).collect()}
+    assert got == {0: (0.0, 2.0), 1: (4.0, 4.0)}
