@@ -6,13 +6,6 @@ import json
 
 import numpy as np
 
-_ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
-_NTH = np.zeros((256, 8), np.uint8)  # place of the n-th one of a byte
-for _b in range(256):
-    for _n, _i in enumerate(i for i in range(8) if _b >> i & 1):
-        _NTH[_b, _n] = _i
-
-
 def packed(values: np.ndarray, width: int) -> np.ndarray:
     """Values of ``width`` bits each, laid end to end in uint64 words (one spare word at the end)."""
     words = np.zeros(len(values) * width // 64 + 2, np.uint64)
@@ -35,16 +28,16 @@ def unpacked(words: np.ndarray, width: int, at: np.ndarray) -> np.ndarray:
 
 
 def _nth_one(words: np.ndarray, nth: np.ndarray) -> np.ndarray:
-    """Place of the nth one (from 0) of each word."""
-    left, place, done = nth.astype(np.int64), np.zeros(len(words), np.int64), np.zeros(len(words), bool)
-    for i in range(8):
-        byte = ((words >> np.uint64(8 * i)) & np.uint64(255)).astype(np.int64)
-        ones = _ONES[byte].astype(np.int64)
-        here = ~done & (left < ones)
-        place[here] = 8 * i + _NTH[byte[here], left[here]]
-        done |= here
-        left -= np.where(done, 0, ones)
-    return place
+    """Place of the nth one (from 0) of each word, by halves."""
+    left, place = nth.astype(np.uint8), np.zeros(len(words), np.uint64)
+    for half in (32, 16, 8, 4, 2, 1):
+        low = np.bitwise_count(words & np.uint64((1 << half) - 1))
+        above = left >= low
+        left = left - np.where(above, low, np.uint8(0))
+        step = above * np.uint64(half)
+        place += step
+        words = words >> step
+    return place.astype(np.int64)
 
 
 def encode(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
@@ -84,15 +77,23 @@ class EliasFano:
         high = self._select(self.ones, at.astype(np.int64), False) - at
         return (high.astype(np.uint64) << np.uint64(self.width)) | unpacked(self.low, self.width, at)
 
-    def successor(self, keys: np.ndarray) -> np.ndarray:
-        """Place of the first value that is not below the key: its bucket by the zeros, then bisection in the low bits."""
+    def _search(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place of the first value that is not below the key, end of the key's bucket, the key's low bits)."""
         keys = keys.astype(np.uint64)
-        if not self.n:
-            return np.zeros(len(keys), np.int64)
-        bucket = (keys >> np.uint64(self.width)).astype(np.int64)
-        low = np.where(bucket > 0, self._select(self.zeros, np.maximum(bucket - 1, 0), True) + 1 - bucket, 0)
-        high = self._select(self.zeros, bucket, True) - bucket
         part = keys & np.uint64((1 << self.width) - 1)
+        bucket = (keys >> np.uint64(self.width)).astype(np.int64)
+        # the bucket's ones stand between its zero and the one before
+        bit = np.where(bucket > 0, self._select(self.zeros, np.maximum(bucket - 1, 0), True) + 1, 0)
+        low = bit - bucket
+        word, shift = bit >> 6, (bit & 63).astype(np.uint64)
+        ahead = ~self.upper[word] >> shift
+        gone = ahead & (~ahead + np.uint64(1))  # the first zero bit after the start, if it is in this word
+        high = low + np.bitwise_count(gone - np.uint64(1)).astype(np.int64)
+        far = np.flatnonzero(ahead == 0)
+        if len(far):
+            high[far] = self._select(self.zeros, bucket[far], True) - bucket[far]
+        end = high.copy()
+        low = low.copy()
         open_ = np.flatnonzero(low < high)
         while len(open_):
             middle = (low[open_] + high[open_]) // 2
@@ -100,16 +101,21 @@ class EliasFano:
             low[open_] = np.where(below, middle + 1, low[open_])
             high[open_] = np.where(below, high[open_], middle)
             open_ = open_[low[open_] < high[open_]]
-        return low
+        return low, end, part
+
+    def successor(self, keys: np.ndarray) -> np.ndarray:
+        """Place of the first value that is not below the key: its bucket by the zeros, then bisection in the low bits."""
+        return self._search(keys)[0] if self.n else np.zeros(len(keys), np.int64)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Place of each key, -1 where it is absent."""
-        place = self.successor(keys)
-        there = np.minimum(place, max(self.n - 1, 0))
-        found = place < self.n
+        out = np.full(len(keys), -1, np.int64)
         if self.n:
-            found &= self.access(there) == keys.astype(np.uint64)
-        return np.where(found, place, -1)
+            place, end, part = self._search(keys)
+            at = np.flatnonzero(place < end)
+            at = at[unpacked(self.low, self.width, place[at]) == part[at]]
+            out[at] = place[at]
+        return out
 
 
 def to_bytes(arrays: dict[str, np.ndarray]) -> bytes:

@@ -3,31 +3,18 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TABLE_BITS = 1 << 24
-_KEPT_WORDS = 400_000
-
-
-class WordHashes(dict):
-    """64-bit hashes of words (bytes); forgets them all when it holds too many."""
+from encore.session import shuffle_partitions
 
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) >= _KEPT_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
-def lower_words(text: str | None) -> list[bytes]:
-    """Words of the text as UTF-8 with A-Z in lower case; bytes.split parts at exactly x20 and x09 to x0D."""
-    return (text or "").encode().lower().split()
+TABLE_BITS = 1 << 27
+_BLOCK = 1 << 20  # bytes hashed at once, give or take a word
+_BASE = 0x5851F42D4C957F2D  # odd, 5 mod 8
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_SPACES = np.zeros(256, bool)
+_SPACES[[0x20, 9, 10, 11, 12, 13]] = True
+_powers: dict = {}
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -41,6 +28,55 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return x
 
 
+def _codes() -> np.ndarray:
+    """A fixed 64-bit number for every byte; A-Z have those of a-z."""
+    codes = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    codes[65:91] = codes[97:123]
+    return codes
+
+
+_CODES = _codes()
+
+
+def _powers_to(size: int) -> tuple[np.ndarray, np.ndarray]:
+    if size > _BLOCK:
+        made = [np.cumprod(np.r_[np.uint64(1), np.full(size, x, np.uint64)]) for x in (_BASE, _INVERSE)]
+        return made[0], made[1]
+    if not _powers:
+        _powers["both"] = [np.cumprod(np.r_[np.uint64(1), np.full(_BLOCK, x, np.uint64)]) for x in (_BASE, _INVERSE)]
+    return _powers["both"]
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """64-bit hashes of the text's words in order, A-Z in lower case; words are parted by x20 and x09 to x0D.
+
+    A word's hash sums its bytes' codes times powers of an odd number; the sums of all words are differences of one
+    running sum, brought to the word's start by the inverse power. A text is taken in blocks that end at a space.
+    """
+    data = np.frombuffer((text or "").encode(), np.uint8)
+    out, start = [], 0
+    while start < len(data):
+        end = start + _BLOCK
+        if end < len(data):
+            spaces = np.flatnonzero(_SPACES[data[start:end]])
+            if len(spaces):
+                end = start + int(spaces[-1]) + 1
+            else:
+                after = np.flatnonzero(_SPACES[data[end:]])
+                end = end + int(after[0]) + 1 if len(after) else len(data)
+        block = data[start:end]
+        start = end
+        inside = np.zeros(len(block) + 2, np.int8)
+        inside[1:-1] = ~_SPACES[block]
+        edges = np.flatnonzero(np.diff(inside))
+        first, last = edges[::2], edges[1::2]
+        powers, inverse = _powers_to(len(block))
+        sums = np.zeros(len(block) + 1, np.uint64)
+        np.cumsum(_CODES[block] * powers[: len(block)], out=sums[1:])
+        out.append(mixed((sums[last] - sums[first]) * inverse[first] + (last - first).astype(np.uint64)))
+    return out[0] if len(out) == 1 else np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
 def odd_factors(count: int, seed: int = 5) -> np.ndarray:
     """Fixed odd 64-bit numbers."""
     return mixed(np.arange(1, count + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed)) | np.uint64(1)
@@ -61,11 +97,12 @@ def runs(hashes: np.ndarray, size: int) -> np.ndarray:
 
 
 def bit_table(values: DataFrame, column: str, bits: int = TABLE_BITS) -> bytes:
-    """Bits set at the values' remainders: built by partial sums in Spark, its size fixed by ``bits`` alone."""
+    """Bits set at the values' remainders, put together by Spark stretch by stretch; its size is fixed by ``bits``."""
     slot = F.pmod(F.col(column), F.lit(bits)) + 1  # Spark's bitmaps count from 1
+    placed = values.select(slot.alias("slot")).withColumn("bucket", F.bitmap_bucket_number("slot"))
     rows = (
-        values.select(slot.alias("slot"))
-        .groupBy(F.bitmap_bucket_number("slot").alias("bucket"))
+        placed.repartition(shuffle_partitions(values.sparkSession), "bucket")
+        .groupBy("bucket")
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("map"))
         .collect()  # at most bits / 32,768 rows of 4 KB
     )
@@ -80,3 +117,26 @@ def in_table(table: np.ndarray, values: np.ndarray, bits: int = TABLE_BITS) -> n
     """Which values may be in the table of :func:`bit_table`; ``table`` is its bytes as uint8."""
     slot = values & np.uint64(bits - 1)
     return (table[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & np.uint8(1) > 0
+
+
+_KEPT_WORDS = 400_000
+
+
+class WordHashes(dict):
+    """64-bit hashes of words (bytes); forgets them all when it holds too many."""
+
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        if len(self) >= _KEPT_WORDS:
+            self.clear()
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
+def lower_words(text: str | None) -> list[bytes]:
+    """Words of the text as UTF-8 with A-Z in lower case; bytes.split parts at exactly x20 and x09 to x0D."""
+    return (text or "").encode().lower().split()

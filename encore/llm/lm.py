@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from encore.llm import eliasfano
 from encore.llm.common import flushed
-from encore.llm.hashing import WordHashes, lower_words
+from encore.llm.hashing import word_hashes
 from encore.session import cut_lineage, ensure_checkpoint_dir, shuffle_partitions
 
 ORDER = 3
@@ -21,7 +21,7 @@ MIN_COUNT = 2
 DISCOUNT = 0.75
 CHUNK = 1_000_000  # tokens looked up at once
 COUNTED = 3_000_000  # n-grams counted before they are sent on
-_END = b"\n"  # no word holds a line end
+_END = np.uint64(0x2545F4914F6CDD1D)  # stands for the end of a text
 
 
 @dataclass
@@ -235,16 +235,15 @@ def word_shard(hashes: np.ndarray, shards: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
 
 
-def _chunks(batches, cache: WordHashes, size: int = CHUNK):
+def _chunks(batches, size: int = CHUNK):
     """(rows, starts, hashes): documents of about ``size`` tokens, each as end, words, end; starts has their places."""
     rows, parts, held = [], [], 0
-    end = np.array([cache[_END]], np.uint64)
+    end = np.array([_END])
     for batch in batches:
         columns = [batch.column(i) for i in range(batch.num_columns)]
         for at in range(batch.num_rows):
-            words = lower_words(columns[1][at].as_py())
             rows.append([c[at].as_py() for i, c in enumerate(columns) if i != 1])
-            parts.append(np.concatenate([end, cache.of(words), end]))
+            parts.append(np.concatenate([end, word_hashes(columns[1][at].as_py()), end]))
             held += len(parts[-1])
             if held >= size:
                 yield rows, np.r_[0, np.cumsum([len(p) for p in parts])], np.concatenate(parts)
@@ -277,11 +276,10 @@ def _counted(docs: DataFrame, model: Model | None, level: int, shards: int) -> D
         import pyarrow as pa
 
         schema = pa.schema([("shard", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
-        cache = WordHashes()
         trie = Trie(model) if model else None
 
         def grams():
-            for _, starts, hashes in _chunks(batches, cache):
+            for _, starts, hashes in _chunks(batches):
                 if level == 1:
                     yield np.delete(hashes, starts[:-1])
                     continue
@@ -468,10 +466,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             ("doc_id", to_arrow_type(kind)), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
             ("base_score", pa.float64()), ("score", pa.float64()),
         ])
-        trie, cache = Trie(model), WordHashes()
+        trie = Trie(model)
 
         def rows():
-            for held, starts, hashes in _chunks(batches, cache):
+            for held, starts, hashes in _chunks(batches):
                 numbers = trie.words(hashes) if model.words else np.full(len(hashes), -1, np.int64)
                 counts = trie.word_counts(numbers) if model.words else np.zeros(len(hashes), np.int64)
                 base = trie.word_logs(counts)
