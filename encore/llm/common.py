@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from encore.session import cut_lineage, shuffle_partitions
+from encore.session import cut_lineage, ensure_checkpoint_dir, shuffle_partitions
 
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -63,6 +64,13 @@ def ranged(df: DataFrame, order: Sequence[Column], partitions: int | None = None
     )
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as compressed Parquet into the shared checkpoint folder and read back: it cuts lineage too."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def before(
     totals: DataFrame, order: str, columns: dict[str, str], group: Sequence[str] = (), also: Sequence[str] = ()
 ) -> DataFrame:

@@ -8,9 +8,9 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from encore.llm.common import flushed, id_and_text
-from encore.llm.hashing import WordHashes, lower_words, runs
-from encore.session import cut_lineage, shuffle_partitions
+from encore.llm.common import flushed, id_and_text, stored
+from encore.llm.hashing import bit_table, in_table, runs, word_hashes
+from encore.session import shuffle_partitions
 
 MIN_WORDS = 50
 GRAM = 10
@@ -47,16 +47,15 @@ def _anchor_rows(docs: DataFrame, min_words: int, gram: int) -> DataFrame:
         import pyarrow as pa
         from pyspark.sql.pandas.types import to_arrow_type
 
-        cache = WordHashes()
         schema = pa.schema([("hash", pa.int64()), ("doc_id", to_arrow_type(kind)), ("pos", pa.int32())])
 
         def rows():
             for batch in batches:
                 for doc_id, text in zip(batch.column(0), batch.column(1)):
-                    words = lower_words(text.as_py())
-                    if len(words) < min_words:
+                    hashes = word_hashes(text.as_py())
+                    if len(hashes) < min_words:
                         continue
-                    grams = runs(cache.of(words), gram)
+                    grams = runs(hashes, gram)
                     at = anchors(grams, min_words - gram + 1)
                     one = doc_id.as_py()
                     for h, p in zip(grams[at].view(np.int64).tolist(), at.tolist()):
@@ -67,15 +66,17 @@ def _anchor_rows(docs: DataFrame, min_words: int, gram: int) -> DataFrame:
     return docs.mapInArrow(run, f"hash bigint, doc_id {kind.simpleString()}, pos int")
 
 
-def _suffix_rows(held: DataFrame, min_words: int, gram: int) -> DataFrame:
-    """(ahead, behind, doc_id, pos) of the wanted anchors: the words from pos on, and those before it, backwards."""
-    kind = held.schema["doc_id"].dataType
+def _suffix_rows(docs: DataFrame, table: bytes, min_words: int, gram: int) -> DataFrame:
+    """(ahead, behind, doc_id, pos) of the anchors that the bit table may hold: the words from pos on, and those
+    before it, backwards."""
+    kind = docs.schema["doc_id"].dataType
+    shared = docs.sparkSession.sparkContext.broadcast(table)  # fixed size
 
     def run(batches):
         import pyarrow as pa
         from pyspark.sql.pandas.types import to_arrow_type
 
-        cache = WordHashes()
+        bits = np.frombuffer(shared.value, np.uint8)
         schema = pa.schema([
             ("ahead", pa.binary()), ("behind", pa.binary()), ("doc_id", to_arrow_type(kind)), ("pos", pa.int32()),
         ])
@@ -83,23 +84,23 @@ def _suffix_rows(held: DataFrame, min_words: int, gram: int) -> DataFrame:
 
         def rows():
             for batch in batches:
-                for doc_id, text, wanted in zip(batch.column(0), batch.column(1), batch.column(2)):
-                    hashes = cache.of(lower_words(text.as_py()))
+                for doc_id, text in zip(batch.column(0), batch.column(1)):
+                    hashes = word_hashes(text.as_py())
+                    if len(hashes) < min_words:
+                        continue
                     grams = runs(hashes, gram)
-                    pad = np.zeros(max(min_words, back), ">u4")
-                    codes = np.concatenate([np.zeros(back, ">u4"), _short(hashes), pad])
-                    for item in wanted.as_py():
-                        p = item["pos"]
-                        # rows of equal identifier but other text meet here too
-                        if p < len(grams) and len(hashes) >= min_words and int(grams[p].view(np.int64)) == item["hash"]:
-                            yield (
-                                codes[back + p: back + p + min_words].tobytes(), codes[p: p + back][::-1].tobytes(),
-                                doc_id.as_py(), p,
-                            )
+                    at = anchors(grams, min_words - gram + 1)
+                    at = at[in_table(bits, grams[at])]
+                    codes = np.concatenate([np.zeros(back, ">u4"), _short(hashes), np.zeros(min_words, ">u4")])
+                    one = doc_id.as_py()
+                    for p in at.tolist():
+                        yield (
+                            codes[back + p: back + p + min_words].tobytes(), codes[p: p + back][::-1].tobytes(), one, p,
+                        )
 
         yield from flushed(rows(), schema, weigh=lambda r: 40 + len(r[0]) + len(r[1]))
 
-    return held.mapInArrow(run, f"ahead binary, behind binary, doc_id {kind.simpleString()}, pos int")
+    return docs.mapInArrow(run, f"ahead binary, behind binary, doc_id {kind.simpleString()}, pos int")
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -113,8 +114,7 @@ def _neighbours(ordered: DataFrame, min_words: int, gram: int) -> DataFrame:
 
     Each suffix is compared with the nearest one before and after it that lies in another document: forward for the
     common words from the anchor on, backward for those before it. ``start`` is null in the rows at the edges, which
-    are compared across partitions afterwards, and in one row (without ``behind``) for each gram with an unmatched
-    suffix.
+    are compared across partitions afterwards.
     """
     kind = ordered.schema["doc_id"].dataType
     back = min_words - gram
@@ -151,8 +151,6 @@ def _neighbours(ordered: DataFrame, min_words: int, gram: int) -> DataFrame:
                     )
             for i, (l, r, other) in best.items():
                 yield docs[i], rows[i][3] - l, rows[i][3] + r, other, other < docs[i], None, None, None
-            for loose in {rows[i][0][:4 * gram] for i in range(n) if i not in best}:
-                yield None, None, None, None, None, loose, None, None
 
         def edges(rows):
             """First and last row of the first two and the last two runs of one document."""
@@ -184,16 +182,15 @@ def _neighbours(ordered: DataFrame, min_words: int, gram: int) -> DataFrame:
 
 
 def _sorted_matches(suffixes: DataFrame, order: list[str], min_words: int, gram: int) -> DataFrame:
-    """Matches and loose grams of the suffixes in one order over all partitions."""
+    """Matches of the suffixes that are neighbours in one order over all partitions."""
     columns = ["ahead", "behind", "doc_id", "pos"]
     ordered = suffixes.repartitionByRange(shuffle_partitions(suffixes.sparkSession), *order)
-    compared = cut_lineage(_neighbours(ordered.sortWithinPartitions(*order).select(*columns), min_words, gram))
+    compared = stored(_neighbours(ordered.sortWithinPartitions(*order).select(*columns), min_words, gram))
     # a few rows per partition, so one task can hold them
-    border = compared.where("start is null and behind is not null").select(*columns)
+    border = compared.where("start is null").select(*columns)
     border = border.withColumn("gram", F.substring("ahead", 1, 4 * gram)).coalesce(1).sortWithinPartitions(*order)
     across = _neighbours(border.select(*columns), min_words, gram)
-    inside = compared.where("start is not null or behind is null")
-    return inside.unionByName(across.where("start is not null"))
+    return compared.unionByName(across).where("start is not null")
 
 
 def repeated_spans(
@@ -203,10 +200,11 @@ def repeated_spans(
 
     A suffix is kept at every position whose ten-word gram hashes lowest in some window of ``min_words`` words, so
     every passage of that length holds one at the same place wherever it stands. Anchors whose gram lies in a single
-    document go. The others' suffixes are sorted as a whole (range partitioned by content, then identifier, so that a
-    passage that a third of all documents share is spread out), each is compared with its neighbours of other
-    documents, also across partition borders, and matches are extended to both sides; ``min_words`` common words
-    make a match. Grams that leave a suffix unmatched are sorted once more by the words before the anchor. Overlapping matches of a document are laid together, apart for the two values of ``later``.
+    document go, but for a few that a bit table of 16 MB lets through. The others' suffixes are sorted as a whole
+    (range partitioned by content, then identifier, so that a passage that a third of all documents share is spread
+    out), each is compared with its neighbours of other documents, also across partition borders, and matches are
+    extended to both sides; ``min_words`` common words make a match. The same is done in the order of the words before
+    the anchors. Overlapping matches of a document are laid together, apart for the two values of ``later``.
 
     ``later`` is true where a document of smaller identifier has the passage too; a passage's first document is
     never later, so removing the later spans (:func:`without_repeats`) keeps each passage at least once.
@@ -218,20 +216,16 @@ def repeated_spans(
     """
     spark = docs.sparkSession
     texts = id_and_text(docs, id_col, text_col).where("doc_id is not null")
-    found = cut_lineage(_anchor_rows(texts, min_words, gram))
+    found = _anchor_rows(texts, min_words, gram)
     twice = found.groupBy("hash").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high")
-    wanted = found.join(twice.select("hash"), "hash").groupBy("doc_id").agg(
-        F.collect_set(F.struct("hash", "pos")).alias("wanted")  # bounded by the document's length
-    )
-    held = texts.join(wanted, "doc_id").select("doc_id", "text", "wanted")
-    suffixes = cut_lineage(_suffix_rows(held, min_words, gram))
-    compared = _sorted_matches(suffixes, ["ahead", "doc_id", "pos"], min_words, gram)
+    suffixes = stored(_suffix_rows(texts, bit_table(twice, "hash"), min_words, gram))
     # What two documents share may lie mostly before an anchor whose gram many others have as well; then the order by
-    # the words ahead does not make them neighbours. Grams with an unmatched suffix go through the other order too.
-    loose = compared.where("start is null").select(F.col("ahead").alias("gram")).distinct()
-    again = suffixes.withColumn("gram", F.substring("ahead", 1, 4 * gram)).join(loose, "gram")
-    mirrored = _sorted_matches(again, ["gram", "behind", "doc_id", "pos"], min_words, gram)
-    spans = compared.unionByName(mirrored).where("start is not null")
+    # the words ahead does not make them neighbours, but the one by the gram and the words before it does.
+    ahead = _sorted_matches(suffixes, ["ahead", "doc_id", "pos"], min_words, gram)
+    behind = _sorted_matches(
+        suffixes.withColumn("gram", F.substring("ahead", 1, 4 * gram)), ["gram", "behind", "doc_id", "pos"], min_words, gram
+    )
+    spans = ahead.unionByName(behind)
     group = ["doc_id", "later"]
     line = Window.partitionBy(*group).orderBy("start", "end")
     reach = F.max("end").over(line.rowsBetween(Window.unboundedPreceding, -1))
