@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,7 +11,8 @@ from encore.functions.similarity import (
     artist_similarity, capacity_similarity, distance_km, place_similarity, venue_similarity,
 )
 from encore.operators.neighbours import matrix_statistics, similar_concerts, similar_users
-from encore.operators.ordering import position_within
+from encore.operators.ordering import position_within, running_sums
+from encore.session import cut_lineage
 
 NEIGHBOURS = 20
 STRATEGIES = (
@@ -74,71 +77,130 @@ def _top_similar(scored: DataFrame, k: int, min_similarity: float) -> DataFrame:
     return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def similar_artists(artists: DataFrame, queries: DataFrame, k: int = 10, min_similarity: float = 0.3) -> DataFrame:
-    """(id1, id2, similarity, rank) for the artists asked for.
+def nearest_in_scope(members: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """(scope, value, id2): of ``members`` (scope, value, id) those nearest to each ``asked`` (scope, value).
 
-    Without a shared genre 0.4 * (1 - d / 100) must reach the limit, which bounds the popularity
-    gap d; so candidates share a genre or lie in the same or a neighbouring popularity band.
+    Per distinct value of a scope only the k + 1 smallest ids can be among the k best of anyone, so values are the
+    nodes; around an asked value the k + 1 values up to it and the k above are taken. Positions come from a global
+    order, so a scope that holds all members is spread over tasks.
     """
-    gap = max(100.0 * (1.0 - min_similarity / 0.4), 1.0)
-    base = artists.select("artist_id", F.transform("genre", lambda g: F.lower(g)).alias("genre"), "popularity_score")
-    asked = base.join(queries.select(F.col(queries.columns[0]).alias("artist_id")).distinct(), "artist_id", "left_semi")
-    band = F.floor(F.col("popularity_score") / gap)
-    genres = F.transform(F.array_distinct("genre"), lambda g: F.concat(F.lit("g:"), g))
-    own_band = F.array(F.concat(F.lit("p:"), band.cast("string")))
-    bands = F.transform(F.array(band - 1, band, band + 1), lambda b: F.concat(F.lit("p:"), b.cast("string")))
-    left = asked.select(
-        F.col("artist_id").alias("id1"), F.col("genre").alias("g1"), F.col("popularity_score").alias("s1"),
-        F.explode(F.concat(genres, bands)).alias("key"),
+    first = Window.partitionBy("scope", "value").orderBy("id")
+    values = members.withColumn("_nth", F.row_number().over(first)).filter(F.col("_nth") <= k + 1).groupBy(
+        "scope", "value"
+    ).agg(F.collect_list("id").alias("ids"))
+    values = cut_lineage(values)
+    placed = position_within(values.select("scope", "value"), ["scope"], [F.col("value")], "place").drop("_size")
+    asked = asked.select("scope", "value").distinct()
+    both = values.select("scope", "value", F.lit(0).alias("kind"), F.lit(1).alias("at")).unionByName(
+        asked.select("scope", "value", F.lit(1).alias("kind"), F.lit(0).alias("at"))
     )
-    right = base.select(
-        F.col("artist_id").alias("id2"), F.col("genre").alias("g2"), F.col("popularity_score").alias("s2"),
-        F.explode(F.concat(genres, own_band)).alias("key"),
+    counted = running_sums(both, ["value", "kind"], ["at"], ["scope"]).filter("kind = 1")
+    around = counted.select(
+        "scope", F.col("value").alias("asked"),
+        F.explode(F.sequence(F.greatest(F.col("at") - k, F.lit(1)), F.col("at") + k)).alias("place"),
     )
-    pairs = left.join(right, "key").filter(F.col("id1") != F.col("id2")).groupBy("id1", "id2").agg(
-        *[F.first(c).alias(c) for c in ("g1", "s1", "g2", "s2")]
+    return around.join(placed, ["scope", "place"]).join(values, ["scope", "value"]).select(
+        "scope", F.col("asked").alias("value"), F.explode("ids").alias("id2")
     )
-    similarity = artist_similarity(F.col("g1"), F.col("g2"), F.col("s1"), F.col("s2"))
-    return _top_similar(pairs.select("id1", "id2", similarity.alias("similarity")), k, min_similarity)
+
+
+def similar_artists(artists: DataFrame, queries: DataFrame, k: int = 10, min_similarity: float = 0.3) -> DataFrame:
+    """(id1, id2, similarity, rank) for the artists asked for.
+
+    Artists with the same genres are a class. In a class the similarity falls with the gap in popularity alone, so
+    only its nearest k on either side can count; classes without a shared genre are covered by the nearest of all
+    artists. Candidates per artist follow k and the number of classes with a shared genre, not the number of artists.
+    """
+    none = F.array().cast("array<string>")
+    base = artists.select(
+        F.col("artist_id").alias("id"),
+        F.array_sort(F.array_distinct(F.transform(F.coalesce("genre", none), lambda g: F.lower(g)))).alias("genre"),
+        F.col("popularity_score").cast("double").alias("value"),
+    ).filter(F.col("value").isNotNull()).withColumn("class", F.concat(F.lit("c:"), F.to_json("genre")))
+    base = cut_lineage(base)
+    asked = base.join(queries.select(F.col(queries.columns[0]).alias("id")).distinct(), "id", "left_semi")
+    members = base.select(F.explode(F.array("class", F.lit("*"))).alias("scope"), "value", "id")
+    classes = base.select("class", "genre").distinct()
+    genres = classes.select("class", F.explode("genre").alias("g"))
+    related = genres.join(genres.withColumnRenamed("class", "scope"), "g").select("class", "scope").distinct()
+    related = related.unionByName(classes.select("class", F.lit("*").alias("scope")))
+    nodes = asked.select("class", "genre", "value").distinct().join(related, "class")
+    found = nodes.join(nearest_in_scope(members, nodes, k), ["scope", "value"]).select(
+        "class", "genre", "value", "id2"
+    ).distinct()
+    other = base.select(F.col("id").alias("id2"), F.col("genre").alias("g2"), F.col("value").alias("s2"))
+    similarity = artist_similarity(F.col("genre"), F.col("g2"), F.col("value"), F.col("s2"))
+    # equal artists have equal lists, so the k + 1 best are chosen once for all of them
+    best = Window.partitionBy("class", "value").orderBy(F.desc("similarity"), "id2")
+    listed = found.join(other, "id2").select("class", "value", "id2", _stable(similarity).alias("similarity")).withColumn(
+        "_nth", F.row_number().over(best)
+    ).filter(F.col("_nth") <= k + 1)
+    pairs = asked.select(F.col("id").alias("id1"), "class", "value").join(listed, ["class", "value"]).filter(
+        F.col("id1") != F.col("id2")
+    )
+    return _top_similar(pairs.select("id1", "id2", "similarity"), k, min_similarity)
 
 
 def similar_venues(venues: DataFrame, queries: DataFrame, k: int = 10, min_similarity: float = 0.3) -> DataFrame:
     """(id1, id2, similarity, rank) for the venues asked for.
 
-    A pair reaches 0.3 only with the same type, with equal capacity, or with a place that counts:
-    within 100 km, or the same city where coordinates are missing. Those are the join keys. Places
-    meet through cells of 1 degree latitude by 2 degrees longitude and their neighbours; beyond 58
-    degrees, where meridians draw together, through the latitude alone.
+    A pair reaches 0.3 only with the same type, with equal capacity, or with a place that counts. Where the place
+    counts nothing, or the city stands for it, the similarity falls with the gap in capacity alone, so the nearest k
+    on either side are enough: of the type, of all venues, and of the city with and without the type. Venues within
+    100 km meet through cells of 1 degree latitude by 2 degrees longitude and their neighbours; beyond 58 degrees,
+    where meridians draw together, through the latitude alone.
     """
     if min_similarity < 0.3:
         raise ValueError("candidates cover similarities from 0.3 on")
-    base = venues.select("venue_id", "city", "state", "latitude", "longitude", "capacity", "venue_type")
+    base = venues.select(
+        "venue_id", "city", "state", "latitude", "longitude", "capacity", "venue_type",
+        F.log10(F.greatest(F.col("capacity"), F.lit(1)).cast("double")).alias("value"),
+    )
     asked = base.join(queries.select(F.col(queries.columns[0]).alias("venue_id")).distinct(), "venue_id", "left_semi")
-    lat, lon = F.floor("latitude"), F.pmod(F.floor(F.col("longitude") / 2), F.lit(180))
-    far_north = F.abs("latitude") >= 58
 
     def key(prefix: str, *values: Column) -> Column:
-        return F.concat_ws(":", F.lit(prefix), *[v.cast("string") for v in values])
+        named = F.concat_ws(":", F.lit(prefix), *[v.cast("string") for v in values])
+        known = [v.isNotNull() for v in values]
+        return F.when(reduce(lambda x, y: x & y, known, F.lit(True)), named)
+
+    kind, city, state = F.col("venue_type"), F.lower("city"), F.lower("state")
+    located = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
+    town = [key("town", city, state), key("town-type", city, state, kind)]
+    lost = [key("lost", city, state), key("lost-type", city, state, kind)]
+    whole = [F.lit("*"), key("type", kind)]
+    mine = F.array_compact(F.array(*whole, *town, *[F.when(~located, x) for x in lost]))
+    # with coordinates a venue meets those of its city that have none; without, it meets all of them
+    sought = F.array_compact(F.array(
+        *whole, *[F.when(located, x) for x in lost], *[F.when(~located, x) for x in town],
+    ))
+    members = base.select(F.explode(mine).alias("scope"), "value", F.col("venue_id").alias("id"))
+    wanted = asked.select(F.col("venue_id").alias("id1"), F.explode(sought).alias("scope"), "value")
+    by_size = wanted.join(nearest_in_scope(members, wanted, k), ["scope", "value"]).select("id1", "id2")
 
-    shared = [key("type", F.col("venue_type")), key("city", F.lower("city")), key("size", F.col("capacity"))]
+    lat, lon = F.floor("latitude"), F.pmod(F.floor(F.col("longitude") / 2), F.lit(180))
+    far_north = F.abs("latitude") >= 58
     cells = [
         F.when(F.abs("latitude") < 60, key("cell", lat + i, F.pmod(lon + j, F.lit(180))))
         for i in (-1, 0, 1) for j in (-1, 0, 1)
     ]
     rows = [F.when(far_north, key("lat", lat + i)) for i in (-1, 0, 1)]
-    wide = F.array_compact(F.array(*shared, *cells, *rows))
-    own = F.array_compact(F.array(*shared, cells[4], rows[1]))
-    names = [c for c in base.columns if c != "venue_id"]
-    left = asked.select(
-        F.col("venue_id").alias("id1"), *[F.col(c).alias(f"{c}1") for c in names], F.explode(wide).alias("key")
-    )
-    right = base.select(
-        F.col("venue_id").alias("id2"), *[F.col(c).alias(f"{c}2") for c in names], F.explode(own).alias("key")
+    spot = ["latitude", "longitude"]
+    left = asked.filter(located).select(
+        F.col("venue_id").alias("id1"), *[F.col(c).alias(f"{c}1") for c in spot], F.explode(F.array_compact(F.array(*cells, *rows))).alias("key")
     )
-    pairs = left.join(right, "key").filter(F.col("id1") != F.col("id2")).groupBy("id1", "id2").agg(
-        *[F.first(f"{c}{i}").alias(f"{c}{i}") for c in names for i in (1, 2)]
+    right = base.filter(located).select(
+        F.col("venue_id").alias("id2"), *[F.col(c).alias(f"{c}2") for c in spot],
+        F.explode(F.array_compact(F.array(cells[4], rows[1]))).alias("key"),
     )
     distance = distance_km(F.col("latitude1"), F.col("longitude1"), F.col("latitude2"), F.col("longitude2"))
+    by_place = left.join(right, "key").filter(distance < 100).select("id1", "id2")
+
+    names = [c for c in base.columns if c not in ("venue_id", "value")]
+    pairs = by_size.unionByName(by_place).filter(F.col("id1") != F.col("id2")).distinct()
+    for i in (1, 2):
+        pairs = pairs.join(
+            base.select(F.col("venue_id").alias(f"id{i}"), *[F.col(c).alias(f"{c}{i}") for c in names]), f"id{i}"
+        )
     same_place = (F.lower("city1") == F.lower("city2")) & (F.lower("state1") == F.lower("state2"))
     similarity = venue_similarity(
         place_similarity(distance, same_place),

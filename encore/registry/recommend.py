@@ -32,7 +32,10 @@ def _similar(find, entity, table):
 def _strategy(name):
     def build(s):
         matrix = cut_lineage(_matrix(s))
-        liked = {e: cut_lineage(_liked(s, e, matrix)) for e in ("artist_id", "venue_id")}
+        # read more than once only where they are used at all
+        needed = {"content_artist": ["artist_id"], "content_venue": ["venue_id"], "content_hybrid": ["artist_id", "venue_id"],
+                  "hybrid_all": ["artist_id", "venue_id"]}.get(name, [])
+        liked = {e: cut_lineage(_liked(s, e, matrix)) if e in needed else _liked(s, e, matrix) for e in ("artist_id", "venue_id")}
         return rc.recommend(
             name, matrix.select("user_id").distinct(), matrix, s.artists(genre=True), s.venues(), s.concerts(),
             liked["artist_id"], liked["venue_id"], matrix.select("user_id", "concert_id"))

@@ -156,6 +156,28 @@ def test_artist_similarity_prefers_shared_genre(spark):
     assert [(r["id2"], round(r["similarity"], 4)) for r in sorted(rows, key=lambda r: r["rank"])] == [("b", 0.98), ("c", 0.392)]
 
 
+def test_similar_artists_equal_all_pairs(spark):
+    rng = random.Random(8)
+    kinds = ["rock", "Pop", "jazz", "folk"]
+    rows = [(i, rng.sample(kinds, rng.randint(0, 3)) if i % 9 else None, rng.choice([0.0, 50.0, rng.uniform(0, 100), None]))
+            for i in range(80)]
+    artists = spark.createDataFrame(rows, "artist_id int, genre array<string>, popularity_score double")
+
+    def similarity(a, b):
+        x, y = ({g.lower() for g in r[1] or []} for r in (a, b))
+        shared = len(x & y) / len(x | y) if x and y else 0.0
+        return round(0.6 * shared + 0.4 * (1 - abs(a[2] - b[2]) / 100), 9)
+
+    known = [r for r in rows if r[2] is not None]
+    for k in (3, 100):
+        want = set()
+        for a in known:
+            best = sorted((-similarity(a, b), b[0]) for b in known if b[0] != a[0] and similarity(a, b) >= 0.3)[:k]
+            want |= {(a[0], b, i + 1) for i, (_, b) in enumerate(best)}
+        got = recommend.similar_artists(artists, artists.select("artist_id"), k).collect()
+        assert {(r["id1"], r["id2"], r["rank"]) for r in got} == want
+
+
 def test_similar_venues_equal_all_pairs(spark):
     rng = random.Random(4)
     rows = [(i, rng.choice("AB"), "S", rng.choice([None, rng.uniform(57, 62)]), rng.uniform(-180, 180) if i % 2 else rng.choice([179.9, -179.9]), rng.choice([100, 1000, 1000, 50000]), rng.choice(["club", "hall"])) for i in range(60)]
@@ -175,3 +197,8 @@ def test_similar_venues_equal_all_pairs(spark):
     wanted = {(a[0], b[0]): similarity(a, b) for a in rows for b in rows if a[0] != b[0] and similarity(a, b) >= 0.3}
     assert found.keys() == wanted.keys()
     assert all(abs(found[k] - wanted[k]) < 1e-6 for k in wanted)
+    few = {}
+    for (a, b), v in wanted.items():
+        few.setdefault(a, []).append(v)
+    for r in recommend.similar_venues(venues, venues.select("venue_id"), 4).collect():
+        assert abs(r["similarity"] - sorted(few[r["id1"]], reverse=True)[r["rank"] - 1]) < 1e-6
