@@ -6,8 +6,9 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from encore.plans import jobs
 from encore.registry.analysis import stage
-from encore.registry.cleaning import _RAW_CONCERTS, _report_sql
+from encore.registry.cleaning import _CONCERTS, _RAW_CONCERTS, _report_sql
 from encore.registry.helpers import AS_OF
 from encore.registry.sqlviews import rd, using
 from encore.registry.warehouse import POPULARITY, _popularity
@@ -190,7 +191,76 @@ def _status(s):
          "venue_popularity": _popularity(s)}, {"venue_popularity": "calculated_at"})
 
 
+def _checked_files(s):
+    """Files of three endings, one per event type; only two endings are accepted."""
+    folder = _folder(s, "checks")
+    rows = s.table("events").select("event_id", "event_type").repartition("event_type")
+    rows.write.partitionBy("event_type").csv(f"{folder}/a")
+    rows.write.partitionBy("event_type").json(f"{folder}/b")
+    rows.select(F.col("event_id").cast("string").alias("value"), "event_type").write.partitionBy("event_type").text(f"{folder}/c")
+    found = files.check_files(s.spark, folder, "concerts")
+    return found.groupBy(F.regexp_extract("path", r"[.](\w+)$", 1).alias("ending"), "problem").agg(
+        F.count_distinct(F.regexp_extract("path", "event_type=([^/]+)", 1)).alias("types"))
+
+
+def _concert_job(s):
+    """Raw concerts from files to the cleaned table, read back."""
+    folder = _folder(s, "job")
+    s.raw_concerts().write.json(f"{folder}/in")
+    jobs.concert_job(s.spark, f"{folder}/in", f"{folder}/out", AS_OF)
+    return s.spark.read.parquet(f"{folder}/out").select(
+        "concert_id", F.to_date("event_date_validated").alias("event_day"), "status_normalized",
+        "total_attendance_validated", "revenue_validated", "data_quality_score")
+
+
+def _listed_columns(s):
+    """CSV files without header, loaded by a column list."""
+    folder = _folder(s, "columns")
+    s.table("supplier").select("s_suppkey", "s_name", "s_acctbal").write.option("sep", "|").csv(folder)
+    raw = wh.load_csv(s.spark, folder, "artists", ["artist_id", "name", "popularity_score"], "|", header=False)
+    return raw.select(F.col("artist_id").cast("bigint").alias("artist_id"), "name", F.col("popularity_score").cast("double").alias("score"))
+
+
+def _manifest(s):
+    """Two of three folders of JSON files, as a manifest lists them."""
+    folder = _folder(s, "manifest")
+    for part in range(3):
+        s.names().filter(F.col("id") % 3 == part).write.json(f"{folder}/{part}")
+    listed = [f for part in (0, 2) for f in s.spark.read.text(f"{folder}/{part}").inputFiles()]
+    entries = F.array(*[F.struct(F.lit(f).alias("url"), F.lit(True).alias("mandatory")) for f in listed])
+    s.spark.range(1).select(entries.alias("entries")).write.json(f"{folder}/list")
+    return wh.read_manifest(s.spark, f"{folder}/list", "id bigint, name string").groupBy("name").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("id").alias("ids"))
+
+
+def _reload(s):
+    """A table that is emptied and loaded again holds the second load only."""
+    folder = _folder(s, "reload")
+    raw = s.table("supplier").select(
+        F.col("s_suppkey").cast("string").alias("artist_id"), F.col("s_name").alias("name"))
+    wh.bulk_load(raw, "artists", f"{folder}/t", f"{folder}/q", AT, mode="overwrite")
+    wh.bulk_load(raw.filter("cast(artist_id as int) % 2 = 0"), "artists", f"{folder}/t", f"{folder}/q", AT, mode="overwrite")
+    return s.spark.read.parquet(f"{folder}/t").select(F.col("artist_id").cast("bigint").alias("artist_id"), "name")
+
+
+def _load_errors(s):
+    """Errors of a load whose event dates are partly unreadable."""
+    folder = _folder(s, "errors")
+    raw = s.raw_concerts().withColumn("created_at", F.lit("2024-01-31")).withColumn("updated_at", F.lit("2024-01-31"))
+    wh.bulk_load(raw, "concerts", f"{folder}/t", f"{folder}/q", AT, max_error_share=1.0)
+    quarantine = s.spark.read.parquet(f"{folder}/q")
+    late = wh.recent_load_errors(quarantine, AT + dt.timedelta(minutes=11))
+    return wh.recent_load_errors(quarantine, AT).agg(F.count(F.lit(1)).alias("recent")).withColumn(
+        "old", late.agg(F.count(F.lit(1)).alias("n")).scalar()).withColumn("all", quarantine.agg(F.count(F.lit(1)).alias("n")).scalar())
+
+
 QUERIES = {
+    "a05_checked_files": stage(_checked_files),
+    "a07_concert_job": stage(_concert_job),
+    "a11_listed_columns": stage(_listed_columns),
+    "a12_manifest": stage(_manifest),
+    "a13_reloaded_table": stage(_reload),
+    "a16_load_errors": stage(_load_errors),
     "a01_csv_scan": stage(_csv),
     "a02_json_scan": stage(_json),
     "a03_xml_scan": stage(_xml),
@@ -208,6 +278,17 @@ QUERIES = {
     "a27_incremental_input": stage(_incremental),
 }
 ORACLE = {
+    "a05_checked_files": """
+        SELECT ending, CASE WHEN ending = 'txt' THEN 'unsupported format' END AS problem, count(DISTINCT event_type) AS types
+        FROM events, (SELECT unnest(['csv', 'json', 'txt']) AS ending) GROUP BY 1, 2""",
+    "a07_concert_job": _CONCERTS,
+    "a11_listed_columns": "SELECT s_suppkey AS artist_id, s_name AS name, s_acctbal AS score FROM supplier",
+    "a12_manifest": """
+        SELECT p_name AS name, count(*) AS rows, CAST(sum(p_partkey) AS BIGINT) AS ids FROM part WHERE p_partkey % 3 <> 1 GROUP BY 1""",
+    "a13_reloaded_table": "SELECT s_suppkey AS artist_id, s_name AS name FROM supplier WHERE s_suppkey % 2 = 0",
+    "a16_load_errors": f"""
+        SELECT least(count(*), 10) AS recent, 0 AS old, count(*) AS all
+        FROM ({_RAW_CONCERTS}) WHERE coalesce(artist_id, '') = '' OR event_date IS NULL""",
     "a01_csv_scan": """SELECT CASE WHEN p_partkey % 9 = 0 THEN NULL ELSE p_name || ' "x";' END AS name, count(*) AS rows,
         CAST(sum(p_partkey) AS BIGINT) AS ids, TRUE AS numbered FROM part GROUP BY 1""",
     "a02_json_scan": "SELECT p_name AS name, count(*) AS rows, CAST(sum(p_partkey) AS BIGINT) AS ids, TRUE AS numbered FROM part GROUP BY 1",

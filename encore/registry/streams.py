@@ -115,7 +115,14 @@ def _replayed(s):
     return pl.run_available(out.select("artist_id", "name", "popularity_score", "source"), "replayed")
 
 
+def _decoded(s):
+    """The stream values as base64 records, decoded and parsed."""
+    raw = _wire(s.table("events")).select(F.base64(F.encode("value", "UTF-8")).alias("data"))
+    return en.parse(en.decode(raw)).groupBy("data_type", "problem").agg(F.count(F.lit(1)).alias("records"))
+
+
 QUERIES = {
+    "x22_decoded_records": stage(_decoded),
     "s01_envelopes": stage(_envelopes),
     "s02_s03_parsed_records": stage(lambda s: _parsed(s).groupBy("data_type", "problem").agg(F.count(F.lit(1)).alias("records"))),
     "s04_artist_payloads": stage(lambda s: en.process_artists(_good(s, "artists")).select(
@@ -161,6 +168,7 @@ ORACLE = {
                'replay_ticket_sales_' || epoch_us(ts) || '_' || substr(md5('{"event_id":' || event_id || ',"concert_id":"'
                    || json_extract_string(props, '$.k') || '","ts":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || '"}'), 1, 16) AS record_id,
                'ticket_sales' AS data_type, event_id FROM events""",
+    "x22_decoded_records": f"SELECT data_type, problem, count(*) AS records FROM ({_OUTCOME}) GROUP BY 1, 2",
     "s02_s03_parsed_records": f"SELECT data_type, problem, count(*) AS records FROM ({_OUTCOME}) GROUP BY 1, 2",
     "s04_artist_payloads": _good_sql("artists", """'art_' || user_id AS artist_id, 'Name ' || event_id AS name,
         CASE WHEN event_id % 3 = 0 THEN 'rock' ELSE '' END AS genres, 0.0::DOUBLE AS popularity_score, 0 AS followers"""),
