@@ -48,7 +48,10 @@ def _fuzzy(s):
     nations = s.table("nation").select("n_nationkey", "n_name")
     return s.table("customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(
         "c_custkey", (fuzzy_similarity(match_key(F.col("n_name")), match_key(F.concat("n_name", F.lit(" Inc.")))) == 1).alias("same"),
-        fuzzy_similarity(match_key(F.col("c_name")), F.lit("")).alias("blank"))
+        fuzzy_similarity(match_key(F.col("c_name")), F.lit("")).alias("blank"),
+        # letters that occur nowhere else in place of the last ones: all others stay in common, in the same order
+        *[fuzzy_similarity(match_key(F.col("c_name")), F.concat(F.expr(f"left(replace(lower(c_name), '#', ' '), length(c_name) - {n})"), F.lit("z" * n)))
+          .alias(f"without_{n}") for n in (1, 4)])
 
 
 QUERIES = {
@@ -81,6 +84,7 @@ ORACLE = {
         SELECT venue_id, {rd('''2 * 6371::DOUBLE * asin(sqrt(least(1, sin(radians(5.0 - latitude) / 2) ** 2
                + cos(radians(latitude)) * cos(radians(5.0)) * sin(radians(10.0 - longitude) / 2) ** 2)))''')} AS km,
                {rd('greatest(1 - abs(log10(capacity) - log10(250)) / 3, 0)')} AS capacity_similarity FROM venues"""),
-    "x21_fuzzy_scores": "SELECT c_custkey, TRUE AS same, 0.0::DOUBLE AS blank FROM customer",
+    "x21_fuzzy_scores": """SELECT c_custkey, TRUE AS same, 0.0::DOUBLE AS blank, round(100.0 * (length(c_name) - 1) / length(c_name)) / 100 AS without_1,
+        round(100.0 * (length(c_name) - 4) / length(c_name)) / 100 AS without_4 FROM customer""",
     "x24_request_keys": "SELECT s_suppkey, md5('artist:' || s_name || ':' || s_nationkey) AS request_key FROM supplier",
 }

@@ -22,7 +22,8 @@ VIEWS = {
     "venues": """
         SELECT c_custkey AS venue_id, c_name AS name, n_name AS city, 'S' || (c_custkey % 50) AS state,
                r_name AS country, CAST(100 + floor(abs(c_acctbal) / 50) AS INTEGER) AS capacity,
-               lower(c_mktsegment) AS venue_type,
+               CASE c_mktsegment WHEN 'BUILDING' THEN 'arena' WHEN 'AUTOMOBILE' THEN 'theater' WHEN 'HOUSEHOLD' THEN 'club'
+                    ELSE lower(c_mktsegment) END AS venue_type,
                c_nationkey * 2.5::DOUBLE - 30 + (c_custkey % 100) / 100::DOUBLE AS latitude,
                c_nationkey * 5.0::DOUBLE - 60 + (c_custkey % 40) / 40::DOUBLE AS longitude
         FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 STATUS = {"F": "completed", "O": "scheduled", "P": "postponed"}
+KINDS = {"BUILDING": "arena", "AUTOMOBILE": "theater", "HOUSEHOLD": "club"}
 VENUE_TEXTS = ("Sports ARENA", "Amphitheatre ", "dance club", "Old Theater", "Town Hall", "Warehouse", "arena")
 STATUS_TEXTS = ("Confirmed ", "finished", "canceled", "rescheduled", "sold out", "SCHEDULED", "completed")
 TIER_TEXTS = ("General", "VIP", "balcony", "standing", "early_bird", "premium")
@@ -88,7 +89,7 @@ class Stage:
             F.concat(F.lit("S"), (key % 50).cast("string")).alias("state"),
             F.col("r_name").alias("country"),
             (100 + F.floor(F.abs("c_acctbal") / 50)).cast("int").alias("capacity"),
-            F.lower("c_mktsegment").alias("venue_type"),
+            F.lower(F.coalesce(*[F.when(F.col("c_mktsegment") == k, v) for k, v in KINDS.items()], "c_mktsegment")).alias("venue_type"),
             (nation * 2.5 - 30 + (key % 100) / 100).alias("latitude"),
             (nation * 5.0 - 60 + (key % 40) / 40).alias("longitude"),
         )

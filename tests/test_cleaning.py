@@ -131,3 +131,15 @@ def test_sale_rules(spark):
     assert errors["s1"] == [] and errors["s2"] == [
         "ticket_tier unknown", "quantity out of range", "total_price does not match", "purchase_timestamp in the future",
         "payment_method unknown"]
+
+
+def test_fuzzy_scores_worked_out_by_hand():
+    from encore.functions.text import fuzzy_score
+
+    # letters in common, in order, twice, over both lengths; or over a stretch as long as the shorter text
+    assert fuzzy_score("kitten", "sitting") == 0.67  # ittn in sittin: 8 of 12
+    assert fuzzy_score("abcd", "abxd") == 0.75  # abd: 6 of 8
+    assert fuzzy_score("blue note", "blue nots") == 0.89  # 16 of 18
+    assert fuzzy_score("rolling stones", "stones rolling") == 1.0  # the same words
+    assert fuzzy_score("arena hall", "arena hall two") == 1.0  # one text inside the other
+    assert fuzzy_score("club", None) == 0.0 and fuzzy_score("abc", "xyz") == 0.0
