@@ -64,11 +64,34 @@ def ranged(df: DataFrame, order: Sequence[Column], partitions: int | None = None
     )
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` written as compressed Parquet into the shared checkpoint folder and read back: it cuts lineage too."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+class Scratch:
+    """Intermediate tables of one operator call, as compressed Parquet in the shared checkpoint folder.
+
+    Writing a table and reading it back cuts its lineage, so a lost executor undoes nothing. Once the operator's
+    result is written itself (:meth:`finished`), all of them go.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folder = f"{ensure_checkpoint_dir(spark)}/scratch-{uuid.uuid4().hex}"
+        self.count = 0
+
+    def stored(self, df: DataFrame) -> DataFrame:
+        self.count += 1
+        path = f"{self.folder}/{self.count}"
+        df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def finished(self, result: DataFrame) -> DataFrame:
+        kept = cut_lineage(result)
+        delete_folder(self.spark, self.folder)
+        return kept
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of the shared store that this package has made."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def before(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from encore.session import shuffle_partitions
 
-TABLE_BITS = 1 << 27
+TABLE_BITS = 1 << 26
 _BLOCK = 1 << 20  # bytes hashed at once, give or take a word
 _BASE = 0x5851F42D4C957F2D  # odd, 5 mod 8
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -117,26 +117,3 @@ def in_table(table: np.ndarray, values: np.ndarray, bits: int = TABLE_BITS) -> n
     """Which values may be in the table of :func:`bit_table`; ``table`` is its bytes as uint8."""
     slot = values & np.uint64(bits - 1)
     return (table[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & np.uint8(1) > 0
-
-
-_KEPT_WORDS = 400_000
-
-
-class WordHashes(dict):
-    """64-bit hashes of words (bytes); forgets them all when it holds too many."""
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) >= _KEPT_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
-def lower_words(text: str | None) -> list[bytes]:
-    """Words of the text as UTF-8 with A-Z in lower case; bytes.split parts at exactly x20 and x09 to x0D."""
-    return (text or "").encode().lower().split()

@@ -6,22 +6,25 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from encore.llm.common import flushed
+from encore.llm.common import Scratch, flushed
 from encore.llm.graph import components
-from encore.llm.hashing import WordHashes, bit_table, in_table, lower_words, runs
+from encore.llm.hashing import bit_table, in_table, runs, word_hashes
 from encore.session import cut_lineage, shuffle_partitions
 
 WORDS = 5
 PERCENT = 75
-SAMPLE = 4  # one document in so many is counted to learn which shingles are frequent
-FREQUENT = 8  # documents of that part
+SAMPLE = 8  # one document in so many is counted to learn which shingles are frequent
+FREQUENT = 2  # documents of that part from which on a shingle counts as frequent
 BLOCK = 256  # sets on a side of a tile
+LAGS = 4  # sets before it that a set is compared with at once, in order of size
+WIDE = 16  # bits per element of the maps that decide which sets are moved
+KEY_BITS = 48  # of a shingle's hash, to meet by; more sets meet if keys are equal by chance, and none fewer
 _SEEN = 200_000
 
 
-def shingles(text: str | None, cache: WordHashes, words: int = WORDS) -> np.ndarray:
+def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     """The sorted distinct shingle hashes of a text."""
-    return np.unique(runs(cache.of(lower_words(text)), words))
+    return np.unique(runs(word_hashes(text), words))
 
 
 def prefix_size(n: int, percent: int = PERCENT) -> int:
@@ -29,14 +32,15 @@ def prefix_size(n: int, percent: int = PERCENT) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def width_of(n: int) -> int:
-    """Bits of a set's signature: the power of two from 4n up, at least 64. Sets of one size band differ by one step."""
-    return max(64, 1 << (4 * n - 1).bit_length())
+def width_of(n: int, each: int = 4) -> int:
+    """Bits of a set's signature: the power of two from ``each`` times n up, at least 64. Sets of one size band differ
+    by one step."""
+    return max(64, 1 << (each * n - 1).bit_length())
 
 
-def signature(hashes: np.ndarray) -> np.ndarray:
+def signature(hashes: np.ndarray, each: int = 4) -> np.ndarray:
     """Bitmap of the hashes' low bits, as uint64 words."""
-    width = width_of(len(hashes))
+    width = width_of(len(hashes), each)
     flags = np.zeros(width, np.uint8)
     flags[(hashes & np.uint64(width - 1)).astype(np.int64)] = 1
     return np.packbits(flags, bitorder="little").view(np.uint64)
@@ -49,11 +53,12 @@ def folded(words: np.ndarray, count: int) -> np.ndarray:
     return words
 
 
-def bounded_pairs(nodes, sizes, groups, maps, left, right, percent: int = PERCENT):
-    """Index pairs (of left x right, or above the diagonal if right is None) whose bit counts allow a link.
+def bounded_pairs(nodes, sizes, groups, maps, left, right, percent: int = PERCENT, best: bool = False):
+    """Node pairs (of left x right, or above the diagonal if right is None) whose bit counts allow a link.
 
     Every bit that one map has and the other lacks stands for at least one element outside the intersection, so
-    size - bits is an upper bound of the overlap. Pairs of equal group, or out of the size band, are left out.
+    size - bits is an upper bound of the overlap. Pairs of equal group, or out of the size band, are left out. With
+    ``best`` only the pair with the most room over the limit is returned for each node.
     """
     alone = right is None
     right = left if alone else right
@@ -65,7 +70,7 @@ def bounded_pairs(nodes, sizes, groups, maps, left, right, percent: int = PERCEN
     if alone:
         fit &= np.triu(np.ones(fit.shape, bool), 1)
     i, j = np.nonzero(fit)
-    found = []
+    found, room = [], []
     step = max(1, (4 << 20) // (8 * count))
     for k in range(0, len(i), step):
         x, y = i[k:k + step], j[k:k + step]
@@ -73,23 +78,38 @@ def bounded_pairs(nodes, sizes, groups, maps, left, right, percent: int = PERCEN
         over_a = size_a[x] - (np.bitwise_count(a[x]).sum(1, dtype=np.int64) - common)
         over_b = size_b[y] - (np.bitwise_count(b[y]).sum(1, dtype=np.int64) - common)
         most = np.minimum(over_a, over_b)
-        good = (100 + percent) * most >= percent * (size_a[x] + size_b[y])
+        over = (100 + percent) * most - percent * (size_a[x] + size_b[y])
+        good = over >= 0
         found.append(np.stack([nodes[left][x[good]], nodes[right][y[good]]], 1))
-    return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+        room.append(over[good] / (size_a[x[good]] + size_b[y[good]]))
+    if not found:
+        return np.zeros((0, 2), np.int64)
+    pairs = np.concatenate(found)
+    if best:
+        pairs = pairs[np.argsort(-np.concatenate(room), kind="stable")]
+        pairs = pairs[np.union1d(*[np.unique(pairs[:, side], return_index=True)[1] for side in (0, 1)])]
+    return pairs
 
 
-def _pass(docs: DataFrame, mode: str, table: bytes | None, words: int, percent: int) -> DataFrame:
+def _read(docs: DataFrame, mode: str, table: bytes, words: int, percent: int, scratch: Scratch) -> DataFrame:
+    """What :func:`_pass` gives, written; the table goes from all machines afterwards."""
+    shared = docs.sparkSession.sparkContext.broadcast(table)  # fixed size
+    out = scratch.stored(_pass(docs, mode, shared, words, percent))
+    shared.destroy()
+    return out
+
+
+def _pass(docs: DataFrame, mode: str, shared, words: int, percent: int) -> DataFrame:
     """One reading of the texts.
 
-    ``count``: the first shingles in hash order, to learn the frequent ones. ``index``: one row per document with its
-    set's node and, once per task and node, its first shingles in the common order (rare before frequent, then by
-    hash). ``sets``: the sets of the documents that the bit table may hold.
+    ``count``: the first half of the shingles in hash order, to learn the frequent ones. ``index``: one row per
+    document with its set's node and, once per task and node, its first shingles in the common order (rare before
+    frequent, then by hash) and its bitmap. ``sets``: the sets of the documents that the bit table may hold.
     """
     kind = docs.schema["doc_id"].dataType
-    shared = docs.sparkSession.sparkContext.broadcast(table) if table is not None else None  # fixed size
     schemas = {
         "count": "hash bigint",
-        "index": f"doc_id {kind.simpleString()}, key bigint, n bigint, node bigint, first array<bigint>",
+        "index": f"doc_id {kind.simpleString()}, key bigint, n bigint, node bigint, first array<bigint>, map binary",
         "sets": "node bigint, n bigint, hashes array<bigint>, map binary",
     }
 
@@ -98,12 +118,11 @@ def _pass(docs: DataFrame, mode: str, table: bytes | None, words: int, percent:
         import xxhash
         from pyspark.sql.pandas.types import to_arrow_type
 
-        cache = WordHashes()
         bits = np.frombuffer(shared.value, np.uint8) if shared is not None else None
         long = pa.int64()
         schema = {
             "count": pa.schema([("hash", long)]),
-            "index": pa.schema([("doc_id", to_arrow_type(kind)), ("key", long), ("n", long), ("node", long), ("first", pa.list_(long))]),
+            "index": pa.schema([("doc_id", to_arrow_type(kind)), ("key", long), ("n", long), ("node", long), ("first", pa.list_(long)), ("map", pa.binary())]),
             "sets": pa.schema([("node", long), ("n", long), ("hashes", pa.list_(long)), ("map", pa.binary())]),
         }[mode]
         seen: set[int] = set()
@@ -115,26 +134,27 @@ def _pass(docs: DataFrame, mode: str, table: bytes | None, words: int, percent:
                 for at, (doc_id, text) in enumerate(zip(batch.column(0), batch.column(1))):
                     if wanted is not None and not wanted[at]:
                         continue
-                    hashes = shingles(text.as_py(), cache, words)
+                    hashes = shingles(text.as_py(), words)
                     n = len(hashes)
                     if mode == "count":
-                        for h in hashes[: prefix_size(n, percent) if n else 0].view(np.int64).tolist():
+                        for h in hashes[: (n + 1) // 2].view(np.int64).tolist():
                             yield (h,)
                         continue
                     node = xxhash.xxh3_64_intdigest(hashes.tobytes()) - (1 << 63)
                     if mode == "sets":
                         if n:
-                            yield node, n, hashes.view(np.int64), signature(hashes).tobytes()
+                            yield node, n, hashes.view(np.int64), signature(hashes, WIDE).tobytes()
                         continue
-                    first = None
+                    first = bitmap = None
                     if n and node not in seen:
                         if len(seen) >= _SEEN:
                             seen.clear()
                         seen.add(node)
                         size = prefix_size(n, percent)
-                        order = np.argsort(in_table(bits, hashes), kind="stable")[:size] if bits is not None else slice(size)
-                        first = hashes[order].view(np.int64)
-                    yield doc_id.as_py(), int(keys[at]), n, node if n else None, first
+                        order = np.argsort(in_table(bits, hashes), kind="stable")[:size]
+                        first = (hashes[order] >> np.uint64(64 - KEY_BITS)).view(np.int64)
+                        bitmap = signature(hashes).tobytes()
+                    yield doc_id.as_py(), int(keys[at]), n, node if n else None, first, bitmap
 
         if mode == "count":
             held = []
@@ -146,36 +166,69 @@ def _pass(docs: DataFrame, mode: str, table: bytes | None, words: int, percent:
             if held:
                 yield pa.RecordBatch.from_arrays([pa.array(held, long)], schema=schema)
             return
-        weigh = (lambda r: 64 + (0 if r[4] is None else 8 * len(r[4]))) if mode == "index" else (
+        weigh = (lambda r: 64 + (0 if r[4] is None else 8 * len(r[4]) + len(r[5]))) if mode == "index" else (
             lambda r: 64 + 8 * len(r[2]) + len(r[3]))
         yield from flushed(rows(), schema, weigh=weigh)
 
     return docs.mapInArrow(run, schemas[mode])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets really overlap enough, by the intersection of their sorted arrays."""
+def _bounded(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose bitmaps allow a link."""
+    one = maps.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("map").alias("ma"))
+    two = maps.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("map").alias("mb"))
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            keep = []
+            for na, nb, ma, mb in zip(*[batch.column(c).to_pylist() for c in ("na", "nb", "ma", "mb")]):
+                sizes, maps = np.array([na, nb]), [np.frombuffer(m, np.uint64) for m in (ma, mb)]
+                ends = np.arange(2)
+                keep.append(len(bounded_pairs(ends, sizes, ends, maps, ends[:1], ends[1:], percent)) > 0)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.join(one, "a").join(two, "b").mapInArrow(run, "a bigint, b bigint")
+
+
+def _verified(
+    pairs: DataFrame, texts: DataFrame, index: DataFrame, words: int, percent: int, scratch: Scratch
+) -> DataFrame:
+    """The pairs (a, b) whose sets really overlap enough, by the intersection of their sorted arrays.
+
+    The sets are made again from one document of each node in the pairs; a bit table of fixed size tells the reading
+    tasks which ones, and the few more that it lets through meet no pair. Wider bitmaps of these sets rule out most
+    pairs that fail, before any set moves.
+    """
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    readers = index.where("node is not null").groupBy("node").agg(F.min("key").alias("key")).join(nodes, "node")
+    sets = _read(texts, "sets", bit_table(readers, "key"), words, percent, scratch)
+    pairs = scratch.stored(_bounded(pairs, sets.select("node", "n", "map"), percent).distinct())
     one = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("hashes").alias("ha"))
     two = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("hashes").alias("hb"))
     met = pairs.join(one, "a").join(two, "b").select(
         "a", "b", "na", "nb", F.size(F.array_intersect("ha", "hb")).cast("bigint").alias("both")
     )
-    return met.where((100 + percent) * F.col("both") >= percent * (F.col("na") + F.col("nb"))).select("a", "b").distinct()
+    good = (100 + percent) * F.col("both") >= percent * (F.col("na") + F.col("nb"))
+    return scratch.stored(met.where(good).select("a", "b").distinct())
 
 
-def _tiles(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of the members (hash, node, n, group) that share a hash and are in different groups.
+def _tiles(members: DataFrame, maps: DataFrame, percent: int, best: bool, scratch: Scratch) -> DataFrame:
+    """Candidate pairs of the members (lead, node, n, group) that share a lead and are in different groups.
 
-    The members of a hash, in order of size, are cut into blocks of 256; every two blocks whose size bands meet, and
-    each block with itself, are a tile. A tile is compared by its bitmaps in one piece and only the pairs that pass
-    leave it, so a hash that very many sets share is spread over many tiles.
+    The lead of an element is the smallest node that has it; sets that share an element share its lead. Most elements
+    of a family of near copies have one of few leads, so a pair meets a few times and not once per element. The
+    members of a lead, in order of size, are cut into blocks of 256; every two blocks whose size bands meet, and each
+    block with itself, are a tile. A tile is compared by its bitmaps in one piece and only the pairs that pass leave
+    it, so a lead with very many members is spread over many tiles.
     """
     spark = members.sparkSession
-    order = Window.partitionBy("hash").orderBy("n", "node")
-    placed = members.withColumn("block", F.expr(f"(nth - 1) div {BLOCK}")) if "nth" in members.columns else (
-        members.withColumn("block", F.floor((F.row_number().over(order) - 1) / BLOCK).cast("bigint"))
-    )
-    placed = cut_lineage(placed)
+    order = Window.partitionBy("lead").orderBy("n", "node")
+    placed = scratch.stored(members.distinct().select(
+        F.col("lead").alias("hash"), "node", "n", "group",
+        F.floor((F.row_number().over(order) - 1) / BLOCK).cast("bigint").alias("block"),
+    ))
     blocks = placed.groupBy("hash", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     later = blocks.select("hash", F.col("block").alias("other"), F.col("low").alias("other_low"))
     tiles = blocks.join(later, "hash").where(
@@ -185,8 +238,7 @@ def _tiles(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     second = tiles.where("other > block").join(
         placed.withColumnRenamed("block", "other"), ["hash", "other"]
     ).select("hash", "block", "other", F.lit(1).alias("side"), "node", "n", "group")
-    maps = sets.select("node", "map").dropDuplicates(["node"])
-    rows = first.unionByName(second).join(maps, "node").withColumn(
+    rows = first.unionByName(second).join(maps.select("node", "map"), "node").withColumn(
         "bucket", F.pmod(F.xxhash64("hash", "block", "other"), F.lit(8 * shuffle_partitions(spark)))
     )
 
@@ -204,7 +256,7 @@ def _tiles(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             own = cols["block"][start] == cols["other"][start]
             left, right = (at, None) if own else (at[side == 0], at[side == 1])
             if len(left) and (own or len(right)):
-                found.append(bounded_pairs(cols["node"], cols["n"], cols["group"], maps, left, right, percent))
+                found.append(bounded_pairs(cols["node"], cols["n"], cols["group"], maps, left, right, percent, best))
         pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
         pairs = np.unique(np.sort(pairs, 1), axis=0)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
@@ -212,6 +264,20 @@ def _tiles(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.groupBy("bucket").applyInArrow(compare, "a bigint, b bigint").distinct()
 
 
+def _merged(names: DataFrame, more: DataFrame) -> DataFrame:
+    """Components (node, component) after further links; only the names of the known ones go round again."""
+    own = names.select(F.col("node").alias("a"), F.col("component").alias("na"))
+    other = names.select(F.col("node").alias("b"), F.col("component").alias("nb"))
+    lifted = more.join(own, "a", "left").join(other, "b", "left").select(
+        F.coalesce("na", "a").alias("a"), F.coalesce("nb", "b").alias("b")
+    )
+    joined = components(lifted)
+    known = names.join(
+        joined.withColumnRenamed("node", "old").withColumnRenamed("component", "new"), F.col("component") == F.col("old"), "left"
+    ).select("node", F.coalesce("new", "component").alias("component"))
+    return cut_lineage(known.unionByName(joined.join(names.select("node"), "node", "left_anti")))
+
+
 def jaccard_components(
     docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -223,71 +289,82 @@ def jaccard_components(
 
     Equal sets are one node, whatever their number. Sets that link share one of their first quarter of elements in any
     common order; shingles found in many sampled documents come last in it, which changes the work and not the result.
-    Sets that share such an element are in order of size; each is first compared with the one before it. Where the
-    links found do not already join all sets of an element, its sets are cut into size-banded tiles and compared by
-    hashed bitmaps, whose bit counts bound the overlap from above; what passes is decided by the exact intersection.
-    So a hot group of near copies costs one comparison per set and not one per pair, and no link between different
+    Elements shared by exactly the same sets count once. Sets that share one are in order of size; up to five are all
+    compared with each other, of more each with the one before it first. Where the links found do not already join
+    all of them, they are cut into size-banded tiles. All
+    comparisons are made by hashed bitmaps first, whose bit counts bound the overlap from above; what passes is decided
+    by the exact intersection.
+    So a hot group of near copies costs a few comparisons per set and not one per pair, and no link between different
     components is lost. Hashes have 64 bits.
 
     A null text is empty; a null identifier counts for no component's name; repeated rows have one node; an empty
-    table gives no rows; other columns are not read. Bit tables sent to the tasks have 2 MB at any size of the input.
+    table gives no rows; other columns are not read. Bit tables sent to the tasks have 8 MB at any size of the input; when
+    very many shingles are frequent they fill up, and the order nears that of the hashes alone.
     """
     slim = docs.select(
         F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.xxhash64(F.col(id_col)).alias("key")
     )
+    scratch = Scratch(docs.sparkSession)
     counted = _pass(slim.where(F.pmod("key", F.lit(SAMPLE)) == 0), "count", None, words, percent)
     frequent = counted.groupBy("hash").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= FREQUENT)
-    index = cut_lineage(_pass(slim, "index", bit_table(frequent, "hash"), words, percent))
+    index = _read(slim, "index", bit_table(frequent, "hash"), words, percent, scratch)
 
     order = Window.partitionBy("hash").orderBy("n", "node")
-    shared = (
+    members = Window.partitionBy("hash")
+    met_by = scratch.stored(
         index.where("first is not null").select(F.explode("first").alias("hash"), "node", "n")
         .repartition(shuffle_partitions(docs.sparkSession), "hash").dropDuplicates(["hash", "node"])
         .select(
-            "hash", "node", "n", F.lag("node").over(order).alias("before"), F.lag("n").over(order).alias("before_n"),
-            F.row_number().over(order).alias("nth"), F.count(F.lit(1)).over(Window.partitionBy("hash")).alias("of"),
+            "hash", "node", "n", F.row_number().over(order).alias("nth"), F.count(F.lit(1)).over(members).alias("of"),
+            *[F.bit_xor(F.xxhash64("node", F.lit(i))).over(members).alias(f"who{i}") for i in (1, 2)],
+            *[F.struct(F.lag("node", i).over(order).alias("node"), F.lag("n", i).over(order).alias("n")).alias(f"before{i}")
+              for i in range(1, LAGS + 1)],
         )
         .where("of > 1")
+        .select("hash", "node", "n", "nth", "of", "who1", "who2", F.transform(
+            # all sets before it where they are few, else the nearest in size
+            F.filter(
+                F.slice(F.array(*[f"before{i}" for i in range(1, LAGS + 1)]), 1, F.when(F.col("of") <= LAGS + 1, LAGS).otherwise(1)),
+                lambda x: 100 * x["n"] >= percent * F.col("n"),
+            ),
+            lambda x: x["node"],
+        ).alias("before"))
     )
-    shared = cut_lineage(shared)
-    close = (100 * F.col("before_n") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("before_n"))
-    first_pairs = shared.where(F.col("before").isNotNull() & close).select(
-        F.least("node", "before").alias("a"), F.greatest("node", "before").alias("b")
-    ).distinct()
-
-    # sets are read again from one document of each node that shares an element with another
+    # elements that exactly the same sets share say the same; one of them is kept
+    kept = met_by.where("nth = 1").groupBy("of", "who1", "who2").agg(F.min("hash").alias("hash")).select("hash")
+    shared = scratch.stored(met_by.drop("who1", "who2").join(kept, "hash", "left_semi"))
     met = shared.select("node").distinct()
-    readers = index.where("node is not null").groupBy("node").agg(F.min("key").alias("key")).join(met, "node")
-    sets = cut_lineage(_pass(slim, "sets", bit_table(readers, "key"), words, percent))
-
-    links = cut_lineage(_verified(first_pairs, sets, percent))
-    names = components(links)
-    grouped = shared.select("hash", "node", "n", "nth").join(names, "node", "left").select(
-        "hash", "node", "n", "nth", F.coalesce("component", "node").alias("group")
+    maps = scratch.stored(
+        index.where("map is not null").select("node", "n", "map").join(met, "node", "left_semi").dropDuplicates(["node"])
     )
-    apart = grouped.groupBy("hash").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high")
-    rest = _tiles(grouped.join(apart.select("hash"), "hash"), sets, percent)
-    more = cut_lineage(_verified(rest, sets, percent))
-    if more.limit(1).count():
-        # contract what is known: only the names of the first components go round again
-        own = names.select(F.col("node").alias("a"), F.col("component").alias("na"))
-        other = names.select(F.col("node").alias("b"), F.col("component").alias("nb"))
-        lifted = more.join(own, "a", "left").join(other, "b", "left").select(
-            F.coalesce("na", "a").alias("a"), F.coalesce("nb", "b").alias("b")
+    first_pairs = shared.select("node", F.explode("before").alias("other")).select(
+        F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")
+    ).distinct()
+    links = _verified(scratch.stored(_bounded(first_pairs, maps, percent)), slim, index, words, percent, scratch)
+    names = components(links)
+    # where no more than LAGS sets come before any other, all pairs have been compared
+    open_ = shared.where(F.col("of") > LAGS + 1).select("hash", "node", "n")
+    # first the most promising pair of every set, which joins most of a dense family, then all that are left
+    for best in (True, False):
+        grouped = open_.join(names, "node", "left").select("hash", "node", "n", F.coalesce("component", "node").alias("group"))
+        apart = grouped.groupBy("hash").agg(
+            F.min("group").alias("low"), F.max("group").alias("high"), F.min("node").alias("lead")
+        ).where("low <> high")
+        rest = _tiles(
+            grouped.join(apart.select("hash", "lead"), "hash").select("lead", "node", "n", "group"), maps, percent, best,
+            scratch,
         )
-        joined = components(lifted)
-        names = names.join(joined.withColumnRenamed("node", "old").withColumnRenamed("component", "new"),
-                           F.col("component") == F.col("old"), "left").select(
-            "node", F.coalesce("new", "component").alias("component")
-        ).unionByName(joined.join(names.select("node"), "node", "left_anti"))
+        more = _verified(scratch.stored(rest), slim, index, words, percent, scratch)
+        if more.limit(1).count():
+            names = _merged(names, more)
     named = index.join(names, "node", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), "node", F.coalesce("component", "node").alias("component")
     )
     smallest = named.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    return named.join(smallest, "component", "left").select(
+    return scratch.finished(named.join(smallest, "component", "left").select(
         "doc_id", "n_shingles", "node",
         F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-    )
+    ))
 
 
 def one_of_each(

@@ -8,11 +8,11 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from encore.llm import eliasfano
-from encore.llm.common import flushed
+from encore.llm.common import delete_folder, flushed
 from encore.llm.hashing import word_hashes
 from encore.session import cut_lineage, ensure_checkpoint_dir, shuffle_partitions
 
@@ -503,11 +503,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     )
 
 
-def forget(docs: DataFrame, model: Model) -> None:
+def forget(spark: SparkSession, model: Model) -> None:
     """Delete the model's files."""
-    context = docs.sparkSession.sparkContext
-    path = context._jvm.org.apache.hadoop.fs.Path(model.root)
-    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    delete_folder(spark, model.root)
 
 
 def score_corpus(
@@ -522,7 +520,7 @@ def score_corpus(
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     model = train(slim.where(~held_out(F.col("doc_id"))), order)
     scored = cut_lineage(score(slim, model))
-    forget(docs, model)
+    forget(docs.sparkSession, model)
     return scored.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known",
         F.lit(model.tokens).cast("bigint").alias("train_tokens"), "base_score", "score",

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from encore.llm.common import flushed, id_and_text, stored
+from encore.llm.common import Scratch, flushed, id_and_text
 from encore.llm.hashing import bit_table, in_table, runs, word_hashes
 from encore.session import shuffle_partitions
 
@@ -66,11 +66,10 @@ def _anchor_rows(docs: DataFrame, min_words: int, gram: int) -> DataFrame:
     return docs.mapInArrow(run, f"hash bigint, doc_id {kind.simpleString()}, pos int")
 
 
-def _suffix_rows(docs: DataFrame, table: bytes, min_words: int, gram: int) -> DataFrame:
+def _suffix_rows(docs: DataFrame, shared, min_words: int, gram: int) -> DataFrame:
     """(ahead, behind, doc_id, pos) of the anchors that the bit table may hold: the words from pos on, and those
     before it, backwards."""
     kind = docs.schema["doc_id"].dataType
-    shared = docs.sparkSession.sparkContext.broadcast(table)  # fixed size
 
     def run(batches):
         import pyarrow as pa
@@ -181,11 +180,13 @@ def _neighbours(ordered: DataFrame, min_words: int, gram: int) -> DataFrame:
     )
 
 
-def _sorted_matches(suffixes: DataFrame, order: list[str], min_words: int, gram: int) -> DataFrame:
+def _sorted_matches(
+    suffixes: DataFrame, order: list[str], min_words: int, gram: int, scratch: Scratch
+) -> DataFrame:
     """Matches of the suffixes that are neighbours in one order over all partitions."""
     columns = ["ahead", "behind", "doc_id", "pos"]
     ordered = suffixes.repartitionByRange(shuffle_partitions(suffixes.sparkSession), *order)
-    compared = stored(_neighbours(ordered.sortWithinPartitions(*order).select(*columns), min_words, gram))
+    compared = scratch.stored(_neighbours(ordered.sortWithinPartitions(*order).select(*columns), min_words, gram))
     # a few rows per partition, so one task can hold them
     border = compared.where("start is null").select(*columns)
     border = border.withColumn("gram", F.substring("ahead", 1, 4 * gram)).coalesce(1).sortWithinPartitions(*order)
@@ -200,7 +201,7 @@ def repeated_spans(
 
     A suffix is kept at every position whose ten-word gram hashes lowest in some window of ``min_words`` words, so
     every passage of that length holds one at the same place wherever it stands. Anchors whose gram lies in a single
-    document go, but for a few that a bit table of 16 MB lets through. The others' suffixes are sorted as a whole
+    document go, but for a few that a bit table of 8 MB lets through. The others' suffixes are sorted as a whole
     (range partitioned by content, then identifier, so that a passage that a third of all documents share is spread
     out), each is compared with its neighbours of other documents, also across partition borders, and matches are
     extended to both sides; ``min_words`` common words make a match. The same is done in the order of the words before
@@ -218,12 +219,16 @@ def repeated_spans(
     texts = id_and_text(docs, id_col, text_col).where("doc_id is not null")
     found = _anchor_rows(texts, min_words, gram)
     twice = found.groupBy("hash").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high")
-    suffixes = stored(_suffix_rows(texts, bit_table(twice, "hash"), min_words, gram))
+    shared = spark.sparkContext.broadcast(bit_table(twice, "hash"))  # fixed size
+    scratch = Scratch(spark)
+    suffixes = scratch.stored(_suffix_rows(texts, shared, min_words, gram))
+    shared.destroy()
     # What two documents share may lie mostly before an anchor whose gram many others have as well; then the order by
     # the words ahead does not make them neighbours, but the one by the gram and the words before it does.
-    ahead = _sorted_matches(suffixes, ["ahead", "doc_id", "pos"], min_words, gram)
+    ahead = _sorted_matches(suffixes, ["ahead", "doc_id", "pos"], min_words, gram, scratch)
     behind = _sorted_matches(
-        suffixes.withColumn("gram", F.substring("ahead", 1, 4 * gram)), ["gram", "behind", "doc_id", "pos"], min_words, gram
+        suffixes.withColumn("gram", F.substring("ahead", 1, 4 * gram)), ["gram", "behind", "doc_id", "pos"], min_words, gram,
+        scratch,
     )
     spans = ahead.unionByName(behind)
     group = ["doc_id", "later"]
@@ -232,12 +237,12 @@ def repeated_spans(
     islands = spans.select(*group, "start", "end", "other").withColumn(
         "fresh", F.coalesce(F.col("start") > reach, F.lit(True)).cast("int")
     ).withColumn("island", F.sum("fresh").over(line))
-    return islands.groupBy(*group, "island").agg(
+    return scratch.finished(islands.groupBy(*group, "island").agg(
         F.min("start").alias("start_word"), F.max("end").alias("end_word"), F.min("other").alias("other_doc_id")
     ).select(
         "doc_id", "start_word", "end_word", (F.col("end_word") - F.col("start_word")).alias("n_words"), "other_doc_id",
         "later",
-    )
+    ))
 
 
 def without_repeats(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

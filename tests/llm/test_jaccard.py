@@ -87,8 +87,24 @@ def test_components(spark):
 
 
 def test_bit_table(spark):
-    values = [0, 1, -1, 2**40 + 5, -(2**50), 32767, 32768, (1 << 24) - 1]
+    values = [0, 1, -1, 2**40 + 5, -(2**50), 32767, 32768, (1 << 24) - 1, hashing.TABLE_BITS - 1]
     table = hashing.bit_table(spark.createDataFrame([(v,) for v in values], "v bigint"), "v")
     bits = np.frombuffer(table, np.uint8)
     assert hashing.in_table(bits, np.array(values, np.int64).astype(np.uint64)).all()
-    assert np.unpackbits(bits).sum() == len({v % (1 << 24) for v in values})
+    assert np.unpackbits(bits).sum() == len({v % hashing.TABLE_BITS for v in values})
+
+
+def test_word_hashes(monkeypatch):
+    texts = ["", " ", "a", "A b\tB\x0bb\n é É ñandú 😀 \x1c x y", "w" * 300 + " " + "v" * 40, "ab ba aab aba baa " * 50]
+    for block in (1 << 20, 16):
+        monkeypatch.setattr(hashing, "_BLOCK", block)
+        hashing._powers.clear()
+        seen = {}
+        for text in texts:
+            words = plain.words(plain.lower(text))
+            hashes = hashing.word_hashes(text)
+            assert len(hashes) == len(words)
+            for w, h in zip(words, hashes.tolist()):
+                assert seen.setdefault(w, h) == h
+        assert len(set(seen.values())) == len(seen)
+    hashing._powers.clear()

@@ -1,6 +1,7 @@
 """The language model against one held in dictionaries, and the sequences under it."""
 
 import math
+import os
 import random
 from collections import Counter
 
@@ -99,7 +100,8 @@ def test_against_dictionaries(spark, order, shards):
     scores = {(r.doc_id, r.n_tokens): r.score for r in lm.score(docs, model).collect()}
     for (d, t), (_, ws) in zip(rows, tokens):
         assert scores[d, len(ws)] == pytest.approx(want.score(t), rel=0.01, abs=0.03)
-    lm.forget(docs, model)
+    lm.forget(spark, model)
+    assert not os.path.exists(lm._local(model.root))
 
 
 def test_sums_to_one():
