@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from encore.session import shuffle_partitions
 
 TABLE_BITS = 1 << 26
-_BLOCK = 1 << 20  # bytes hashed at once, give or take a word
+_BLOCK = 1 << 17  # bytes hashed at once, give or take a word
 _BASE = 0x5851F42D4C957F2D  # odd, 5 mod 8
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _SPACES = np.zeros(256, bool)

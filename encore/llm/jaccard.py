@@ -19,7 +19,7 @@ BLOCK = 256  # sets on a side of a tile
 LAGS = 4  # sets before it that a set is compared with at once, in order of size
 WIDE = 16  # bits per element of the maps that decide which sets are moved
 KEY_BITS = 48  # of a shingle's hash, to meet by; more sets meet if keys are equal by chance, and none fewer
-_SEEN = 200_000
+_SEEN = 100_000
 
 
 def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
@@ -183,7 +183,8 @@ def _bounded(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
 
         for batch in batches:
             keep = []
-            for na, nb, ma, mb in zip(*[batch.column(c).to_pylist() for c in ("na", "nb", "ma", "mb")]):
+            for row in zip(*[batch.column(c) for c in ("na", "nb", "ma", "mb")]):
+                na, nb, ma, mb = (value.as_py() for value in row)  # one pair at a time, as maps can be large
                 sizes, maps = np.array([na, nb]), [np.frombuffer(m, np.uint64) for m in (ma, mb)]
                 ends = np.arange(2)
                 keep.append(len(bounded_pairs(ends, sizes, ends, maps, ends[:1], ends[1:], percent)) > 0)
