@@ -1,4 +1,4 @@
-"""Passages that repeat across documents, by sparse suffix arrays."""
+"""Passages that repeat across documents, by the windows around sparse anchors."""
 
 from __future__ import annotations
 
@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from encore.llm.common import Scratch, flushed, id_and_text
 from encore.llm.hashing import bit_table, in_table, runs, word_hashes
-from encore.session import shuffle_partitions
 
 MIN_WORDS = 50
 GRAM = 10
+WINDOWS = 1 << 18  # rows sent on at once, give or take a document
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -35,11 +35,6 @@ def anchors(grams: np.ndarray, window: int) -> np.ndarray:
     return np.flatnonzero(_sliding(padded, window, np.maximum) == grams)
 
 
-def _short(hashes: np.ndarray) -> np.ndarray:
-    """32-bit codes of words in big-endian order, never 0, so that bytes sort as sequences of codes."""
-    return np.maximum(hashes >> np.uint64(32), np.uint64(1)).astype(">u4")
-
-
 def _anchor_rows(docs: DataFrame, min_words: int, gram: int) -> DataFrame:
     kind = docs.schema["doc_id"].dataType
 
@@ -66,9 +61,8 @@ def _anchor_rows(docs: DataFrame, min_words: int, gram: int) -> DataFrame:
     return docs.mapInArrow(run, f"hash bigint, doc_id {kind.simpleString()}, pos int")
 
 
-def _suffix_rows(docs: DataFrame, shared, min_words: int, gram: int) -> DataFrame:
-    """(ahead, behind, doc_id, pos) of the anchors that the bit table may hold: the words from pos on, and those
-    before it, backwards."""
+def _window_rows(docs: DataFrame, shared, min_words: int, gram: int) -> DataFrame:
+    """(hash, doc_id, pos) of every window of ``min_words`` words whose least gram the bit table may hold."""
     kind = docs.schema["doc_id"].dataType
 
     def run(batches):
@@ -76,122 +70,31 @@ def _suffix_rows(docs: DataFrame, shared, min_words: int, gram: int) -> DataFram
         from pyspark.sql.pandas.types import to_arrow_type
 
         bits = np.frombuffer(shared.value, np.uint8)
-        schema = pa.schema([
-            ("ahead", pa.binary()), ("behind", pa.binary()), ("doc_id", to_arrow_type(kind)), ("pos", pa.int32()),
-        ])
-        back = min_words - gram
-
-        def rows():
-            for batch in batches:
-                for doc_id, text in zip(batch.column(0), batch.column(1)):
-                    hashes = word_hashes(text.as_py())
-                    if len(hashes) < min_words:
-                        continue
-                    grams = runs(hashes, gram)
-                    at = anchors(grams, min_words - gram + 1)
-                    at = at[in_table(bits, grams[at])]
-                    codes = np.concatenate([np.zeros(back, ">u4"), _short(hashes), np.zeros(min_words, ">u4")])
-                    one = doc_id.as_py()
-                    for p in at.tolist():
-                        yield (
-                            codes[back + p: back + p + min_words].tobytes(), codes[p: p + back][::-1].tobytes(), one, p,
-                        )
-
-        yield from flushed(rows(), schema, weigh=lambda r: 40 + len(r[0]) + len(r[1]))
-
-    return docs.mapInArrow(run, f"ahead binary, behind binary, doc_id {kind.simpleString()}, pos int")
-
-
-def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Length of the common beginning of each pair of rows; 0 stands for no word and equals nothing."""
-    differ = (a != b) | (a == 0)
-    return np.where(differ.any(1), differ.argmax(1), a.shape[1])
-
-
-def _neighbours(ordered: DataFrame, min_words: int, gram: int) -> DataFrame:
-    """Matches of neighbours in a sorted partition, and the rows at its edges.
+        schema = pa.schema([("hash", pa.int64()), ("doc_id", to_arrow_type(kind)), ("pos", pa.int32())])
 
-    Each suffix is compared with the nearest one before and after it that lies in another document: forward for the
-    common words from the anchor on, backward for those before it. ``start`` is null in the rows at the edges, which
-    are compared across partitions afterwards.
-    """
-    kind = ordered.schema["doc_id"].dataType
-    back = min_words - gram
+        def together(ids, held):
+            hashes, rows, places = (np.concatenate(parts) for parts in zip(*held))
+            columns = [pa.array(hashes.view(np.int64)), ids.take(pa.array(rows)), pa.array(places.astype(np.int32))]
+            return pa.RecordBatch.from_arrays(columns, schema=schema)
 
-    def run(batches):
-        import pyarrow as pa
-        from pyspark.sql.pandas.types import to_arrow_type
-
-        ids = to_arrow_type(kind)
-        schema = pa.schema([
-            ("doc_id", ids), ("start", pa.int32()), ("end", pa.int32()), ("other", ids), ("later", pa.bool_()),
-            ("ahead", pa.binary()), ("behind", pa.binary()), ("pos", pa.int32()),
-        ])
-
-        def matches(rows):
-            n = len(rows)
-            docs = [r[2] for r in rows]
-            new = np.array([True] + [docs[i] != docs[i - 1] for i in range(1, n)])
-            starts = np.flatnonzero(new)
-            which = np.cumsum(new) - 1
-            ends = np.r_[starts[1:], n]
-            ahead = np.frombuffer(b"".join(r[0] for r in rows), ">u4").reshape(n, min_words)
-            behind = np.frombuffer(b"".join(r[1] for r in rows), ">u4").reshape(n, back)
-            best = {}
-            for near in (starts[which] - 1, np.where(ends[which] < n, ends[which], -1)):
-                mine = np.flatnonzero(near >= 0)
-                theirs = near[mine]
-                right, left = _common(ahead[mine], ahead[theirs]), _common(behind[mine], behind[theirs])
-                for k in np.flatnonzero(left + right >= min_words):
-                    i, j = int(mine[k]), int(theirs[k])
-                    l, r, other = best.get(i, (0, 0, None))
-                    best[i] = (
-                        max(l, int(left[k])), max(r, int(right[k])), docs[j] if other is None else min(other, docs[j])
-                    )
-            for i, (l, r, other) in best.items():
-                yield docs[i], rows[i][3] - l, rows[i][3] + r, other, other < docs[i], None, None, None
-
-        def edges(rows):
-            """First and last row of the first two and the last two runs of one document."""
-            cut = [0] + [i for i in range(1, len(rows)) if rows[i][2] != rows[i - 1][2]] + [len(rows)]
-            ends = list(zip(cut[:-1], cut[1:]))
-            at = sorted({i for a, b in ends[:2] + ends[-2:] for i in (a, b - 1)})
-            return [rows[i] for i in at]
-
-        def out():
-            first, tail = None, []
-            for batch in batches:
-                if not batch.num_rows:
+        for batch in batches:
+            ids, held, size = batch.column(0), [], 0
+            for row, text in enumerate(batch.column(1)):
+                hashes = word_hashes(text.as_py())
+                if len(hashes) < min_words:
                     continue
-                rows = tail + list(zip(*[batch.column(i).to_pylist() for i in range(4)]))
-                yield from matches(rows)
-                kept = edges(rows)
-                if first is None:
-                    first = kept
-                tail = kept[-4:]
-            for ahead, behind, doc_id, pos in (first or []) + tail:
-                yield doc_id, None, None, None, None, ahead, behind, pos
-
-        yield from flushed(out(), schema, weigh=lambda r: 64 + (400 if r[1] is None else 0))
-
-    name = kind.simpleString()
-    return ordered.mapInArrow(
-        run, f"doc_id {name}, start int, end int, other {name}, later boolean, ahead binary, behind binary, pos int"
-    )
-
+                least = _sliding(runs(hashes, gram), min_words - gram + 1, np.minimum)
+                at = np.flatnonzero(in_table(bits, least))
+                if len(at):
+                    held.append((runs(hashes, min_words)[at], np.full(len(at), row), at))
+                    size += len(at)
+                if size >= WINDOWS:
+                    yield together(ids, held)
+                    held, size = [], 0
+            if held:
+                yield together(ids, held)
 
-def _sorted_matches(
-    suffixes: DataFrame, order: list[str], min_words: int, gram: int, scratch: Scratch
-) -> DataFrame:
-    """Matches of the suffixes that are neighbours in one order over all partitions."""
-    columns = ["ahead", "behind", "doc_id", "pos"]
-    ordered = suffixes.repartitionByRange(shuffle_partitions(suffixes.sparkSession), *order)
-    compared = scratch.stored(_neighbours(ordered.sortWithinPartitions(*order).select(*columns), min_words, gram))
-    # a few rows per partition, so one task can hold them
-    border = compared.where("start is null").select(*columns)
-    border = border.withColumn("gram", F.substring("ahead", 1, 4 * gram)).coalesce(1).sortWithinPartitions(*order)
-    across = _neighbours(border.select(*columns), min_words, gram)
-    return compared.unionByName(across).where("start is not null")
+    return docs.mapInArrow(run, f"hash bigint, doc_id {kind.simpleString()}, pos int")
 
 
 def repeated_spans(
@@ -199,18 +102,20 @@ def repeated_spans(
 ) -> DataFrame:
     """doc_id, start_word, end_word (exclusive), n_words, other_doc_id, later: what repeats in another document.
 
-    A suffix is kept at every position whose ten-word gram hashes lowest in some window of ``min_words`` words, so
-    every passage of that length holds one at the same place wherever it stands. Anchors whose gram lies in a single
-    document go, but for a few that a bit table of 8 MB lets through. The others' suffixes are sorted as a whole
-    (range partitioned by content, then identifier, so that a passage that a third of all documents share is spread
-    out), each is compared with its neighbours of other documents, also across partition borders, and matches are
-    extended to both sides; ``min_words`` common words make a match. The same is done in the order of the words before
-    the anchors. Overlapping matches of a document are laid together, apart for the two values of ``later``.
-
-    ``later`` is true where a document of smaller identifier has the passage too; a passage's first document is
-    never later, so removing the later spans (:func:`without_repeats`) keeps each passage at least once.
-    ``other_doc_id`` is the smallest identifier among the compared neighbours. Words are compared with A-Z in lower
-    case; repeats inside one document only are not reported.
+    Every window of ``min_words`` words that two documents hold is found, so every passage of that length or more is,
+    whatever stands around it. An anchor is a position whose ten-word gram hashes lowest in some window; a window that
+    is shared has its least gram shared as well. Anchors whose gram lies in a single document go, but for a few that a
+    bit table of 8 MB lets through, and only windows around the others are hashed. Windows are grouped by their hash, of
+    64 bits: the smallest and the largest identifier of each group are partial aggregates, so a passage that a third of
+    all documents share is no group in one task. Overlapping windows of a document are laid together, apart for the two
+    values of ``later``.
+
+    ``later`` is true where a document of smaller identifier has the window too, whichever of all documents that is.
+    The first document of a window is never later by it, so after removing the later spans (:func:`without_repeats`)
+    every word cut still stands, within such a window, in a document of smaller identifier. ``other_doc_id`` is the
+    smallest identifier that holds a window of a later span; of other spans, whose document itself is the smallest, the
+    smallest over the windows of the largest identifier that holds each. Words are compared with A-Z in lower case;
+    repeats inside one document only are not reported.
 
     Null and short texts have no passages; rows with a null identifier are left out, as no result could name them;
     rows with equal identifiers count as one document. An empty table gives no rows. Other columns are not read.
@@ -221,21 +126,20 @@ def repeated_spans(
     twice = found.groupBy("hash").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high")
     shared = spark.sparkContext.broadcast(bit_table(twice, "hash"))  # fixed size
     scratch = Scratch(spark)
-    suffixes = scratch.stored(_suffix_rows(texts, shared, min_words, gram))
+    windows = scratch.stored(_window_rows(texts, shared, min_words, gram))
     shared.destroy()
-    # What two documents share may lie mostly before an anchor whose gram many others have as well; then the order by
-    # the words ahead does not make them neighbours, but the one by the gram and the words before it does.
-    ahead = _sorted_matches(suffixes, ["ahead", "doc_id", "pos"], min_words, gram, scratch)
-    behind = _sorted_matches(
-        suffixes.withColumn("gram", F.substring("ahead", 1, 4 * gram)), ["gram", "behind", "doc_id", "pos"], min_words, gram,
-        scratch,
+    held = windows.groupBy("hash").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    # stored, so that the join reads both sides as they were dealt out and Spark can split the rows of a hot window
+    held = scratch.stored(held.where("low <> high"))
+    later = F.col("doc_id") > F.col("low")
+    spans = windows.join(held, "hash").select(
+        "doc_id", later.alias("later"), F.col("pos").alias("start"), (F.col("pos") + min_words).alias("end"),
+        F.when(later, F.col("low")).otherwise(F.col("high")).alias("other"),
     )
-    spans = ahead.unionByName(behind)
     group = ["doc_id", "later"]
-    line = Window.partitionBy(*group).orderBy("start", "end")
-    reach = F.max("end").over(line.rowsBetween(Window.unboundedPreceding, -1))
-    islands = spans.select(*group, "start", "end", "other").withColumn(
-        "fresh", F.coalesce(F.col("start") > reach, F.lit(True)).cast("int")
+    line = Window.partitionBy(*group).orderBy("start")
+    islands = spans.withColumn(
+        "fresh", F.coalesce(F.col("start") > F.lag("end").over(line), F.lit(True)).cast("int")
     ).withColumn("island", F.sum("fresh").over(line))
     return scratch.finished(islands.groupBy(*group, "island").agg(
         F.min("start").alias("start_word"), F.max("end").alias("end_word"), F.min("other").alias("other_doc_id")

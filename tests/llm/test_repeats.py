@@ -102,3 +102,25 @@ def test_anchors():
             part = grams[i:i + window]
             want.update(int(i + j) for j in np.flatnonzero(part == part.min()))
         assert set(repeats.anchors(grams, window).tolist()) == want
+
+
+def exactly(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    spans = repeats.repeated_spans(docs).collect()
+    assert covered(spans) == shared_places(rows)
+    return docs, spans
+
+
+def test_only_the_first_of_all_is_not_later(spark):
+    rng, number = random.Random(3), iter(range(1_000_000))
+
+    def some(n):  # no word twice
+        return [f"u{next(number)}" for _ in range(n)]
+
+    passages = [some(50 + 2 * i) for i in range(6)]
+    rows = [(i, " ".join(w for p in passages for w in some(rng.randint(5, 40)) + p)) for i in range(150)]
+    docs, spans = exactly(spark, rows)
+    assert {r.doc_id for r in spans if not r.later} == {0} and {r.doc_id for r in spans if r.later} == set(range(1, 150))
+    assert {r.other_doc_id for r in spans if r.later} == {0}
+    left = {r.doc_id: r.text for r in repeats.without_repeats(docs, spark.createDataFrame(spans)).collect()}
+    assert [sum(" ".join(p) in t for t in left.values()) for p in passages] == [1] * 6
