@@ -124,3 +124,18 @@ def test_only_the_first_of_all_is_not_later(spark):
     assert {r.other_doc_id for r in spans if r.later} == {0}
     left = {r.doc_id: r.text for r in repeats.without_repeats(docs, spark.createDataFrame(spans)).collect()}
     assert [sum(" ".join(p) in t for t in left.values()) for p in passages] == [1] * 6
+
+
+def test_passage_around_a_frequent_core(spark):
+    for seed in range(4):
+        rng, number = random.Random(seed), iter(range(1_000_000 * seed, 1_000_000 * (seed + 1)))
+
+        def some(n):
+            return [f"u{next(number)}" for _ in range(n)]
+
+        before, core, after = some(10), some(30), some(10)
+        middles = [before + core + after] * 2 + [core + after] * 60 + [before + core] * 60
+        rng.shuffle(middles)
+        rows = [(i, " ".join(some(45) + middle + some(45))) for i, middle in enumerate(middles)]
+        _, spans = exactly(spark, rows)
+        assert [r.n_words for r in spans] == [50, 50]
