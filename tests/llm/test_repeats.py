@@ -139,3 +139,14 @@ def test_passage_around_a_frequent_core(spark):
         rows = [(i, " ".join(some(45) + middle + some(45))) for i, middle in enumerate(middles)]
         _, spans = exactly(spark, rows)
         assert [r.n_words for r in spans] == [50, 50]
+
+
+def test_passage_many_times_in_one_document(spark):
+    number = iter(range(1_000_000))
+
+    def some(n):
+        return [f"u{next(number)}" for _ in range(n)]
+
+    passage = some(51)
+    often = [w for _ in range(600) for w in passage + some(3)]
+    exactly(spark, [(5, " ".join(often)), (9, " ".join(some(30) + passage + some(30)))])
