@@ -510,15 +510,15 @@ def forget(spark: SparkSession, model: Model) -> None:
 
 def score_corpus(
     docs: DataFrame, held_out: Callable[[Column], Column], order: int = ORDER, id_col: str = "doc_id",
-    text_col: str = "text",
+    text_col: str = "text", min_count: int = 1,
 ) -> DataFrame:
-    """Train on the rows whose identifier is not ``held_out``, then score all rows.
+    """Train on the rows whose identifier is not ``held_out``, then score all rows; n-grams seen once are kept as well.
 
     Columns: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. The scores are written to the
     checkpoint folder and the model's files go.
     """
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    model = train(slim.where(~held_out(F.col("doc_id"))), order)
+    model = train(slim.where(~held_out(F.col("doc_id"))), order, min_count)
     scored = cut_lineage(score(slim, model))
     forget(docs.sparkSession, model)
     return scored.select(

@@ -119,6 +119,17 @@ def test_better_than_words_alone(spark):
     assert {r.held_out == held(r.doc_id) for r in rows} == {True}
 
 
+def test_scores_know_what_was_seen_once(spark):
+    rows = corpus()
+    want = Plain([t for d, t in rows if not held(d)], 3, 1, 0.75)
+    assert sum(c == 1 for c in want.grams[3].values()) > 100
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    scores = {(r.doc_id, r.n_tokens): r.score for r in lm.score_corpus(docs, registry._held_out).collect()}
+    for d, t in rows:
+        tokens = len(plain.words(t)) + 1
+        assert scores[d, tokens] == pytest.approx(want.score(t), rel=0.01, abs=0.03)
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert lm.score_corpus(docs, registry._held_out).count() == 0
