@@ -371,10 +371,17 @@ def jaccard_components(
 def one_of_each(
     docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The rows of ``docs`` whose identifier names their component, with all columns: one document of each group.
+    """One row of each component of ``docs``, with all columns: the one of the smallest identifier, nulls last.
 
-    Rows of equal identifier count as one document; rows with a null identifier go only if a named one is linked.
+    Rows are told apart by a key of their own, not by their identifier, so rows of equal or null identifier stay or go
+    one by one; of several with a component's smallest identifier, any one stays. The numbered rows go to the
+    checkpoint folder, since their order may differ at a second read.
     """
-    found = jaccard_components(docs, words, percent, id_col, text_col)
-    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")
+    # one struct, so that no column of the input can clash
+    rows = cut_lineage(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")))
+    slim = rows.select("row", F.col("doc").getField(id_col).alias("id"), F.col("doc").getField(text_col).alias("text"))
+    found = jaccard_components(slim.select("row", "text"), words, percent, "row", "text")
+    ranked = found.select(F.col("doc_id").alias("row"), F.col("component_id").alias("component")).join(slim.select("row", "id"), "row")
+    rank = F.struct(F.col("id").isNull().alias("unnamed"), F.col("id"), F.col("row"))
+    stays = ranked.groupBy("component").agg(F.min(rank).alias("least")).select(F.col("least.row").alias("row"))
+    return rows.join(stays, "row", "left_semi").select("doc.*")

@@ -62,6 +62,36 @@ def test_filters(spark, number, twin):
     assert corpus_pipeline.STAGES[number][1](spark, docs.limit(0), SMALL).count() == 0
 
 
+def test_one_row_of_each_component(spark):
+    def text(start, last=""):
+        return " ".join(f"{start}{i}" for i in range(60)) + last
+
+    near = [
+        (None, text("a")), (1, text("a", " end")),  # a null one near a named one
+        (None, text("b")),  # a null one near none
+        (5, text("c")), (5, text("d")), (3, text("d", " end")),  # 5 twice, once near 3
+        (6, text("e")), (6, text("f")), (7, text("f", " end")), (2, text("e", " end")),  # 6 names a component and goes in another
+        (None, text("g")), (None, text("g", " end")),  # near copies without any name
+        (8, text("h")), (8, text("h")), (None, None), (9, ""),
+    ]
+    docs = spark.createDataFrame(near, "doc_id bigint, text string").repartition(3)
+    got = Counter((r.doc_id, (r.text or "").split(" ")[0]) for r in corpus_pipeline.ngram_jaccard(spark, docs, SMALL).collect())
+    assert got == Counter([
+        (1, "a0"), (None, "b0"), (5, "c0"), (3, "d0"), (2, "e0"), (6, "f0"), (None, "g0"), (8, "h0"), (None, ""), (9, ""),
+    ])
+
+
+def test_null_and_repeated_identifiers_stay_in(spark):
+    docs = table(spark).cache()
+    given = [tuple(r) for r in docs.collect()]
+    got = [tuple(r) for r in corpus_pipeline.ngram_jaccard(spark, docs, SMALL).collect()]
+    assert not Counter(got) - Counter(given)
+    # rows by number, those of null identifier last, so that the smallest number of a component is the row that stays
+    order = sorted(given, key=lambda r: (r[0] is None, r[0] or 0))
+    named = plain.jaccard_groups([(i, r[1]) for i, r in enumerate(order)])
+    assert Counter(r[0] for r in got) == Counter(order[i][0] for i, _, c in named if i == c)
+
+
 def test_mix(spark):
     docs = table(spark).cache()
     got = corpus_pipeline.source_mix(spark, docs, SMALL)
