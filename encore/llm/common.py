@@ -18,6 +18,10 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def conversations(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/conversations.parquet")
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", null: str | None = "") -> DataFrame:
     """Only the identifier and the text, under fixed names, so that no other column of the input can clash."""
     text = F.col(text_col).cast("string")

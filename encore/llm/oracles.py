@@ -143,9 +143,60 @@ FROM split s LEFT JOIN sizes USING (row_) JOIN reach r USING (row_) JOIN split t
 GROUP BY s.row_, s.doc_id, n
 """
 
+# CRC-32 of a text's bytes as above, of a column "s" of a relation "keys"
+_CRC = """
+bits(i, x, k) AS (
+    SELECT i, i, 0 FROM range(256) t(i)
+    UNION ALL
+    SELECT i, CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, k + 1 FROM bits WHERE k < 8
+),
+crc AS (SELECT list(x ORDER BY i) AS t FROM bits WHERE k = 8),
+summed AS (
+    SELECT s, xor(list_reduce(
+        list_concat([4294967295::BIGINT], list_transform(regexp_extract_all(hex(s), '..'), lambda b: ('0x' || b)::BIGINT)),
+        lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) AS sum_
+    FROM keys, crc
+)"""
+
+TRIE = f"""
+WITH RECURSIVE turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+lists AS (
+    SELECT conv_id, list({{'r': role, 't': text}} ORDER BY turn NULLS FIRST, role, sha256(text)) AS l
+    FROM turns GROUP BY conv_id
+),
+keys AS (SELECT conv_id::VARCHAR AS s FROM lists),
+{_CRC},
+known AS (SELECT l.*, (sum_ % 6)::BIGINT AS h FROM lists l JOIN summed ON conv_id::VARCHAR = s),
+rebuilt AS (
+    SELECT c.conv_id, list_concat(coalesce(b.l, [])[1:h], c.l[h + 1:]) AS l
+    FROM known c LEFT JOIN lists b ON b.conv_id = c.conv_id - c.conv_id % 100
+),
+prefix AS (SELECT conv_id, len(l) AS n, unnest(range(len(l) + 1)) AS d, l FROM rebuilt),
+nodes AS (
+    SELECT d, l[1:d] AS p, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * coalesce(length(l[d].t), 0) AS saved,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE n = d), '')) AS ends
+    FROM prefix GROUP BY d, l[1:d], l[d].t
+),
+born AS (SELECT d - 1 AS d, p[1:d - 1] AS p, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1, 2),
+grown AS (
+    SELECT x.*, coalesce(n, 0) AS n_children FROM nodes x LEFT JOIN born y ON x.d = y.d AND x.p = y.p
+),
+lines AS (SELECT p[1:a] AS p, a AS d, n_children, saved FROM (SELECT *, unnest(range(d + 1)) AS a FROM grown)),
+totals AS (
+    SELECT d, p, sum((n_children = 0)::BIGINT)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM lines GROUP BY d, p
+)
+SELECT x.conv_id, x.d::BIGINT AS depth, u.conv_id AS parent_conv_id, x.n_convs::BIGINT AS n_convs,
+    x.n_children::BIGINT AS n_children, n_leaves, saved_tokens, x.ends AS ends_sha256
+FROM grown x JOIN totals t ON x.d = t.d AND x.p = t.p LEFT JOIN nodes u ON u.d = x.d - 1 AND u.p = x.p[1:x.d - 1] AND x.d > 0
+"""
+
 ORACLE = {
     "op3_byte_balanced_shards": SHARDING,
     "op5_content_sort_dedup": EXACT,
     "op6_hypergeometric_mix": mixing(),
     "op8_jaccard_tiles": JACCARD,
+    "op11_rollup_trie": TRIE,
 }

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm import exact, jaccard, lm, mixing, packing, pii, quality, repeats, secrets, sharding, tokens
-from encore.llm.common import documents
+from encore.llm import exact, jaccard, lm, mixing, packing, pii, quality, repeats, secrets, sharding, tokens, trie
+from encore.llm.common import conversations, documents
 from encore.llm.oracles import ORACLE  # noqa: F401
 
 
@@ -64,6 +64,10 @@ def op10_elias_fano_lm(spark: SparkSession, folder: str) -> DataFrame:
     return lm.score_corpus(documents(spark, folder), _held_out)
 
 
+def op11_rollup_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.conversation_trie(conversations(spark, folder), rebuild=True)
+
+
 def op12_linear_grouping_pack(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -74,6 +78,6 @@ QUERIES = {
     f.__name__: f for f in (
         op1_sparse_suffix_repeats, op2_line_first_cleaning, op3_byte_balanced_shards, op4_bootstrapped_pii,
         op5_content_sort_dedup, op6_hypergeometric_mix, op7_secret_ownership, op8_jaccard_tiles, op9_byte_bpe,
-        op10_elias_fano_lm, op12_linear_grouping_pack,
+        op10_elias_fano_lm, op11_rollup_trie, op12_linear_grouping_pack,
     )
 }
