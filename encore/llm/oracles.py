@@ -164,7 +164,7 @@ WITH RECURSIVE turns AS (
     FROM conversations WHERE conv_id IS NOT NULL
 ),
 lists AS (
-    SELECT conv_id, list({{'r': role, 't': text}} ORDER BY turn NULLS FIRST, role, sha256(text)) AS l
+    SELECT conv_id, list({{'r': role, 't': text}} ORDER BY turn NULLS FIRST, role, sha256(length(role) || ':' || role || ':' || text)) AS l
     FROM turns GROUP BY conv_id
 ),
 keys AS (SELECT conv_id::VARCHAR AS s FROM lists),
@@ -193,10 +193,86 @@ SELECT x.conv_id, x.d::BIGINT AS depth, u.conv_id AS parent_conv_id, x.n_convs::
 FROM grown x JOIN totals t ON x.d = t.d AND x.p = t.p LEFT JOIN nodes u ON u.d = x.d - 1 AND u.p = x.p[1:x.d - 1] AND x.d > 0
 """
 
+# forward over the rows, the cheapest and then ASCII-least audit of each state; states 0 start, 1 s, 2 u, 3 a
+REPAIR = f"""
+WITH RECURSIVE keys AS (
+    SELECT DISTINCT coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS s FROM conversations
+),
+{_CRC},
+faulty AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, sum_ % 20 AS k
+    FROM conversations JOIN summed ON s = coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')
+),
+damaged AS (
+    SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+        CASE WHEN k = 1 THEN '' WHEN k = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+        unnest(CASE WHEN k = 0 THEN [] WHEN k = 3 THEN [0, 1] ELSE [0] END) AS copy
+    FROM faulty
+),
+ordered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(length(role) || ':' || role || ':' || text), copy) AS pos,
+        row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth,
+        rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body
+    FROM damaged
+),
+marked AS (
+    SELECT *, CASE WHEN body = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+        WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+        left(role, 1) AS i, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS i0
+    FROM ordered
+),
+counted AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+        count(*) FILTER (WHERE fault = 'truncated') AS truncated, max(pos) AS n,
+        count(*) FILTER (WHERE i0 IS NOT NULL AND i0 || i NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM marked GROUP BY conv_id
+),
+inserts(state, to_, cost, letters, lines) AS (
+    VALUES (0, 0, 0, '', []::VARCHAR[]), (1, 1, 0, '', []), (2, 2, 0, '', []), (3, 3, 0, '', []),
+        (0, 2, 3, 'I', ['user:']), (0, 3, 6, 'II', ['user:', 'assistant:']), (1, 2, 3, 'I', ['user:']),
+        (1, 3, 6, 'II', ['user:', 'assistant:']), (2, 3, 3, 'I', ['assistant:']), (3, 2, 3, 'I', ['user:'])
+),
+writes(state, to_, role) AS (VALUES (0, 1, 's'), (0, 2, 'u'), (1, 2, 'u'), (2, 3, 'a'), (3, 2, 'u')),
+options AS (
+    SELECT m.conv_id, m.pos, w.state, w.to_,
+        CASE WHEN i = w.role THEN 0 ELSE 3 END + CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS cost,
+        CASE WHEN i = w.role THEN 'K' ELSE 'R' END AS letter,
+        [CASE WHEN i = w.role THEN m.role WHEN w.role = 'u' THEN 'user' ELSE 'assistant' END || ':' || text] AS line
+    FROM marked m, writes w WHERE fault NOT IN ('blank', 'duplicate') AND (w.role <> 's' OR i = 's')
+    UNION ALL
+    SELECT conv_id, pos, state, state, 4, 'D', []::VARCHAR[] FROM marked, range(4) t(state)
+),
+steps(conv_id, pos, state, cost, audit, lines) AS (
+    SELECT conv_id, 0::BIGINT, to_, cost, letters, lines FROM counted, inserts WHERE state = 0
+    UNION ALL
+    SELECT conv_id, pos, to_, cost, audit, lines FROM (
+        SELECT s.conv_id, o.pos, x.to_, s.cost + o.cost + x.cost AS cost, s.audit || o.letter || x.letters AS audit,
+            list_concat(list_concat(s.lines, o.line), x.lines) AS lines,
+            row_number() OVER (PARTITION BY s.conv_id, x.to_ ORDER BY s.cost + o.cost + x.cost, s.audit || o.letter || x.letters) AS nth
+        FROM steps s JOIN options o ON s.conv_id IS NOT DISTINCT FROM o.conv_id AND o.pos = s.pos + 1 AND o.state = s.state
+        JOIN inserts x ON x.state = o.to_
+    ) WHERE nth = 1
+),
+best AS (
+    SELECT s.conv_id, cost, audit, lines FROM steps s JOIN counted c ON s.conv_id IS NOT DISTINCT FROM c.conv_id
+    WHERE pos = n AND state IN (0, 3)
+    QUALIFY row_number() OVER (PARTITION BY s.conv_id ORDER BY cost, audit) = 1
+)
+SELECT d.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+    coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+    coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit,
+    sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) d
+LEFT JOIN counted c ON d.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN best b ON d.conv_id IS NOT DISTINCT FROM b.conv_id
+"""
+
 ORACLE = {
     "op3_byte_balanced_shards": SHARDING,
     "op5_content_sort_dedup": EXACT,
     "op6_hypergeometric_mix": mixing(),
     "op8_jaccard_tiles": JACCARD,
     "op11_rollup_trie": TRIE,
+    "op13_block_table_repair": REPAIR,
 }

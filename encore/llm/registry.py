@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm import exact, jaccard, lm, mixing, packing, pii, quality, repeats, secrets, sharding, tokens, trie
+from encore.llm import exact, jaccard, lm, mixing, packing, pii, quality, repair, repeats, secrets, sharding, tokens, trie
 from encore.llm.common import conversations, documents
 from encore.llm.oracles import ORACLE  # noqa: F401
 
@@ -74,10 +74,16 @@ def op12_linear_grouping_pack(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op13_block_table_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = repair.readable(conversations(spark, folder))
+    return repair.repair_report(repair.damaged(rows), rows)
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_sparse_suffix_repeats, op2_line_first_cleaning, op3_byte_balanced_shards, op4_bootstrapped_pii,
         op5_content_sort_dedup, op6_hypergeometric_mix, op7_secret_ownership, op8_jaccard_tiles, op9_byte_bpe,
         op10_elias_fano_lm, op11_rollup_trie, op12_linear_grouping_pack,
+        op13_block_table_repair,
     )
 }

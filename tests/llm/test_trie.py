@@ -94,7 +94,13 @@ def test_against_dictionaries(spark, widths, rebuild):
 
 def test_a_chain_longer_than_a_step(spark):
     rows = [(c, i, "user", f"{c if i > 20 else 0} {i}") for c in (1, 2) for i in range(4200)]
-    assert got(trie.conversation_trie(spark.createDataFrame(rows, SCHEMA))) == plain_trie(rows, False)
+    made = {r[:2]: r for r in got(trie.conversation_trie(spark.createDataFrame(rows, SCHEMA)))}
+    assert set(made) == {(1, d) for d in range(4201)} | {(2, d) for d in range(22, 4201)}
+    for (c, d), (_, _, parent, members, children, leaves, _, ends) in made.items():
+        assert parent == (None if d == 0 else 1 if d <= 22 else c)
+        assert (members, leaves) == ((2, 2) if d <= 21 else (1, 1))
+        assert children == (0 if d == 4200 else 2 if d == 21 else 1)
+        assert ends == hashlib.sha256(str(c).encode() if d == 4200 else b"").hexdigest()
 
 
 @pytest.mark.parametrize("rows", [[], [(4, 1, "user", "x")], [(None, 1, "user", "x")], [(3, 1, None, None), (4, 1, "", "")]])
