@@ -12,6 +12,7 @@ from encore.registry.cleaning import _CONCERTS, _RAW_CONCERTS, _report_sql
 from encore.registry.helpers import AS_OF
 from encore.registry.sqlviews import rd, using
 from encore.registry.warehouse import POPULARITY, _popularity
+from encore.session import cut_lineage
 from encore.sources import files, landed
 from encore.sources import warehouse as wh
 from encore.streaming.pipeline import scratch_folder
@@ -93,7 +94,7 @@ def _loaded(s):
 def _bulk(s):
     folder = _folder(s, "load")
     raw = s.sales().withColumn("unit_price", F.round("unit_price", 4)).withColumn(
-        "purchase_timestamp", F.when((F.col("concert_id") % 5000 == 0) & F.col("sale_id").endswith("-1"), "never")
+        "purchase_timestamp", F.when((F.col("concert_id") % 50 == 0) & F.col("sale_id").endswith("-1"), "never")
         .otherwise(F.date_format("purchase_timestamp", "yyyy-MM-dd HH:mm:ss")))
     try:
         wh.bulk_load(raw, "ticket_sales", f"{folder}/good", f"{folder}/bad", AT, max_errors=0)
@@ -101,11 +102,22 @@ def _bulk(s):
     except RuntimeError:
         refused = True
     counts = wh.bulk_load(raw, "ticket_sales", f"{folder}/good", f"{folder}/bad", AT)
-    good = s.spark.read.parquet(f"{folder}/good").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(F.col("total_amount").cast("double")).alias("amount"))
-    bad = s.spark.read.parquet(f"{folder}/bad").agg(F.count(F.lit(1)).alias("n"))
-    return good.withColumn("rejected", bad.scalar()).withColumn("agrees", F.col("rows") == counts["rows_loaded"]).withColumn(
-        "refused", F.lit(refused))
+    good = cut_lineage(s.spark.read.parquet(f"{folder}/good").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.col("total_amount").cast("double")).alias("amount")))
+    bad = wh.read_quarantine(s.spark, f"{folder}/bad").agg(F.count(F.lit(1)).alias("n"))
+    again = wh.bulk_load(raw.filter("concert_id % 50 <> 0"), "ticket_sales", f"{folder}/good", f"{folder}/clean", AT)
+    clean = wh.read_quarantine(s.spark, f"{folder}/clean")  # a load without a bad row leaves it empty
+    return good.withColumn("rejected", bad.scalar()).withColumn("agrees", F.col("rows") == counts["rows_loaded"]).withColumns({
+        "refused": F.lit(refused), "before": F.lit(again["rows_before"]), "after": F.lit(again["rows_after"]),
+        "clean": clean.agg(F.count(F.lit(1)).alias("n")).scalar(),
+    })
+
+
+def _column_statistics(s):
+    folder = _folder(s, "statistics")
+    s.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.nullif("o_orderpriority", F.lit("1-URGENT")).alias(
+        "o_orderpriority")).write.parquet(folder)
+    return wh.column_statistics(s.spark.read.parquet(folder))
 
 
 def _archive(s):
@@ -269,6 +281,7 @@ QUERIES = {
     "a09_archive": stage(_archive),
     "a10_prepared_load": stage(_loaded, revenue=2),
     "a15_bulk_load": stage(_bulk, amount=2),
+    "a15_column_statistics": stage(_column_statistics),
     "a14_upsert": stage(_upsert),
     "a21_exported_prices": stage(_exported),
     "a23_warehouse_status": stage(_status),
@@ -303,8 +316,17 @@ ORACLE = {
                count(*) AS rows, {rd('sum(round(revenue, 2))', 2)} AS revenue, max(CAST(event_date AS DATE)) AS last
         FROM ({_RAW_CONCERTS}) GROUP BY 1, 2""",
     "a15_bulk_load": f"""SELECT count(CASE WHEN NOT bad THEN 1 END) AS rows, {rd('sum(CASE WHEN NOT bad THEN l_extendedprice END)', 2)} AS amount,
-        count(CASE WHEN bad THEN 1 END) AS rejected, TRUE AS agrees, count(CASE WHEN bad THEN 1 END) > 0 AS refused
-        FROM (SELECT *, l_orderkey % 5000 = 0 AND l_linenumber = 1 AS bad FROM lineitem)""",
+        count(CASE WHEN bad THEN 1 END) AS rejected, TRUE AS agrees, count(CASE WHEN bad THEN 1 END) > 0 AS refused,
+        count(*) - count(CASE WHEN bad THEN 1 END) AS before, count(*) - count(CASE WHEN bad THEN 1 END) + count(*) FILTER (WHERE l_orderkey % 50 <> 0) AS after, 0 AS clean
+        FROM (SELECT *, l_orderkey % 50 = 0 AND l_linenumber = 1 AS bad FROM lineitem)""",
+    "a15_column_statistics": " UNION ALL ".join(
+        f"""SELECT '{name}' AS column, {i} AS position, count(*) AS rows, count(*) - count({value}) AS nulls,
+            min({value})::VARCHAR AS lowest, max({value})::VARCHAR AS highest FROM orders"""
+        for i, (name, value) in enumerate((
+            ("o_orderkey", "o_orderkey"), ("o_custkey", "o_custkey"), ("o_orderstatus", "o_orderstatus"),
+            ("o_orderpriority", "nullif(o_orderpriority, '1-URGENT')"))
+        )
+    ),
     "a14_upsert": f"""
         SELECT o_orderkey, o_orderstatus, {rd('o_totalprice + CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 0 END')} AS o_totalprice
         FROM orders WHERE o_orderkey % 3 <> 0 OR o_orderkey % 2 = 0""",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -96,14 +97,31 @@ def prepare_load(raw: DataFrame, table: str) -> DataFrame:
     return raw.select(*values, F.array_compact(F.array(*errors)).alias("_errors"), F.to_json(F.struct("*")).alias("_raw"))
 
 
+QUARANTINE = "table_name string, started timestamp_ntz, errors array<string>, raw_line string, load_id string"
+
+
+def read_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """All quarantined rows; a quarantine that no load has put a row in yet is empty."""
+    return spark.read.schema(QUARANTINE).parquet(folder)
+
+
+def _rows_in(spark: SparkSession, folder: str) -> int:
+    """Rows of a table's folder, from the footers of its files; 0 if there is none yet."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = files.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "*.parquet"))
+    return spark.read.parquet(folder).count() if found else 0
+
+
 def bulk_load(raw: DataFrame, table: str, folder: str, quarantine: str, at: dt.datetime, mode: str = "append",
               max_errors: int | None = None, max_error_share: float = MAX_ERROR_SHARE) -> dict:
-    """Load the good rows of ``raw``, quarantine the bad ones, and return the counts.
+    """Load the good rows of ``raw``, quarantine the bad ones, and report the load.
 
-    The input is read and parsed once. Nothing is loaded if more than ``max_errors`` rows (if given) or more than
-    ``max_error_share`` of them are bad. The quarantine keeps a folder per load, named by table and start, so that a
-    repeated load replaces its rows.
+    The report has table, rows_loaded, rows_rejected, rows_before, rows_after and seconds. The input is read and parsed
+    once. Nothing is loaded if more than ``max_errors`` rows (if given) or more than ``max_error_share`` of them are
+    bad. The quarantine keeps a folder per load, named by table and start, so that a repeated load replaces its rows.
     """
+    began = time.monotonic()
     prepared = cut_lineage(prepare_load(raw, table))
     counts = prepared.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.size("_errors") > 0).alias("bad")).first()
     bad = prepared.filter(F.size("_errors") > 0).select(
@@ -114,9 +132,28 @@ def bulk_load(raw: DataFrame, table: str, folder: str, quarantine: str, at: dt.d
     most = max_error_share * counts.rows if max_errors is None else max_errors
     if counts.bad > most:
         raise RuntimeError(f"{counts.bad} bad rows in the load of {table}, more than {most:g}")
+    rows_before = _rows_in(raw.sparkSession, folder)
     good = prepared.filter(F.size("_errors") == 0).drop("_errors", "_raw")
     good.write.mode(mode).parquet(folder)
-    return {"table": table, "rows_loaded": counts.rows - counts.bad, "rows_rejected": counts.bad}
+    return {
+        "table": table, "rows_loaded": counts.rows - counts.bad, "rows_rejected": counts.bad, "rows_before": rows_before,
+        "rows_after": _rows_in(raw.sparkSession, folder), "seconds": time.monotonic() - began,
+    }
+
+
+def column_statistics(df: DataFrame) -> DataFrame:
+    """A row per column: column, position, rows, nulls, lowest and highest value as text; one pass over the table."""
+    measured = df.agg(F.count(F.lit(1)).alias("_rows"), *[
+        F.struct(
+            F.lit(f.name).alias("column"), F.lit(i).alias("position"), F.count_if(F.col(f"`{f.name}`").isNull()).alias("nulls"),
+            F.min(F.col(f"`{f.name}`")).cast("string").alias("lowest"), F.max(F.col(f"`{f.name}`")).cast("string").alias("highest"),
+        ).alias(f"_{i}")
+        for i, f in enumerate(df.schema.fields) if not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType))
+    ])
+    each = F.array(*[c for c in measured.columns if c != "_rows"])
+    return measured.select(F.col("_rows").alias("rows"), F.inline(each)).select(
+        "column", "position", "rows", "nulls", "lowest", "highest"
+    )
 
 
 def load_csv(spark: SparkSession, path: str, table: str, columns: Sequence[str] | None = None, delimiter: str = ",",

@@ -96,6 +96,16 @@ def test_bulk_load_limits_bad_rows(spark, tmp_path):
         wh.bulk_load(raw, "artists", str(tmp_path / "t"), str(tmp_path / "q"), at, max_errors=0)
 
 
+def test_a_clean_load_leaves_a_readable_quarantine(spark, tmp_path):
+    raw = spark.createDataFrame([("1", "n"), ("2", "m")], "artist_id string, name string")
+    at = dt.datetime(2024, 1, 1)
+    for loaded in (0, 2):
+        report = wh.bulk_load(raw, "artists", str(tmp_path / "t"), str(tmp_path / "q"), at)
+        assert (report["rows_before"], report["rows_after"], report["rows_rejected"]) == (loaded, loaded + 2, 0)
+        assert report["seconds"] > 0
+        assert wh.recent_load_errors(wh.read_quarantine(spark, str(tmp_path / "q")), at).count() == 0
+
+
 def test_manifest(spark, tmp_path):
     one = put(tmp_path, "one.json", '{"id": 1}\n{"id": 2}\n')
     manifest = put(tmp_path, "manifest.json", json.dumps({"entries": [{"url": one, "mandatory": True}]}))
