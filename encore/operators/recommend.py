@@ -104,12 +104,58 @@ def nearest_in_scope(members: DataFrame, asked: DataFrame, k: int) -> DataFrame:
     )
 
 
+def _subsets(genre: Column) -> Column:
+    """Keys of all single genres and of all pairs of a sorted list."""
+    ones = F.transform(genre, lambda g: F.to_json(F.array(g)))
+    pairs = F.flatten(F.transform(genre, lambda g, i: F.transform(
+        F.filter(genre, lambda h, j: j > i), lambda h: F.to_json(F.array(g, h))
+    )))
+    return F.concat(ones, pairs)
+
+
+def _rarest_first(classes: DataFrame, artists: DataFrame) -> DataFrame:
+    """class and ordered: its genres from the one with the fewest artists to the one with the most."""
+    held = artists.select(F.explode("genre").alias("g")).groupBy("g").agg(F.count(F.lit(1)).alias("df"))
+    each = classes.select("class", F.explode("genre").alias("g")).join(held, "g")
+    # a list of genres, not of artists
+    return each.groupBy("class").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "g"))), lambda x: x["g"]).alias("ordered"))
+
+
+def _best_of_node(scored: DataFrame, k: int) -> DataFrame:
+    best = Window.partitionBy("class", "value").orderBy(F.desc("similarity"), "id2")
+    return scored.withColumn("_nth", F.row_number().over(best)).filter(F.col("_nth") <= k)
+
+
+def _sharing_three(nodes: DataFrame, values: DataFrame, ordered: DataFrame, floor: DataFrame) -> DataFrame:
+    """(class, value, genre, class2, value2): nodes and values with three genres or more in common that can be good enough.
+
+    Prefix filter: with genres from the rarest on, the first one in common is at least the third from the end of both
+    lists, so that frequent genres, which come last, hardly ever join. What the two places still allow in common bounds
+    the Jaccard; with the gap in popularity this bounds the similarity, which has to reach the node's ``floor``.
+    """
+    def places(df: DataFrame, suffix: str) -> DataFrame:
+        long = df.join(ordered, "class").filter(F.size("ordered") >= 3)
+        return long.select(
+            F.col("class").alias(f"class{suffix}"), F.col("value").alias(f"value{suffix}"), F.size("ordered").alias(f"n{suffix}"),
+            *[c for c in ("floor",) if c in long.columns], F.posexplode("ordered").alias(f"at{suffix}", "g"),
+        ).filter(F.col(f"at{suffix}") <= F.col(f"n{suffix}") - 3)
+
+    left, right = places(nodes.select("class", "value").join(floor, ["class", "value"]), ""), places(values, "2")
+    common = F.least(F.col("n") - F.col("at"), F.col("n2") - F.col("at2"))
+    bound = 0.6 * common / (F.col("n") + F.col("n2") - common) + 0.4 * (1 - F.abs(F.col("value") - F.col("value2")) / 100.0)
+    met = left.join(right, "g").filter(bound >= F.col("floor") - 1e-8)
+    return met.select("class", "value", "class2", "value2").distinct()
+
+
 def similar_artists(artists: DataFrame, queries: DataFrame, k: int = 10, min_similarity: float = 0.3) -> DataFrame:
     """(id1, id2, similarity, rank) for the artists asked for.
 
-    Artists with the same genres are a class. In a class the similarity falls with the gap in popularity alone, so
-    only its nearest k on either side can count; classes without a shared genre are covered by the nearest of all
-    artists. Candidates per artist follow k and the number of classes with a shared genre, not the number of artists.
+    Artists of equal genres and popularity are one node. With the genres in common and the number of the other's genres
+    fixed, the similarity falls with the gap in popularity alone, so the nearest k on either side are enough: of all
+    artists (nothing in common), of the same genres, and of those that have a genre, or a pair of genres, and as many
+    genres in all. That settles every partner with at most two genres in common at a cost of k for each of these lists,
+    whatever their length, and gives each node a similarity to beat; partners with three or more in common are joined
+    through their rarest genres as far as they can still reach it (:func:`_sharing_three`).
     """
     none = F.array().cast("array<string>")
     base = artists.select(
@@ -119,22 +165,39 @@ def similar_artists(artists: DataFrame, queries: DataFrame, k: int = 10, min_sim
     ).filter(F.col("value").isNotNull()).withColumn("class", F.concat(F.lit("c:"), F.to_json("genre")))
     base = cut_lineage(base)
     asked = base.join(queries.select(F.col(queries.columns[0]).alias("id")).distinct(), "id", "left_semi")
-    members = base.select(F.explode(F.array("class", F.lit("*"))).alias("scope"), "value", "id")
-    classes = base.select("class", "genre").distinct()
-    genres = classes.select("class", F.explode("genre").alias("g"))
-    related = genres.join(genres.withColumnRenamed("class", "scope"), "g").select("class", "scope").distinct()
-    related = related.unionByName(classes.select("class", F.lit("*").alias("scope")))
-    nodes = asked.select("class", "genre", "value").distinct().join(related, "class")
-    found = nodes.join(nearest_in_scope(members, nodes, k), ["scope", "value"]).select(
+    nodes = asked.select("class", "genre", "value").distinct()
+
+    sized = F.struct(F.size("genre").alias("n"), F.col("key"))
+    of_keys = base.select("genre", "value", "id", F.explode(_subsets(F.col("genre"))).alias("key"))
+    members = base.select(F.explode(F.array("class", F.lit("*"))).alias("scope"), "value", "id").unionByName(
+        of_keys.select(F.to_json(sized).alias("scope"), "value", "id")
+    )
+    lists = of_keys.select("key", F.to_json(sized).alias("scope")).distinct()
+    wanted = nodes.select("class", "genre", "value", F.explode(_subsets(F.col("genre"))).alias("key")).join(lists, "key")
+    wanted = wanted.select("class", "genre", "value", "scope").unionByName(
+        nodes.select("class", "genre", "value", F.explode(F.array("class", F.lit("*"))).alias("scope"))
+    )
+    found = wanted.join(nearest_in_scope(members, wanted, k), ["scope", "value"]).select(
         "class", "genre", "value", "id2"
     ).distinct()
     other = base.select(F.col("id").alias("id2"), F.col("genre").alias("g2"), F.col("value").alias("s2"))
-    similarity = artist_similarity(F.col("genre"), F.col("g2"), F.col("value"), F.col("s2"))
+    similarity = _stable(artist_similarity(F.col("genre"), F.col("g2"), F.col("value"), F.col("s2"))).alias("similarity")
     # equal artists have equal lists, so the k + 1 best are chosen once for all of them
-    best = Window.partitionBy("class", "value").orderBy(F.desc("similarity"), "id2")
-    listed = found.join(other, "id2").select("class", "value", "id2", _stable(similarity).alias("similarity")).withColumn(
-        "_nth", F.row_number().over(best)
-    ).filter(F.col("_nth") <= k + 1)
+    first = cut_lineage(_best_of_node(found.join(other, "id2").select("class", "value", "id2", similarity), k + 1))
+    floor = first.groupBy("class", "value").agg(
+        F.greatest(F.coalesce(F.min(F.when(F.col("_nth") == k + 1, F.col("similarity"))), F.lit(min_similarity)), F.lit(min_similarity)).alias("floor")
+    )
+    classes = base.select("class", "genre").distinct()
+    near = _sharing_three(nodes, base.select("class", "value").distinct(), _rarest_first(classes, base), floor)
+    smallest = Window.partitionBy("class", "value").orderBy("id")
+    fellows = base.withColumn("_nth", F.row_number().over(smallest)).filter(F.col("_nth") <= k + 1).select(
+        F.col("class").alias("class2"), F.col("value").alias("value2"), F.col("genre").alias("g2"), F.col("id").alias("id2")
+    )
+    second = near.join(classes, "class").join(fellows, ["class2", "value2"]).select(
+        "class", "value", "id2",
+        _stable(artist_similarity(F.col("genre"), F.col("g2"), F.col("value"), F.col("value2"))).alias("similarity"),
+    )
+    listed = _best_of_node(first.drop("_nth").unionByName(second).distinct(), k + 1)
     pairs = asked.select(F.col("id").alias("id1"), "class", "value").join(listed, ["class", "value"]).filter(
         F.col("id1") != F.col("id2")
     )

@@ -178,6 +178,39 @@ def test_similar_artists_equal_all_pairs(spark):
         assert {(r["id1"], r["id2"], r["rank"]) for r in got} == want
 
 
+def test_similar_artists_with_distinct_genre_sets(spark, monkeypatch):
+    rng = random.Random(3)
+    genres = [f"g{i}" for i in range(50)]
+    weights = [1 / (i + 1) for i in range(50)]  # a few genres are everywhere
+    rows = []
+    for i in range(2500):
+        held = set(rng.choices(genres, weights, k=rng.randint(1, 7)))
+        rows.append((i, sorted(held, key=lambda g: rng.random()), round(rng.uniform(0, 100), rng.choice([0, 6]))))
+    artists = spark.createDataFrame(rows, "artist_id int, genre array<string>, popularity_score double")
+    asked = rows[::50]
+    joined, inner = [], recommend._sharing_three
+
+    def counted(*parts):
+        met = inner(*parts)
+        joined.append(met.count())
+        return met
+
+    monkeypatch.setattr(recommend, "_sharing_three", counted)
+    want = set()
+    for a in asked:
+        scored = []
+        for b in rows:
+            x, y = set(a[1]), set(b[1])
+            likeness = round(0.6 * len(x & y) / len(x | y) + 0.4 * (1 - abs(a[2] - b[2]) / 100), 9)
+            if b[0] != a[0] and likeness >= 0.3:
+                scored.append((-likeness, b[0]))
+        want |= {(a[0], b, i + 1) for i, (_, b) in enumerate(sorted(scored)[:10])}
+    queries = spark.createDataFrame([(a[0],) for a in asked], "artist_id int")
+    got = recommend.similar_artists(artists, queries, 10).collect()
+    assert {(r["id1"], r["id2"], r["rank"]) for r in got} == want
+    assert joined[0] < 0.05 * len(asked) * len(rows)
+
+
 def test_similar_venues_equal_all_pairs(spark):
     rng = random.Random(4)
     rows = [(i, rng.choice("AB"), "S", rng.choice([None, rng.uniform(57, 62)]), rng.uniform(-180, 180) if i % 2 else rng.choice([179.9, -179.9]), rng.choice([100, 1000, 1000, 50000]), rng.choice(["club", "hall"])) for i in range(60)]
