@@ -97,50 +97,71 @@ class KeyIndex:
             ),
         )
         postings = listed.select(
-            "key", "channel", F.greatest(F.size("grams") - F.col("need") + 1, F.lit(1)).alias("looked_up"),
+            "key", "channel", "need", F.greatest(F.size("grams") - F.col("need") + 1, F.lit(1)).alias("looked_up"),
             F.explode("grams").alias("gram"),
         )
         # at most a few hundred rows per alphabet: one per pair of characters
         spread = postings.groupBy("channel", "gram").agg(F.count(F.lit(1)).alias("spread"))
         # the grams of one text are few, so they are ordered inside its own row
-        ranked = postings.join(spread, ["channel", "gram"]).groupBy("key", "channel", "looked_up").agg(
+        ranked = postings.join(spread, ["channel", "gram"]).groupBy(
+            "key", "channel", "need", "looked_up"
+        ).agg(
             F.array_sort(F.collect_list(F.struct("spread", "gram"))).alias("rarest")
         )
         self.entries = cut_lineage(ranked.select(
-            "key", "channel",
+            "key", "channel", "need",
             F.transform(F.slice("rarest", F.lit(1), F.col("looked_up")), lambda g: g["gram"]).alias("lookups"),
             F.transform("rarest", lambda g: g["gram"]).alias("grams"),
         ))
 
     def _lists(self, keys: DataFrame, column: str) -> DataFrame:
+        """key, gram, channel, need, and how many of the text's pairs are at the gram's place or behind it."""
         chosen = self.entries.join(keys.select("key").distinct(), "key", "left_semi")
-        out = chosen.select("key", F.explode(column).alias("gram"), "channel")
+        out = chosen.select("key", "channel", "need", F.size("grams").alias("of"), F.posexplode(column).alias("at", "gram"))
+        out = out.select("key", "gram", "channel", "need", (F.col("of") - F.col("at")).alias("left"))
         if column == "grams":
             # a one-letter text matches every text with that letter in it
             letters = chosen.filter(F.col("channel") == "t").select(
-                "key", F.explode(F.array_distinct(F.split("key", ""))).alias("letter")
-            )
-            out = out.unionByName(
-                letters.select("key", F.concat("letter", F.lit("#1")).alias("gram"), F.lit("t").alias("channel"))
+                "key", "need", F.explode(F.array_distinct(F.split("key", ""))).alias("letter")
             )
+            out = out.unionByName(letters.select(
+                "key", F.concat("letter", F.lit("#1")).alias("gram"), F.lit("t").alias("channel"), "need", F.lit(1).alias("left")
+            ))
         return out
 
-    def matches(self, left: DataFrame, right: DataFrame | None = None) -> DataFrame:
-        """Pairs (a, b, score) over the threshold, a from ``left`` and b from ``right`` (or both from left)."""
+    def candidates(self, left: DataFrame, right: DataFrame | None = None) -> DataFrame:
+        """Pairs (a, b) that can be over the threshold.
+
+        Positional filter: the first pair of characters in common, in the order from the rarest on, leaves both texts
+        enough others to reach what the text that seeks requires. Count filter: so many they really share. One-letter
+        texts, whose only pair is the letter, are left out of the count.
+        """
         same = right is None
         right = left if same else right
 
         def meet(seekers: DataFrame, others: DataFrame, seeker: str, other: str) -> DataFrame:
             looked = self._lists(seekers, "lookups").withColumnRenamed("key", seeker)
-            listed = self._lists(others, "grams").withColumnRenamed("key", other)
-            return looked.join(listed, ["channel", "gram"]).select("a", "b")
+            listed = self._lists(others, "grams").drop("need").withColumnsRenamed({"key": other, "left": "behind"})
+            enough = F.least("left", "behind") >= F.col("need")
+            return looked.join(listed, ["channel", "gram"]).filter(enough).select("a", "b", "channel")
 
         pairs = meet(left, right, "a", "b").filter(F.col("a") != F.col("b"))
         if same:
-            pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+            pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "channel")
         else:
             pairs = pairs.unionByName(meet(right, left, "b", "a").filter(F.col("a") != F.col("b")))
-        return _scored(pairs.distinct(), self.threshold)
+        pairs = pairs.distinct()
+        for side in "ab":
+            pairs = pairs.join(self.entries.select(
+                F.col("key").alias(side), "channel", F.col("grams").alias(f"grams_{side}"), F.col("need").alias(f"need_{side}")
+            ), [side, "channel"])
+        shared = F.size(F.array_intersect("grams_a", "grams_b"))
+        short = F.least(F.length("a"), F.length("b")) == 1
+        return pairs.filter(short | (shared >= F.least("need_a", "need_b"))).select("a", "b").distinct()
+
+    def matches(self, left: DataFrame, right: DataFrame | None = None) -> DataFrame:
+        """Pairs (a, b, score) over the threshold, a from ``left`` and b from ``right`` (or both from left)."""
+        return _scored(self.candidates(left, right), self.threshold)
 
 
 def _scored(pairs: DataFrame, threshold: float) -> DataFrame:
