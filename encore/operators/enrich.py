@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from encore.operators.ordering import position_within
+
 FRESH_MINUTES = 60
 
 
@@ -86,3 +88,39 @@ def events_of_artists(
         F.col("first.event_id").alias("first_event_id"),
         F.when(found, "external").otherwise("local_fallback").alias("source"),
     )
+
+
+def listed_events(
+    requests: DataFrame, events: DataFrame, most: int = 20, key: str = "artist_id", venue_text: str | None = None
+) -> DataFrame:
+    """Requests with event_count, their first ``most`` events by date, and source.
+
+    ``events`` is a list of (event_date, event_id, event_name). It ends at ``most`` events, event_count counts them all,
+    and :func:`event_pages` has the whole lists. Each task keeps only its own first ``most`` events of an artist before
+    they move, so a busy artist is never gathered.
+    """
+    if venue_text:
+        events = events.filter(F.lower("event_name").contains(venue_text.lower()))
+    order = Window.partitionBy(key).orderBy("event_date", "event_id")
+    first = events.select(key, "event_date", "event_id", "event_name").withColumn(
+        "_nth", F.row_number().over(order)
+    ).filter(F.col("_nth") <= most)
+    lists = first.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("event_date", "event_id", "event_name"))).alias("events"))
+    counts = events.groupBy(key).agg(F.count(F.lit(1)).alias("event_count"))
+    none = F.array().cast(lists.schema["events"].dataType)
+    return requests.join(counts, key, "left").join(lists, key, "left").select(
+        *requests.columns,
+        F.coalesce("event_count", F.lit(0)).alias("event_count"),
+        F.coalesce("events", none).alias("events"),
+        F.when(F.col("event_count").isNotNull(), "external").otherwise("local_fallback").alias("source"),
+    )
+
+
+def event_pages(requests: DataFrame, events: DataFrame, size: int = 20, key: str = "artist_id") -> DataFrame:
+    """All events of the requested entities with ``page`` (from 0), ``size`` events a page in order of date.
+
+    Places come from one global order, so the events of a busy artist are spread over tasks.
+    """
+    asked = events.join(requests.select(key).distinct(), key, "left_semi")
+    placed = position_within(asked, [key], [F.col("event_date"), F.col("event_id")], "_nth").drop("_size")
+    return placed.withColumn("page", F.floor((F.col("_nth") - 1) / size)).drop("_nth")

@@ -6,7 +6,7 @@ import importlib
 
 MODULES = (
     "warehouse", "analysis", "quality", "cleaning", "models", "recommend", "training", "records", "streams", "inputs",
-    "expressions",
+    "expressions", "written",
 )
 
 

@@ -47,6 +47,21 @@ def drop_old_partitions(spark: SparkSession, table: str, column: str, as_of: str
     return len(old)
 
 
+def drop_old_dates(spark: SparkSession, folder: str, column: str, as_of: str, days: int = 30) -> int:
+    """Delete the ``column=date`` folders of a snapshot table older than ``days``; returns how many there were.
+
+    For tables that no catalog lists. The listing holds one row per date, and readers of later dates are not touched.
+    """
+    cutoff = days_before(as_of, days).isoformat()
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    held = [(entry.getPath().getName().partition("="), entry.getPath()) for entry in files.listStatus(path)]
+    old = [where for (name, _, date), where in held if name == column and date[:4].isdigit() and date < cutoff]
+    for where in old:
+        files.delete(where, True)
+    return len(old)
+
+
 def column_listing(spark: SparkSession, database: str, table: str) -> DataFrame:
     """(column_name, data_type, nullable, is_partition) of a table."""
     rows = [(c.name, c.dataType, c.nullable, c.isPartition) for c in spark.catalog.listColumns(f"{database}.{table}")]
