@@ -98,6 +98,7 @@ def awkward():
         "é😀 x@y.zz ü 10.0.0.1 ñ +44 20 7946 0958 secret: 😀abcdef password:\x20\x20abcdef",
         "l1 words go here\nl1 words go here\n\nl1 words go here\n" + "one two three four five six seven eight " * 4,
         "x" * 50_000, "1 2 3 4 5 6 7 8 9 " * 3_000, "a.b." * 20_000 + "@", "Home | About | Contact | Help | Login",
+        "x@h" + ".a" * 1_500 + "@q.r and y@h" + ".b" * 100_000,
     ]
     rows = [(i, t, ["s1", "s2", None, "S0"][i % 4], "z", "no", -1) for i, t in enumerate(texts)]
     return rows + [rows[6], rows[4], (None, "same text here", "s2", None, None, None), (None, None, None, None, None, None)]
