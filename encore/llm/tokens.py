@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 from encore.llm.common import flushed, id_and_text
 
 CHUNK = 20_000  # characters that go to the encoder at once, give or take a word
+LONG_RUN = 10_000  # white space characters in a row that go to the encoder by themselves
 _CUT = re.compile(r"(?<=[0-9A-Za-z]) (?=[0-9A-Za-z])")
+# the White_Space characters of Unicode, which the split pattern's \s stands for
+_RUN = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_RUN)
 _encoders: dict = {}
 
 
@@ -49,6 +52,33 @@ def pieces(text: str, size: int = CHUNK) -> Iterator[str]:
     yield text[start:]
 
 
+def runs_apart(text: str) -> Iterator[tuple[str, bool]]:
+    """The text in order, its long runs of white space apart: (part, whether it is one match of the split pattern).
+
+    ``\\s+(?!\\S)`` takes such a run but for its last character, or all of it at the text's end, and the library's
+    matcher would go back character by character to find that. No match holds white space behind anything else, and
+    none looks back, so that the rest may be matched from the run's last character on.
+    """
+    start = 0
+    for run in _RUN.finditer(text):
+        end = run.end() - (run.end() < len(text))
+        yield text[start:run.start()], False
+        yield text[run.start():end], True
+        start = end
+    yield text[start:], False
+
+
+def _ids(tool, text: str, size: int) -> list[int]:
+    ids: list[int] = []
+    for part, whole in runs_apart(text):
+        if whole:
+            ids += tool._encode_single_piece(part)
+        else:
+            for piece in pieces(part, size):
+                ids += tool.encode_ordinary(piece)
+    return ids
+
+
 def encode(
     docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", size: int = CHUNK
 ) -> DataFrame:
@@ -56,8 +86,9 @@ def encode(
 
     ``rank_file`` lies at the same path on every machine. Special tokens are ordinary text. A null text counts as
     empty and gives no ids; a null identifier stays null; repeated rows are encoded each; an empty table gives no
-    rows; other columns are not read. A long text is encoded in pieces that meet at safe boundaries, so that memory
-    follows the piece and not the text, and a batch of results is sent on every 8 MB.
+    rows; other columns are not read. A long text is encoded in pieces that meet at safe boundaries, its long runs of white
+    space by themselves. Of one text all ids and bytes are held, as they are one row; a batch of results is sent on
+    every 8 MB.
     """
     kind = docs.select(F.col(id_col).alias("doc_id")).schema[0].dataType
 
@@ -73,9 +104,7 @@ def encode(
         def rows():
             for batch in batches:
                 for doc_id, text in zip(batch.column(0), batch.column(1)):
-                    ids: list[int] = []
-                    for piece in pieces(text.as_py(), size):
-                        ids += tool.encode_ordinary(piece)
+                    ids = _ids(tool, text.as_py(), size)
                     yield doc_id.as_py(), ids, tool.decode_bytes(ids)
 
         yield from flushed(rows(), schema, weigh=lambda r: 4 * len(r[1]) + len(r[2]))
