@@ -68,7 +68,7 @@ def _settle(rows: DataFrame, rest: DataFrame, path: Sequence[str], step: str) ->
     return (
         sums.join(renamed, same)
         .withColumn("_left", F.col("rest") - F.coalesce(F.sum("words").over(inside), F.lit(0)))
-        .select("source", *path, step, (F.col("words") <= F.col("_left")).alias("whole"),
+        .select("source", *path, step, ((F.col("words") <= F.col("_left")) & (F.col("rest") > 0)).alias("whole"),
                 F.greatest(F.col("_left"), F.lit(0.0)).alias("rest"))
     )
 
@@ -202,7 +202,8 @@ def mix(
 
     Size is the number of words; a null text has none. A null source is a source of its own, last in order. A null
     identifier is drawn like an empty one; of rows equal in identifier and size any may be the one that is taken. An
-    empty table gives no rows; where all sizes are zero nothing is taken. Other columns are not read.
+    empty table gives no rows; where all sizes are zero nothing is taken. A source at ``max_repeat`` times its size
+    gets no further pass, for its empty documents either. Other columns are not read.
     """
     keyed = _keyed(docs.select(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(source_col).alias("source")

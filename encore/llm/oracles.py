@@ -103,7 +103,7 @@ draws AS (
 dealt AS ({low_high}),
 plans AS (SELECT source, block, list(low ORDER BY pass) AS shards FROM dealt GROUP BY source, block),
 taken AS (
-    SELECT *, passes + (before + size / 2 <= rest AND (size > 0 OR before <= rest))::BIGINT AS copies FROM ordered
+    SELECT *, passes + (rest > 0 AND before + size / 2 <= rest AND (size > 0 OR before <= rest))::BIGINT AS copies FROM ordered
 )
 SELECT doc_id, size, source_size, target::DOUBLE AS target, (copies * size)::BIGINT AS taken,
     array_to_string(list_slice(shards, 1, copies), ',') AS shards

@@ -210,5 +210,32 @@ def test_tokens(spark, table, rows):
     assert tokens.encode(empty(spark), file, pattern).count() == 0
 
 
+@pytest.mark.parametrize("run", [" " * 30_000, "\n" * 12_000, "\u3000" * 11_000, "\x85\xa0\u2003\t" * 4_000, "漢" * 40_000, "x" * 40_000, "." * 40_000])
+def test_long_runs_are_encoded_as_one(run):
+    import public_tokenizers
+
+    tool = tokens.encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    for text in (run, f"w{run}x", f"a.{run} .{run}\x1c{run}", f"{run}'s 1", f"a \n{run}\n b c {run}"):
+        assert tokens._ids(tool, text, tokens.CHUNK) == tool.encode_ordinary(text)
+
+
+@pytest.mark.parametrize("text", ["w" + "\n" * 1_000_000 + "x", " " * 5_000_000, "\u3000" * 2_000_000 + "x", "漢" * 1_000_000])
+def test_runs_the_matcher_cannot_take(text):
+    import public_tokenizers
+
+    tool = tokens.encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    assert tool.decode_bytes(tokens._ids(tool, text, tokens.CHUNK)) == text.encode()
+
+
+def test_empty_documents_of_a_capped_source(spark):
+    rows = [(i, "" if i < 40 else "one two three", "small") for i in range(60)]
+    rows += [(100 + i, "word " * 50, "large") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = mixing.mix(docs, weights=(1, 20)).collect()  # large comes first and has the small weight
+    assert {r.copies for r in got if r.source == "small"} == {mixing.MAX_REPEAT}
+    taken = mixing.mixed_documents(docs, weights=(1, 20)).where("source = 'small'").groupBy("doc_id").count().collect()
+    assert {r["count"] for r in taken} == {mixing.MAX_REPEAT} and len(taken) == 60
+
+
 def test_registered_names():
     assert all(name.startswith("op") for name in registry.QUERIES)
