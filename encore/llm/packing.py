@@ -46,9 +46,10 @@ def token_pieces(
 
         def rows():
             for batch in batches:
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                texts = (text.as_py() for text in batch.column(1))
+                for doc_id, blocks in zip(batch.column(0).to_pylist(), encoder.streams(texts)):
                     held, piece = b"", 0
-                    for block in encoder.blocks(text.as_py()):
+                    for block in blocks:
                         held += block
                         at = 0
                         while len(held) - at > 4 * capacity:
