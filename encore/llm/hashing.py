@@ -38,7 +38,8 @@ def _codes() -> np.ndarray:
 _CODES = _codes()
 
 
-def _powers_to(size: int) -> tuple[np.ndarray, np.ndarray]:
+def powers_to(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the odd number and of its inverse, ``size`` of them and more."""
     if size > _BLOCK:
         made = [np.cumprod(np.r_[np.uint64(1), np.full(size, x, np.uint64)]) for x in (_BASE, _INVERSE)]
         return made[0], made[1]
@@ -47,13 +48,13 @@ def _powers_to(size: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["both"]
 
 
-def word_hashes(text: str | None) -> np.ndarray:
+def word_hashes(text: str | bytes | None) -> np.ndarray:
     """64-bit hashes of the text's words in order, A-Z in lower case; words are parted by x20 and x09 to x0D.
 
     A word's hash sums its bytes' codes times powers of an odd number; the sums of all words are differences of one
     running sum, brought to the word's start by the inverse power. A text is taken in blocks that end at a space.
     """
-    data = np.frombuffer((text or "").encode(), np.uint8)
+    data = np.frombuffer(text if isinstance(text, bytes) else (text or "").encode(), np.uint8)
     out, start = [], 0
     while start < len(data):
         end = start + _BLOCK
@@ -70,7 +71,7 @@ def word_hashes(text: str | None) -> np.ndarray:
         inside[1:-1] = ~_SPACES[block]
         edges = np.flatnonzero(np.diff(inside))
         first, last = edges[::2], edges[1::2]
-        powers, inverse = _powers_to(len(block))
+        powers, inverse = powers_to(len(block))
         sums = np.zeros(len(block) + 1, np.uint64)
         np.cumsum(_CODES[block] * powers[: len(block)], out=sums[1:])
         out.append(mixed((sums[last] - sums[first]) * inverse[first] + (last - first).astype(np.uint64)))

@@ -150,3 +150,54 @@ def test_passage_many_times_in_one_document(spark):
     passage = some(51)
     often = [w for _ in range(600) for w in passage + some(3)]
     exactly(spark, [(5, " ".join(often)), (9, " ".join(some(30) + passage + some(30)))])
+
+
+def test_common_words_and_least():
+    assert repeats.common_words(b"a bc d ", b"a bc e ") == 2
+    assert repeats.common_words(b"a bc ", b"a bcd ") == 1
+    assert repeats.common_words(b"", b"a ") == 0 and repeats.common_words(b"a b ", b"a b c ") == 2
+    rng = np.random.default_rng(1)
+    grams = rng.integers(0, 9, 300).astype(np.uint64)
+    for window in (1, 3, 41):
+        want = [i + int(grams[i:i + window].argmin()) for i in range(len(grams) - window + 1)]
+        assert repeats.least_at(grams, window).tolist() == want
+
+
+def test_spans_end_where_the_match_ends(spark):
+    rng, number = random.Random(8), iter(range(1_000_000))
+
+    def some(n):
+        return [f"u{next(number)}" for _ in range(n)]
+
+    rows, want = [], set()
+    for i in range(0, 80, 2):
+        passage = some(rng.randint(50, 400))
+        for k in (0, 1):
+            ahead = some(rng.randint(0, 90))
+            rows.append((i + k, " ".join(ahead + passage + some(rng.randint(0, 90)))))
+            want.add((i + k, len(ahead), len(ahead) + len(passage), bool(k)))
+    _, spans = exactly(spark, rows)
+    assert {(r.doc_id, r.start_word, r.end_word, r.later) for r in spans} == want
+    assert sum(r.compared for r in spans) >= 0.8 * len(spans)  # the others lie at borders only
+
+
+def test_comparison_stands_without_the_groups(spark):
+    """Neighbours' words alone, in one sorted partition: matches found, and no window beyond a match kept."""
+    def row(doc, behind, ahead, pos=100):
+        def side(words):
+            return "".join(w + " " for w in words).encode()
+        return side(ahead), side(reversed(behind)), doc, pos
+
+    core = [f"c{i}" for i in range(30)]
+    left, right = [f"l{i}" for i in range(20)], [f"r{i}" for i in range(20)]
+    rows = sorted([
+        row(1, left, core + right), row(2, left, core + right), row(3, ["x"] * 20, core + ["y"] * 20),
+        row(4, [], ["zz"] * 50), row(0, [], ["aa"] * 50),
+    ])
+    ordered = spark.createDataFrame(rows, "ahead binary, behind binary, doc_id bigint, pos int").coalesce(1)
+    got = repeats._shared_windows(ordered.sortWithinPartitions("ahead"), 50).collect()
+    inner = [r for r in got if 0 < r.doc_id < 4]
+    assert {(r.doc_id, r.pos) for r in inner if r.compared} == {(d, 100 - o) for d in (1, 2) for o in range(21)}
+    assert {(r.doc_id, r.pos) for r in inner if not r.compared} == {(3, 80)}  # thirty words ahead are shared
+    hashes = {d: {r.pos: r.hash for r in inner if r.doc_id == d} for d in (1, 2, 3)}
+    assert hashes[1] == hashes[2] and hashes[3][80] != hashes[1][80]
