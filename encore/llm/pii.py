@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from encore.llm.common import id_and_text
-from encore.llm.spans import joined, sha_of_spans, spans_of
+from encore.llm.spans import joined, none_over, sha_of_spans, spans_of
 from encore.session import cut_lineage
 
 KINDS = ("email", "ip", "card", "phone")
@@ -42,8 +42,8 @@ def luhn(digits: Column) -> Column:
 
 
 def base_spans(text: Column) -> dict[str, Column]:
-    """The contract's spans by kind, as array<struct<start, end, match>>."""
-    found = {kind: spans_of(text, PATTERNS[kind]) for kind in KINDS}
+    """The contract's spans by kind, as array<struct<start, end, match, left>>."""
+    found = {kind: spans_of(text, PATTERNS[kind], CONTEXT_CHARS) for kind in KINDS}
     low = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
     digits = lambda x: F.regexp_replace(x["match"], "[^0-9]", "")
     found["ip"] = F.filter(found["ip"], lambda x: x["match"].rlike(rf"^{low}(?:\.{low}){{3}}$"))
@@ -52,10 +52,6 @@ def base_spans(text: Column) -> dict[str, Column]:
     return found
 
 
-def _left(text: Column, start: Column) -> Column:
-    return F.substring(text, F.greatest(start - (CONTEXT_CHARS - 1), F.lit(1)), F.least(start, F.lit(CONTEXT_CHARS)))
-
-
 def _pattern(left: Column) -> Column:
     """The last two words of the text before, in lower case, without marks at their ends."""
     words = F.filter(F.split(F.lower(left), r"[\x20\x09-\x0D]+"), lambda w: w != "")
@@ -64,10 +60,6 @@ def _pattern(left: Column) -> Column:
     return F.concat_ws(" ", F.slice(kept, F.greatest(F.size(kept) - CONTEXT_WORDS + 1, F.lit(1)), CONTEXT_WORDS))
 
 
-def _none_over(spans: Column, start: Column, end: Column) -> Column:
-    return ~F.exists(spans, lambda s: (s["start"] < end) & (s["end"] > start))
-
-
 def bootstrap(
     edges: DataFrame, rounds: int = ROUNDS, min_support: int = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE
 ) -> DataFrame:
@@ -131,15 +123,12 @@ def find_pii(
     def seeds_of(kind_no: int, kind: str) -> Column:
         return F.transform(kind, lambda s: F.struct(
             F.lit(kind_no).alias("kind_no"), s["start"].alias("start"), s["end"].alias("end"),
-            F.lower(s["match"]).alias("instance"), _left(text, s["start"]).alias("left"),
+            F.lower(s["match"]).alias("instance"), s["left"].alias("left"),
         ))
 
     seeds = F.concat(*[seeds_of(i, k) for i, k in enumerate(KINDS)])
-    units = F.filter(spans_of(text, UNIT), lambda u: reduce(
-        lambda a, b: a & b, [_none_over(F.col(k), u["start"], u["end"]) for k in KINDS]
-    ))
-    others = F.transform(units, lambda u: F.struct(
-        u["start"].alias("start"), u["end"].alias("end"), u["match"].alias("match"), _left(text, u["start"]).alias("left")
+    others = F.filter(spans_of(text, UNIT, CONTEXT_CHARS), lambda u: reduce(
+        lambda a, b: a & b, [none_over(F.col(k), u["start"], u["end"]) for k in KINDS]
     ))
     slim = cut_lineage(
         arrays.select("doc_id", seeds.alias("seeds"), others.alias("units"))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from encore.llm.spans import joined, sha_of_spans, spans_of
+from encore.llm.spans import joined, none_over, sha_of_spans, spans_of
 from encore.session import cut_lineage
 
 KINDS = ("assign", "access", "hex", "token")
@@ -78,8 +80,9 @@ def find_secrets(
             spans_of(text, PATTERNS["token"]), lambda s: s["match"].rlike("[0-9]") & s["match"].rlike("[A-Za-z]")
         ).alias("token"),
     )
-    fixed = F.concat("assign", "access", "hex")
-    loose = F.filter("token", lambda t: ~F.exists(fixed, lambda s: (s["start"] < t["end"]) & (s["end"] > t["start"])))
+    loose = F.filter("token", lambda t: reduce(
+        lambda a, b: a & b, [none_over(F.col(k), t["start"], t["end"]) for k in KINDS[:-1]]
+    ))
     spans = F.concat(*[
         _structs(i, loose if k == "token" else F.col(k), lambda s: s["match"]) for i, k in enumerate(KINDS)
     ])

@@ -5,8 +5,10 @@ from collections import Counter, defaultdict
 
 import plain
 import pytest
+from pyspark.sql import functions as F
 
 from encore.llm import exact, mixing, pii, quality, registry, secrets, sharding, tokens
+from encore.llm.spans import none_over
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -239,3 +241,35 @@ def test_empty_documents_of_a_capped_source(spark):
 
 def test_registered_names():
     assert all(name.startswith("op") for name in registry.QUERIES)
+
+
+def test_texts_with_very_many_matches(spark):
+    import time
+
+    many = {
+        "mail": " ".join(f"a{i}@b.cc" for i in range(200_000)),
+        "units": " ".join(f"w{i}" for i in range(200_000)),
+        "assign": " ".join(f"token=abcdef{i % 7}x" for i in range(200_000)),
+        "mixed": " ".join(f"é{i} token: k{i}q8Zr2LmT9xVb4KdW7nPs 10.0.{i % 300}.1" for i in range(5_000)),
+    }
+    docs = spark.createDataFrame(list(enumerate(many.values())), "doc_id bigint, text string").withColumn("source", F.lit("s"))
+    begun = time.time()
+    personal = {r.doc_id: r for r in pii.digests(pii.find_pii(docs)).collect()}
+    secret = {r.doc_id: r for r in secrets.digests(secrets.find_secrets(docs)).collect()}
+    took = time.time() - begun
+    for i, text in enumerate(many.values()):
+        assert personal[i].base_sha256 == plain.sha(plain.joined(plain.pii(text)))
+        assert secret[i].base_sha256 == plain.sha(plain.joined(plain.secrets(text)))
+    assert personal[0].n_email == 200_000 and secret[2].n_assign == 200_000
+    assert took < 300, took  # with the square of the matches it was hours
+
+
+def test_free_of_spans(spark):
+    spans = [(2, 4), (4, 7), (10, 11), (20, 30)]
+    rows = [(s, e) for s in range(33) for e in range(s + 1, 34)]
+    made = spark.createDataFrame(rows, "s int, e int")
+    for n in range(len(spans) + 1):
+        held = F.array(*[F.struct(F.lit(a).alias("start"), F.lit(b).alias("end")) for a, b in spans[:n]]).cast(
+            "array<struct<start:int,end:int>>")
+        got = {(r.s, r.e): r.free for r in made.select("s", "e", none_over(held, F.col("s"), F.col("e")).alias("free")).collect()}
+        assert got == {(s, e): all(b <= s or a >= e for a, b in spans[:n]) for s, e in rows}
