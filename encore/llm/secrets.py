@@ -20,9 +20,10 @@ PATTERNS = {
     "token": r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}",
 }
 MIN_COPIED_OWNERS = 3
-MIN_DISTINCT_CHARS = 8
+MIN_COPIED_REPOSITORIES = 20
+MIN_ENTROPY = 2.9  # bits a character; eight characters that differ have 3
 # words that mark a value as a stand-in
-PLACEHOLDERS = r"(?i)example|sample|changeme|placeholder|your[_-]|dummy|xxxx|1234567890|abcdef(?![0-9a-f]{8})"
+PLACEHOLDERS = r"(?i)example|sample|changeme|placeholder|your[_-]|dummy"
 
 
 def _structs(kind_no: int, spans: Column, value) -> Column:
@@ -31,10 +32,26 @@ def _structs(kind_no: int, spans: Column, value) -> Column:
     ))
 
 
+def entropy(value: Column) -> Column:
+    """Shannon's entropy of the characters, in bits a character; 0 for an empty value."""
+    size = F.length(value)
+    shares = F.transform(
+        F.filter(F.array_distinct(F.split(value, "")), lambda c: c != ""),
+        lambda c: (size - F.length(F.replace(value, c, F.lit("")))) / size,
+    )
+    return F.aggregate(shares, F.lit(0.0), lambda acc, p: acc - p * F.log2(p))
+
+
+def stepping(value: Column) -> Column:
+    """Share of the characters that follow their forerunner in the order of codes, as in 123456 or abcdef."""
+    codes = F.transform(F.filter(F.split(value, ""), lambda c: c != ""), F.ascii)
+    steps = F.zip_with(F.slice(codes, F.lit(2), F.size(codes)), codes, lambda b, a: (b - a == 1).cast("int"))
+    return F.aggregate(F.filter(steps, lambda x: x == 1), F.lit(0), lambda acc, x: acc + x) / F.greatest(F.size(codes), F.lit(1))
+
+
 def live_looking(value: Column) -> Column:
-    """Varied characters and none of the usual stand-in words."""
-    distinct = F.size(F.array_distinct(F.split(value, "(?!^)")))
-    return (distinct >= MIN_DISTINCT_CHARS) & ~value.rlike(PLACEHOLDERS)
+    """Characters as varied as chance makes them, not mostly one after another, and no word that marks a stand-in."""
+    return (entropy(value) >= MIN_ENTROPY) & (stepping(value) < 0.5) & ~value.rlike(PLACEHOLDERS)
 
 
 def find_secrets(
@@ -44,14 +61,16 @@ def find_secrets(
     owner_col: str = "source",
     repository_col: str = "doc_id",
     min_copied_owners: int = MIN_COPIED_OWNERS,
+    min_copied_repositories: int = MIN_COPIED_REPOSITORIES,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id and spans, array<struct<kind_no, start, end, repositories, owners, verdict>>.
 
     Candidates are the fixed kinds assign, access and hex, and further long runs of letters, digits and signs that
     hold both a letter and a digit and touch none of them (token). Their values' hashes are counted over the whole
     corpus: distinct repositories (here documents) and distinct owners (here sources). ``verdict`` is ``copied`` from
-    ``min_copied_owners`` owners on, ``live`` for a live-looking value of a single owner, else ``unclear``. Spans of
-    the fixed kinds always stay; a token stays only if it is live.
+    ``min_copied_owners`` owners on or from ``min_copied_repositories`` repositories on, even of one owner, as nobody
+    spreads a live credential that far; ``live`` for a live-looking value of a single owner in fewer repositories; else
+    ``unclear``. Spans of the fixed kinds always stay; a token stays only if it is live.
 
     A value is counted per repository first, then per owner, then as a whole, each with partial sums, so that a value
     that a third of all rows hold is reduced before it moves; the join that brings the counts back is one that Spark
@@ -103,7 +122,9 @@ def find_secrets(
         F.sum("repositories").alias("repositories"), F.count(F.lit(1)).alias("owners")
     )
     verdict = (
-        F.when(F.col("owners") >= min_copied_owners, "copied")
+        F.when(
+            (F.col("owners") >= min_copied_owners) | (F.col("repositories") >= min_copied_repositories), "copied"
+        )
         .when((F.col("owners") == 1) & F.col("live"), "live")
         .otherwise("unclear")
     )
