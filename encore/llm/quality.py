@@ -23,6 +23,8 @@ BOILERPLATE = (
 )
 BOILERPLATE_WORDS = 30
 TERMINAL = frozenset(".!?:;…。！？")
+CLOSERS = "\"'”’»›)]}*_」』）】"  # what may stand after a closing mark
+MAX_WRAP = 120  # characters; wider lines are not taken for wrapped ones
 _SYMBOLS = re.compile(r"[#*$%&|<>]")
 _MARKS = re.compile(r"[^\w\s]")
 _BREAKS = re.compile(r"(?:^|\s)(?:[|»>•·/]|::|->)(?=\s|$)")
@@ -55,11 +57,52 @@ def base_signals(text: str | None) -> tuple[int, int, int, int, int]:
     return len(words), sum(map(len, words)), len(_SYMBOLS.findall(text)), doubled, repeated
 
 
-def line_fault(line: str) -> str:
+def has_close(words: list[str]) -> bool:
+    """True if some word ends with a closing mark, quotes and brackets after it aside."""
+    return any(w[-1] in TERMINAL or (w[-1] in CLOSERS and w.rstrip(CLOSERS)[-1:] in TERMINAL) for w in words)
+
+
+def continued(lines: list[str]) -> list[bool]:
+    """For every line whether the next one continues it.
+
+    It does if it starts with a small letter, or if the line was broken because of its width: its paragraph (lines
+    without a blank one between them) has three lines or more, none wider than MAX_WRAP, and the next line's first word
+    would have made this line wider than the paragraph's widest. A line with a mark that navigation uses by itself
+    neither continues nor is continued.
+    """
+    out, start = [False] * len(lines), 0
+    while start < len(lines):
+        end = start
+        while end < len(lines) and words_of(lines[end]):
+            end += 1
+        if end - start > 1:
+            part = [_SPACE.sub(" ", line).strip(" ") for line in lines[start:end]]
+            width = max(map(len, part))
+            wrapped = len(part) > 2 and width <= MAX_WRAP
+            plain = [not _BREAKS.search(line) for line in part]
+            for i in range(len(part) - 1):
+                first = part[i + 1].split(" ", 1)[0]
+                small = first.lstrip("\"'“‘«(")[:1].islower()
+                out[start + i] = plain[i] and plain[i + 1] and (small or wrapped and len(part[i]) + 1 + len(first) > width)
+        start = end + 1
+    return out
+
+
+def closes_ahead(lines: list[str]) -> list[bool]:
+    """For every line whether a closing mark stands in the lines that continue it."""
+    follows, out, ahead = continued(lines), [False] * len(lines), False
+    for i in range(len(lines) - 1, -1, -1):
+        out[i] = follows[i] and ahead
+        ahead = out[i] or has_close(words_of(lines[i]))
+    return out
+
+
+def line_fault(line: str, ahead: bool = False) -> str:
     """Empty, or the rule by which a line goes: navigation, punctuation or boilerplate.
 
     - navigation: at least three separators that stand alone, one for every three words or more;
-    - punctuation: eight words or more, none of which ends with a closing mark; marks are over 15% of 40 or more characters; or one
+    - punctuation: eight words or more, none of which ends with a closing mark, unless one stands ``ahead``, in the lines
+      that continue this one; marks are over 15% of 40 or more characters; or one
       word makes up more than half of eight or more words, which no sentence does;
     - boilerplate: one of the fixed phrases in a line of at most 30 words.
     """
@@ -70,7 +113,7 @@ def line_fault(line: str) -> str:
     if breaks >= 3 and 3 * breaks >= len(words) - breaks:
         return "navigation"
     solid = sum(map(len, words))
-    if len(words) >= 8 and not any(w[-1] in TERMINAL for w in words):
+    if len(words) >= 8 and not ahead and not has_close(words):
         return "punctuation"
     if solid >= 40 and 100 * len(_MARKS.findall(line)) > 15 * solid:
         return "punctuation"
@@ -89,8 +132,9 @@ def judge(text: str | None, max_lost: float = MAX_LOST_SHARE) -> tuple:
     failed = n_words < MIN_WORDS or 100 * repeated > MAX_REPEAT_PERCENT * n_words
     faults = {"navigation": 0, "punctuation": 0, "boilerplate": 0}
     kept_lines, lost = [], 0
-    for line in (text or "").split("\n"):
-        fault = line_fault(line)
+    lines = (text or "").split("\n")
+    for line, ahead in zip(lines, closes_ahead(lines)):
+        fault = line_fault(line, ahead)
         if fault:
             faults[fault] += 1
             lost += len(words_of(line))
@@ -109,7 +153,7 @@ def clean(
 ) -> DataFrame:
     """One row per row of ``docs``: the base signals, the verdict, lines lost by rule and the text that is left.
 
-    Every line is judged first (:func:`line_fault`); failing lines go; a document is kept if its base signals pass
+    Every line is judged first (:func:`line_fault`), a sentence that runs over several lines by all of them; failing lines go; a document is kept if its base signals pass
     and at most ``max_lost`` of its words went with the lines. ``clean_text`` equals the text if no line fails. A
     null text has no words, so it fails and its clean_text is null; an empty text is like it. A null identifier
     stays null, repeated rows are judged each, an empty table gives no rows, other columns are not read. Texts are

@@ -33,6 +33,63 @@ def signals(text):
     return len(found), sum(map(len, found)), symbols, doubled, len(inside), failed
 
 
+def line_rule(lines, at):
+    """The rule by which line ``at`` fails, or None; written from the rules' text."""
+    alone = r"(?:[|»>•·/]|::|->)"
+    line = lines[at]
+    found = words(line)
+    if not found:
+        return None
+    lone = sum(bool(re.fullmatch(alone, w)) for w in line.split())
+    if lone >= 3 and 3 * lone >= len(found) - lone:
+        return "navigation"
+
+    def closing(i):
+        return any(w.rstrip("\"'”’»›)]}*_」』）】")[-1:] in tuple(".!?:;…。！？") or w[-1] in ".!?:;…。！？" for w in words(lines[i]))
+
+    def goes_on(i):
+        if i + 1 >= len(lines) or not words(lines[i]) or not words(lines[i + 1]):
+            return False
+        if any(re.fullmatch(alone, w) for k in (i, i + 1) for w in lines[k].split()):
+            return False
+        top, bottom = i, i + 1
+        while top and words(lines[top - 1]):
+            top -= 1
+        while bottom + 1 < len(lines) and words(lines[bottom + 1]):
+            bottom += 1
+        widths = [len(" ".join(words(lines[k]))) for k in range(top, bottom + 1)]
+        first = words(lines[i + 1])[0]
+        if re.sub("^[\"'“‘«(]+", "", first)[:1].islower():
+            return True
+        return len(widths) >= 3 and max(widths) <= 120 and widths[i - top] + 1 + len(first) > max(widths)
+
+    if len(found) >= 8:
+        i, closed = at, closing(at)
+        while not closed and goes_on(i):
+            i += 1
+            closed = closing(i)
+        if not closed:
+            return "punctuation"
+        if max(found.count(w) for w in set(found)) * 2 > len(found):
+            return "punctuation"
+    solid = len("".join(found))
+    if solid >= 40 and 100 * len([c for c in line if re.match(r"[^\w\s]", c)]) > 15 * solid:
+        return "punctuation"
+    if len(found) <= 30:
+        from encore.llm.quality import BOILERPLATE  # fixed phrases
+        if [p for p in BOILERPLATE if p in line.lower()]:
+            return "boilerplate"
+    return None
+
+
+def verdict(text, share=0.3):
+    """(kept, words lost) of a text."""
+    n_words, *_, failed = signals(text)
+    lines = (text or "").split("\n")
+    lost = sum(len(words(line)) for i, line in enumerate(lines) if line_rule(lines, i))
+    return not failed and lost <= share * n_words, lost
+
+
 def luhn(digits):
     total = 0
     for i, d in enumerate(reversed(digits)):

@@ -55,6 +55,40 @@ def test_lines():
     assert quality.judge(body)[-1] == body
 
 
+PROSE = """The ferry left the harbour a little after seven, when the fog
+had lifted enough to see the far pier. Nobody on board spoke
+about the night before, although most of them had been there
+Anna among them, and had heard the bells ring until morning.
+
+On the other side a man with two dogs was waiting for the post
+which he carried up the hill every day except Sunday (and, as
+he liked to say, "on every day that Sunday had forgotten.")"""
+VERSE = "\n".join(f"the {a} wind goes over the {b} hill\nand no one hears it," for a, b in zip("abcdefg", "hijklmn")) + "\nnot even the sea."
+LIST = "Buy these before Friday:\n" + "\n".join(f"- {n} {w}" for n, w in enumerate("flour sugar yeast salt butter milk eggs cream".split()))
+HEADLINES = "\n".join(
+    f"{a} Minister Opens New Bridge Over River Near {b}" for a, b in zip(("Prime", "Former Deputy", "Acting"), ("Lund", "Rye Town Hall", "Ulm")))
+
+
+def test_wrapped_prose_verse_and_lists_stay():
+    for text in (PROSE, VERSE, LIST):
+        signals = quality.judge(text)
+        assert signals[6] and signals[-1] == text, text
+    assert not quality.judge(HEADLINES)[6]  # no line continues another, no line closes
+    menu = "\n".join("Home | About | Contact | Help | Login | more" for _ in range(3))
+    mixed = quality.judge(PROSE + "\n" + menu)
+    assert mixed[6] and "Home" not in mixed[-1] and mixed[-1].startswith(PROSE[:300])
+    assert quality.line_fault('He said to all of us there: "we will go home."') == ""
+    assert quality.line_fault("one two three four five six seven (eight.)") == ""
+    assert quality.line_fault("one two three four five six seven (eight)") == "punctuation"
+
+
+def test_verdicts_against_the_plain_rules(spark, table, rows):
+    texts = [r["text"] for r in rows] + [PROSE, VERSE, LIST, HEADLINES, PROSE + "\n" + HEADLINES, PROSE.replace("\n\n", "\n")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: (r.kept, r.lost_words) for r in quality.clean(docs).collect()}
+    assert got == {i: plain.verdict(t) for i, t in enumerate(texts)}
+
+
 def test_shards(spark, table, rows):
     got = sharding.shard_by_bytes(table).collect()
     assert Counter((r.doc_id, r["size"], r.text_crc32) for r in got) == Counter(
@@ -243,6 +277,30 @@ def test_registered_names():
     assert all(name.startswith("op") for name in registry.QUERIES)
 
 
+def test_one_owner_with_many_repositories(spark):
+    """Repositories count as well: 500 of one owner are a copied value, a few of one owner a live one."""
+    wide, own, weak, steps = "q8Zr2LmT9xVb4KdW7nPs", "hT5kQ2wE8rY1uI4oP7aS", "z1z1z1z1z1z1z1z1z1z1z1z1", "abcdefghijklmnop1234567890"
+    rows = [(i, f"password = {wide}", "one") for i in range(500)]
+    rows += [(1000 + i, f"secret: {own} {weak} {steps}", "two") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    found = {r.doc_id: r.spans for r in secrets.find_secrets(docs).collect()}
+    assert all([(s.verdict, s.repositories, s.owners) for s in found[i]] == [("copied", 500, 1)] for i in range(500))
+    assert all([(s.verdict, s.repositories, s.owners) for s in found[i]] == [("live", 3, 1)] for i in range(1000, 1003))
+    fewer = {r.doc_id: r.spans[0].verdict for r in secrets.find_secrets(docs, min_copied_repositories=501).collect()}
+    assert fewer[0] == "live"
+
+
+def test_entropy(spark):
+    values = ["", "aaaa", "abcd", "aabb", "q8Zr2LmT9xVb4KdW7nPs", "0123456789abcdef"]
+    import math
+    made = spark.createDataFrame([(v,) for v in values], "v string")
+    got = made.select("v", secrets.entropy(F.col("v")).alias("e"), secrets.stepping(F.col("v")).alias("s")).collect()
+    for r in got:
+        want = -sum(n / len(r.v) * math.log2(n / len(r.v)) for n in Counter(r.v).values())
+        assert abs(r.e - want) < 1e-9
+    assert [r.s for r in got][1:4] == [0, 0.75, 0.25] and got[5].s == 14 / 16
+
+
 def test_texts_with_very_many_matches(spark):
     import time
 
