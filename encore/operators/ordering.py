@@ -96,3 +96,30 @@ def running_sums(
     out = placed.join(offsets, ["_part", *group])
     keep = [c for c in df.columns if c not in sums]
     return out.select(*keep, *[(F.sum(c).over(inside) + F.col(f"_before_{c}")).alias(c) for c in sums])
+
+
+def earlier_totals(
+    df: DataFrame, order: Sequence[str], group: Sequence[str], sums: Sequence[str], maxima: Sequence[str] = ()
+) -> DataFrame:
+    """Replace ``sums`` and ``maxima`` by their totals over the earlier rows of the group, the row itself not counted.
+
+    Rows need unique (group, order) values. A sum without earlier rows is 0, a maximum null. As in :func:`running_sums` a
+    hot group is spread over range partitions; one row per partition and group carries the earlier partitions' totals.
+    """
+    placed = _ranged(df, [F.col(c) for c in [*group, *order]]).drop("_slot")
+    inside = Window.partitionBy("_part", *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = placed.groupBy("_part", *group).agg(
+        *[F.sum(c).alias(c) for c in sums], *[F.max(c).alias(c) for c in maxima]
+    ).select(
+        "_part", *group, *[F.sum(c).over(ahead).alias(f"_ahead_{c}") for c in sums],
+        *[F.max(c).over(ahead).alias(f"_ahead_{c}") for c in maxima],
+    )
+    out = placed.join(totals, ["_part", *group])
+    keep = [c for c in df.columns if c not in (*sums, *maxima)]
+    zero = F.lit(0)
+    return out.select(
+        *keep,
+        *[(F.coalesce(F.sum(c).over(inside), zero) + F.coalesce(f"_ahead_{c}", zero)).alias(c) for c in sums],
+        *[F.greatest(F.max(c).over(inside), f"_ahead_{c}").alias(c) for c in maxima],
+    )

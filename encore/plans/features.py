@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from encore.functions.numbers import half_up, lookup, share
 from encore.functions.times import as_date, days_before, is_weekend, moment, month_span, season
-from encore.operators.ordering import dense_rank_by, global_position
+from encore.operators.ordering import dense_rank_by, earlier_totals, global_position, position_within
 from encore.plans.search import genre_text
 from encore.session import cut_lineage
 
@@ -164,13 +164,18 @@ def sales_history(concerts: DataFrame, sales: DataFrame) -> DataFrame:
 
 def sales_features(
     targets: DataFrame, concerts: DataFrame, artists: DataFrame, venues: DataFrame, sales: DataFrame, as_of: str,
-    lookback: int = 730,
+    lookback: int = 730, point_in_time: bool = False, lead: int = 0,
 ) -> DataFrame:
     """The 21 sales features of the target concerts (concert_id, artist_id, venue_id, event_date, ticket_prices).
 
     Every statistic is an aggregate per artist, venue, city or genre over the lookback. Targets whose
     artist or venue has no completed concert there get none and are left out.
+
+    With ``point_in_time`` each target sees only what was known ``lead`` days before it (:func:`_known_before`), so that
+    no label is in its own history; without, all history up to ``as_of`` counts.
     """
+    if point_in_time:
+        return _known_before(targets, concerts, artists, venues, sales, as_of, lookback, lead)
     recent = sales_history(concerts, sales).filter(F.col("event_date") >= moment(days_before(as_of, lookback)))
     done = recent.filter(F.col("status") == "completed")
     genre = artists.select("artist_id", "popularity_score", genre_text().alias("genre"))
@@ -213,17 +218,125 @@ def sales_features(
     )
     others = F.col("sold") - F.coalesce("own_sold", F.lit(0))
     similar = F.when(others > 0, (F.col("sales") - F.coalesce("own_sales", F.lit(0.0))) / others)
+    return _finished(joined, targets, similar, time_features(F.col("event_date"), as_of))
+
+
+def _finished(joined: DataFrame, targets: DataFrame, similar: Column, times: dict[str, Column]) -> DataFrame:
     out = joined.withColumns({
         "artist_popularity_score": _zero("popularity_score"),
         "similar_concert_avg_sales": _zero(similar),
         "venue_type_encoded": lookup(F.lower("venue_type"), SALES_TYPE_CODES, default=0.0),
-        **time_features(F.col("event_date"), as_of),
+        **times,
         **price_features(F.col("ticket_prices")),
     })
     keep = [c for c in targets.columns if c not in ("event_date", "ticket_prices")]
     return out.select(*keep, *[_zero(c).alias(c) for c in SALES_FEATURES])
 
 
+def as_of_totals(
+    facts: DataFrame, points: DataFrame, key: list[str], day: str, sums: dict[str, Column],
+    maxima: dict[str, Column] | None = None,
+) -> DataFrame:
+    """Totals of each key's facts of days before each point (key and day): one row per distinct point.
+
+    Facts are summed per key and day first; facts and points then stand in one order of key and day, whose prefix totals
+    are the answer, so no fact meets a point in a join. Points with a null key or day are left out.
+    """
+    maxima = maxima or {}
+    known = facts.dropna(subset=[*key, day]).groupBy(*key, day).agg(
+        *[F.sum(c).alias(n) for n, c in sums.items()], *[F.max(c).alias(n) for n, c in maxima.items()]
+    )
+    asked = points.select(*key, day).dropna().distinct().withColumn("_asked", F.lit(True))
+    merged = known.unionByName(asked, allowMissingColumns=True).groupBy(*key, day).agg(
+        F.max("_asked").alias("_asked"), *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in sums],
+        *[F.max(n).alias(n) for n in maxima],
+    )
+    return earlier_totals(merged, [day], key, list(sums), list(maxima)).filter("_asked").drop("_asked")
+
+
+def _known_before(
+    targets: DataFrame, concerts: DataFrame, artists: DataFrame, venues: DataFrame, sales: DataFrame, as_of: str,
+    lookback: int, lead: int,
+) -> DataFrame:
+    """The sales features as they were known at the start of the day ``lead`` days before each target.
+
+    History is what lies in the lookback before ``as_of`` and before that day; a concert's sales are known from the day
+    after it. The venue's rank is that of the first day of the month, over all venues with a completed concert before it,
+    and 0 where the venue had none. ``days_until_event`` is ``lead``. Targets whose artist or venue has no completed
+    concert before are left out.
+    """
+    day = F.to_date("event_date")
+    history = cut_lineage(
+        sales_history(concerts, sales).filter(F.col("event_date") >= moment(days_before(as_of, lookback)))
+        .select("artist_id", "venue_id", "status", "total_attendance", "revenue", "sales", "largest", "sold", day.alias("seen"))
+    )
+    places = venues.select("venue_id", "city", "capacity", "venue_type")
+    genre = artists.select("artist_id", "popularity_score", genre_text().alias("genre"))
+    per_genre = genre.groupBy("genre").agg(F.avg("popularity_score").alias("artist_genre_popularity"))
+    asked = targets.withColumn("seen", F.date_sub(day, lead)).join(places, "venue_id").join(
+        genre.join(per_genre, "genre"), "artist_id"
+    )
+    done = history.filter(F.col("status") == "completed")
+    sold = history.filter((F.col("sold") > 0) & F.col("artist_id").isNotNull())
+    crowd = {"crowd": F.col("total_attendance"), "counted": F.col("total_attendance").isNotNull().cast("bigint")}
+
+    def named(totals: DataFrame, prefix: str, key: list[str]) -> DataFrame:
+        return totals.select(*key, "seen", *[F.col(c).alias(f"{prefix}_{c}") for c in totals.columns if c not in (*key, "seen")])
+
+    sums = {"sales": F.col("sales"), "sold": F.col("sold")}
+    earned = {"n": F.lit(1), "earned": F.col("revenue"), "paid": F.col("revenue").isNotNull().cast("bigint")}
+    parts = [
+        ("artist", ["artist_id"], done, {**crowd, **earned}, {}),
+        ("venue", ["venue_id"], done, {**crowd, "n": F.lit(1)}, {}),
+        ("city", ["city"], history.join(places.select("venue_id", "city"), "venue_id"), {"n": F.lit(1)}, {}),
+        ("by_artist", ["artist_id"], sold, sums, {"largest": F.col("largest")}),
+        ("at_venue", ["venue_id"], sold, sums, {}),
+        ("own", ["venue_id", "artist_id"], sold, sums, {}),
+    ]
+    joined = asked
+    for prefix, key, facts, added, maxima in parts:
+        joined = joined.join(named(as_of_totals(facts, asked, key, "seen", added, maxima), prefix, key), [*key, "seen"], "left")
+    ranks = _monthly_ranks(done, as_of, lookback)
+    joined = joined.withColumn("month", F.trunc("seen", "month")).join(ranks, ["venue_id", "month"], "left").filter(
+        "artist_n > 0 AND venue_n > 0"
+    )
+    others = F.col("at_venue_sold") - F.coalesce("own_sold", F.lit(0))
+    similar = F.when(others > 0, (F.col("at_venue_sales") - F.coalesce("own_sales", F.lit(0.0))) / others)
+    joined = joined.withColumns({
+        "artist_avg_attendance": share(F.col("artist_crowd"), F.col("artist_counted")),
+        "artist_total_concerts": F.col("artist_n"),
+        "artist_avg_revenue": share(F.col("artist_earned"), F.col("artist_paid")),
+        "venue_capacity": F.col("capacity"),
+        "venue_avg_attendance_rate": share(share(F.col("venue_crowd"), F.col("venue_counted")), F.col("capacity")),
+        "venue_location_popularity": F.col("city_n"),
+        "historical_avg_sales": share(F.col("by_artist_sales"), F.col("by_artist_sold")),
+        "historical_max_sales": F.col("by_artist_largest"),
+    })
+    times = time_features(F.col("event_date"), as_of) | {"days_until_event": F.lit(float(lead))}
+    return _finished(joined, targets, similar, times)
+
+
+def _monthly_ranks(done: DataFrame, as_of: str, lookback: int) -> DataFrame:
+    """venue_id, month, venue_popularity_rank: the order by mean attendance at the start of each month of the lookback.
+
+    One row per venue and month from the month after its first concert on.
+    """
+    last = F.trunc(F.lit(as_date(as_of)), "month")
+    monthly = done.select("venue_id", "total_attendance", F.trunc("seen", "month").alias("month"))
+    step = F.expr("INTERVAL 1 MONTH")
+    points = monthly.groupBy("venue_id").agg(F.min("month").alias("first")).filter(F.col("first") < last).select(
+        "venue_id", F.explode(F.sequence(F.add_months("first", 1), last, step)).alias("month")
+    )
+    totals = as_of_totals(
+        monthly, points, ["venue_id"], "month",
+        {"crowd": F.col("total_attendance"), "counted": F.col("total_attendance").isNotNull().cast("bigint")},
+    )
+    means = totals.select("venue_id", "month", half_up(share(F.col("crowd"), F.col("counted")), 6).alias("mean"))
+    return position_within(means, ["month"], [F.desc_nulls_first("mean"), F.col("venue_id").asc()], "venue_popularity_rank").select(
+        "venue_id", "month", "venue_popularity_rank"
+    )
+
+
 def training_targets(concerts: DataFrame, sales: DataFrame, as_of: str, lookback: int = 730) -> DataFrame:
     """Completed concerts of the lookback with their sales, where there were any."""
     done = sales_history(concerts, sales).filter(

@@ -108,7 +108,7 @@ QUERIES = {
     "v09_metric_series": stage(lambda s: ev.metric_series(_by_year(s))),
     "n01_kolmogorov_smirnov": stage(lambda s: dr.kolmogorov_smirnov(_both(s))),
     "n02_population_stability": stage(lambda s: dr.population_stability(_both(s))),
-    "n03_chi_square": stage(lambda s: dr.chi_square(_both(s, ["predicted", "lines"])).drop("p_value")),
+    "n03_chi_square": stage(lambda s: dr.chi_square(_both(s, ["predicted", "lines"]))),
     "n04_prediction_drift": stage(lambda s: dr.detect_drift(_both(s, ["actual"]), "psi")),
     "n04_prediction_trigger": stage(lambda s: dr.prediction_trigger(dr.detect_drift(_both(s, ["actual"]), "psi"))),
     "n05_feature_trigger": stage(lambda s: dr.feature_trigger(dr.detect_drift(_both(s), "ks_test"), len(FEATURES))),
@@ -195,6 +195,9 @@ _PSI = """SELECT b.feature, sum(((cur + 1e-10) / (nc + 1e-9) - (base + 1e-10) /
 _CHI = """SELECT b.feature, sum((cur + 1e-10 - (base / nb * nc + 1e-10)) ** 2 / (base / nb * nc + 1e-10)) AS score
           FROM (SELECT feature, base::DOUBLE AS base, cur::DOUBLE AS cur FROM bins) b
           JOIN (SELECT feature, nb::DOUBLE AS nb, nc::DOUBLE AS nc FROM tot) t ON b.feature = t.feature GROUP BY b.feature"""
+# upper tail for 9 degrees of freedom: one minus the series of the incomplete gamma function of 9 / 2
+_CHI_TAIL = """CASE WHEN score <= 0 THEN 1 WHEN score > 600 THEN 0 ELSE greatest(0, 1 - list_sum(
+    [exp((k + 0.5) * ln(score / 2) - score / 2 - lgamma(k + 1.5)) FOR k IN range(4, 1200)])) END"""
 _KS = """
     SELECT feature, d, CASE WHEN d <= 0 THEN 1 ELSE least(greatest(2 * list_sum([
                (CASE WHEN k % 2 = 1 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END) * exp(-2.0::DOUBLE * k * k * (nb * nc / (nb + nc)) * d * d)
@@ -281,7 +284,8 @@ ORACLE = {
     "n02_population_stability": using(P, f"""{_DRIFT_HEAD}
         SELECT feature, {rd('score')} AS drift_score, score >= 0.2 AS drift_detected FROM ({_PSI})"""),
     "n03_chi_square": using(P, f"""{_DRIFT_HEAD}
-        SELECT feature, {rd('score')} AS drift_score, 9 AS degrees, score > 16.918977604620448 AS drift_detected FROM ({_CHI}) WHERE feature <> 'actual'"""),
+        SELECT feature, {rd('score')} AS drift_score, 9 AS degrees, {rd('p')} AS p_value, p < 0.05 AS drift_detected
+        FROM (SELECT feature, score, {_CHI_TAIL} AS p FROM ({_CHI}) WHERE feature <> 'actual')"""),
     "n04_prediction_drift": using(P, f"""{_DRIFT_HEAD}
         SELECT feature, 'psi' AS statistical_test, {rd('score')} AS drift_score, NULL::DOUBLE AS p_value,
                0.2::DOUBLE AS threshold, score >= 0.2 AS drift_detected FROM ({_PSI}) WHERE feature = 'actual'"""),
