@@ -73,17 +73,37 @@ def _routed(s):
     return s.spark.read.parquet(f"{folder}/counts").groupBy("outcome").agg(F.sum("records").alias("records"))
 
 
-def _sales_stream(s):
-    return _event_stream(s).filter("event_type = 'purchase'").select(
+def _sales_of(events):
+    return events.filter("event_type = 'purchase'").select(
         F.col("ts").alias("purchase_timestamp"), F.get_json_object("props", "$.k").cast("bigint").alias("concert_id"),
         F.lit(1).alias("quantity"), F.col("value").alias("total_price"))
 
 
+def _sales_stream(s):
+    return _sales_of(_event_stream(s))
+
+
 def _windows(length, slide=None):
     return stage(lambda s: pl.run_available(
         pl.sales_windows(_sales_stream(s), "purchase_timestamp", "concert_id", length, slide), "windows"))
 
 
+def _all_windows(length, slide=None):
+    """The earlier half of the events arrives and is run over, then the later half; all windows, open ones too."""
+    def build(s):
+        folder = pl.scratch_folder(s.spark, "window-table")
+        events = s.table("events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+        middle = events.agg(F.expr("timestampadd(SECOND, timestampdiff(SECOND, min(ts), max(ts)) div 2, min(ts))").alias("m"))
+        late = F.col("ts") >= middle.scalar()
+        for part in (~late, late):
+            events.filter(part).write.mode("append").parquet(f"{folder}/in")
+            stream = s.spark.readStream.schema(EVENT_TYPES).parquet(f"{folder}/in")
+            pl.run_windows(pl.sales_windows(_sales_of(stream), "purchase_timestamp", "concert_id", length, slide), folder)
+        return pl.current_windows(s.spark, folder)
+
+    return stage(build)
+
+
 def _deduplicated(s):
     doubled = _wire(_event_stream(s)).withColumn("value", F.explode(F.array("value", "value")))
     found = pl.deduplicated(en.parse(doubled).filter("problem IS NULL"))
@@ -138,6 +158,8 @@ QUERIES = {
     "s10_replayed_artists": stage(_replayed),
     "s11_hourly_sales": _windows("1 hour"),
     "s11_sliding_sales": _windows("6 hours", "2 hours"),
+    "s11_all_hourly_sales": _all_windows("1 hour"),
+    "s11_all_sliding_sales": _all_windows("6 hours", "2 hours"),
     "s12_batch_quality": stage(_quality),
 }
 
@@ -152,13 +174,13 @@ def _good_sql(kind, columns):
     return f"SELECT {columns} FROM ({_OUTCOME}) WHERE problem IS NULL AND data_type = '{kind}'"
 
 
-def _window_sql(starts, length):
+def _window_sql(starts, length, closed=True):
+    over = f"window_start + INTERVAL {length} HOUR <= (SELECT max(ts) FROM events WHERE event_type = 'purchase') - INTERVAL 10 MINUTE"
     return f"""SELECT window_start, window_start + INTERVAL {length} HOUR AS window_end, concert_id, count(*) AS sales,
         count(*) AS tickets, {rd('sum(value)')} AS revenue
     FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS concert_id, {starts} AS window_start
           FROM events WHERE event_type = 'purchase')
-    WHERE window_start + INTERVAL {length} HOUR <= (SELECT max(ts) FROM events WHERE event_type = 'purchase') - INTERVAL 10 MINUTE
-    GROUP BY 1, 2, 3"""
+    WHERE {over if closed else 'TRUE'} GROUP BY 1, 2, 3"""
 
 
 _RULE = "avg(CASE WHEN {0} THEN 1.0::DOUBLE WHEN {1} THEN 0 END) * 100"
@@ -188,6 +210,8 @@ ORACLE = {
         SELECT CAST(s_suppkey AS VARCHAR) AS artist_id, s_name AS name, 0.0::DOUBLE AS popularity_score, 'replay' AS source FROM supplier""",
     "s11_hourly_sales": _window_sql("time_bucket(INTERVAL 1 HOUR, ts)", 1),
     "s11_sliding_sales": _window_sql("time_bucket(INTERVAL 2 HOUR, ts) - to_hours(unnest([0, 2, 4]))", 6),
+    "s11_all_hourly_sales": _window_sql("time_bucket(INTERVAL 1 HOUR, ts)", 1, closed=False),
+    "s11_all_sliding_sales": _window_sql("time_bucket(INTERVAL 2 HOUR, ts) - to_hours(unnest([0, 2, 4]))", 6, closed=False),
     "s12_batch_quality": f"""
         SELECT data_type, {rd('(u * 3 + c * 3 + d * 3 + a * 2 + r) / 12')} AS overall_score, total_records, 5 AS rules_evaluated,
                (u >= 100)::INT + (c >= 100)::INT + (d >= 95)::INT + (a >= 80)::INT + (r >= 75)::INT AS rules_passed,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from encore.operators.quality import RULES, quality_summary, rule_results
-from encore.session import ensure_checkpoint_dir
+from encore.session import cut_lineage, ensure_checkpoint_dir
 from encore.streaming.envelope import PROCESSORS, ROUTES, parse
 
 TRIGGER_SECONDS = 5
@@ -112,6 +112,55 @@ def sales_windows(sales: DataFrame, when: str, key: str, length: str = "1 hour",
     )
 
 
+def kept_windows(folder: str) -> Callable[[DataFrame, int], None]:
+    """Batch writer of the windows a micro-batch has changed, with their totals so far; a repeated batch replaces itself."""
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{folder}/windows")
+
+    return keep
+
+
+def run_windows(windows: DataFrame, folder: str) -> None:
+    """Bring the window table in ``folder`` up to date with all that has arrived, and stop.
+
+    ``windows`` comes from :func:`sales_windows`. The open windows' state lies in the checkpoint beside the table, so the
+    next run goes on from it: two runs over the halves of a stream leave what one run over the whole does. Every change
+    is written, so a window is in the table from its first sale on and need not be closed to be seen.
+    """
+    windows.writeStream.outputMode("update").foreachBatch(kept_windows(folder)).option(
+        "checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+
+
+def current_windows(spark: SparkSession, folder: str, until: str | None = None) -> DataFrame:
+    """The window table: each window's newest totals, only of windows that end at ``until`` or before it if given."""
+    rows = spark.read.parquet(f"{folder}/windows")
+    totals = ["sales", "tickets", "revenue"]
+    keys = [c for c in rows.columns if c not in (*totals, "batch_id")]
+    if until is not None:
+        rows = rows.filter(F.col("window_end") <= F.lit(until).cast(rows.schema["window_end"].dataType))
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*totals), "batch_id").alias("newest"))
+    return newest.select(*keys, "newest.*")
+
+
+def compact_windows(spark: SparkSession, folder: str) -> None:
+    """Leave one row per window in the newest batch's partition; to be run between runs of the stream.
+
+    The rows of earlier batches go last, so a reader in between finds the same newest totals.
+    """
+    stored = spark.read.parquet(f"{folder}/windows")
+    batches = [r.batch_id for r in stored.select("batch_id").distinct().collect()]  # one number per micro-batch kept
+    if len(batches) < 2:
+        return
+    newest = cut_lineage(current_windows(spark, folder))
+    kept_windows(folder)(newest.select(*[c for c in stored.columns if c != "batch_id"]), max(batches))
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/windows")
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for batch_id in batches:
+        if batch_id != max(batches):
+            store.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/windows/batch_id={batch_id}"), True)
+
+
 def late_rows(when: str, delay: str, folder: str) -> Callable[[DataFrame, int], None]:
     """Batch writer that counts rows behind the newest time seen in earlier batches minus the delay.
 

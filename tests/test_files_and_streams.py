@@ -295,3 +295,29 @@ def test_venues_without_city_stay(spark):
     venues = spark.createDataFrame([(0, None, 10, "club"), (1, "x", 10, "ARENA")], "venue_id int, city string, capacity int, venue_type string")
     got = {r["venue_id"]: (r["city_popularity"], r["venue_type_encoded"]) for r in ft.venue_features(concerts, venues, AS_OF).collect()}
     assert got == {0: (0.0, 2.0), 1: (4.0, 4.0)}
+
+
+def test_windows_outlive_a_run(spark, tmp_path):
+    rows = [(f"2024-01-01T{m // 60:02d}:{m % 60:02d}:00Z", m % 3) for m in range(0, 600, 7)]
+    lines = [json.dumps({"ts": t, "concert_id": c, "quantity": 1, "total_price": 2.0}) for t, c in rows]
+
+    def run(inbox, folder):
+        stream = spark.readStream.schema("ts timestamp, concert_id int, quantity int, total_price double").json(str(inbox))
+        pl.run_windows(pl.sales_windows(stream, "ts", "concert_id", "2 hours"), str(folder))
+
+    put(tmp_path / "whole", "all.json", "\n".join(lines))
+    run(tmp_path / "whole", tmp_path / "one")
+    for i, part in enumerate((lines[:40], lines[40:41], lines[41:])):  # cut inside windows
+        put(tmp_path / "parts", f"{i}.json", "\n".join(part))
+        run(tmp_path / "parts", tmp_path / "more")
+
+    def table(folder, **how):
+        return sorted(map(tuple, pl.current_windows(spark, str(tmp_path / folder), **how).select(
+            "window_start", "window_end", "concert_id", "sales", "tickets", "revenue").collect()))
+
+    want = table("one")
+    assert sum(r[3] for r in want) == len(rows) and table("more") == want
+    assert spark.read.parquet(str(tmp_path / "more/windows")).count() > len(want)
+    pl.compact_windows(spark, str(tmp_path / "more"))
+    assert table("more") == want and spark.read.parquet(str(tmp_path / "more/windows")).count() == len(want)
+    assert table("one", until="2024-01-01 04:00:00") == [r for r in want if r[1].hour <= 4]
