@@ -38,6 +38,16 @@ def width_of(n: int, each: int = 4) -> int:
     return max(64, 1 << (each * n - 1).bit_length())
 
 
+def overlap(a: np.ndarray, b: np.ndarray) -> int:
+    """How many values two sorted arrays without repeats share: the shorter one's places in the longer one, in order."""
+    if len(a) > len(b):
+        a, b = b, a
+    if not len(a):
+        return 0
+    at = np.searchsorted(b, a)
+    return int((b[np.minimum(at, len(b) - 1)] == a).sum())
+
+
 def signature(hashes: np.ndarray, each: int = 4) -> np.ndarray:
     """Bitmap of the hashes' low bits, as uint64 words."""
     width = width_of(len(hashes), each)
@@ -208,11 +218,21 @@ def _verified(
     pairs = scratch.stored(_bounded(pairs, sets.select("node", "n", "map"), percent).distinct())
     one = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("hashes").alias("ha"))
     two = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("hashes").alias("hb"))
-    met = pairs.join(one, "a").join(two, "b").select(
-        "a", "b", "na", "nb", F.size(F.array_intersect("ha", "hb")).cast("bigint").alias("both")
-    )
-    good = (100 + percent) * F.col("both") >= percent * (F.col("na") + F.col("nb"))
-    return scratch.stored(met.where(good).select("a", "b").distinct())
+    met = pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "ha", "hb")
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            na, nb = (batch.column(i).to_numpy() for i in (2, 3))
+            both = np.array([
+                overlap(*(batch.column(c)[i].values.to_numpy(zero_copy_only=False).view(np.uint64) for c in (4, 5)))
+                for i in range(batch.num_rows)
+            ], np.int64)
+            good = (100 + percent) * both >= percent * (na + nb)
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    return scratch.stored(met.mapInArrow(run, "a bigint, b bigint").distinct())
 
 
 def _tiles(members: DataFrame, maps: DataFrame, percent: int, best: bool, scratch: Scratch) -> DataFrame:

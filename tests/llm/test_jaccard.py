@@ -108,3 +108,16 @@ def test_word_hashes(monkeypatch):
                 assert seen.setdefault(w, h) == h
         assert len(set(seen.values())) == len(seen)
     hashing._powers.clear()
+
+
+def test_overlap_of_sorted_arrays():
+    import numpy as np
+
+    from encore.llm.jaccard import overlap
+
+    rng = np.random.default_rng(6)
+    top = np.iinfo(np.uint64).max
+    for n, m in ((0, 0), (0, 5), (1, 1), (40, 3), (200, 300)):
+        a, b = (np.unique(rng.integers(0, 400, k).astype(np.uint64)) for k in (n, m))
+        a, b = (np.unique(np.append(x, top)) if k > 40 else x for x, k in ((a, n), (b, m)))
+        assert overlap(a, b) == overlap(b, a) == len(set(a.tolist()) & set(b.tolist()))
