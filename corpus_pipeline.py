@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from encore.llm import exact, jaccard, mixing, quality, tokens
+from encore.llm.common import delete_folder
 from encore.session import ensure_checkpoint_dir
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -53,11 +54,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on the documents of a folder; each result is written as Parquet and read again by the next stage."""
+    """All stages on the documents of a folder; each result is written as Parquet and read again by the next stage.
+
+    A result goes once the next stage's is written, so only the last one stays in the checkpoint folder.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for number, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{number}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
+        if number:
+            delete_folder(spark, f"{folder}/{number - 1}-{STAGES[number - 1][0]}")
         docs = spark.read.parquet(path)
     return docs
