@@ -24,9 +24,6 @@ def spans_of(text: Column, pattern: str, left: int = 0) -> Column:
     asks for as many characters before each match. Matches are gathered in chunks, and the text is never cut at a
     position, which would count its characters again, so the work of a text grows with its length and its matches.
     """
-    found = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
-    gaps = F.split(text, pattern, -1)
-    pairs = F.arrays_zip(found.alias("match"), F.slice(gaps, F.lit(1), F.size(found)).alias("gap"))
     fields = "start:int,end:int,match:string" + (",left:string" if left else "")
     none = F.array().cast(f"array<struct<{fields}>>")
 
@@ -54,9 +51,14 @@ def spans_of(text: Column, pattern: str, left: int = 0) -> Column:
             F.lit(0).alias("at"), F.lit("").alias("tail"), F.array().cast(f"array<array<struct<{fields}>>>").alias("out")
         )
         chunks = F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / CHUNK).cast("int"))
-        return F.when(F.size(pairs) > 0, F.flatten(F.aggregate(chunks, blank, chunk, lambda acc: acc["out"]))).otherwise(none)
+        return F.flatten(F.aggregate(chunks, blank, chunk, lambda acc: acc["out"]))
 
-    return let(pairs, located)
+    def zipped(found):
+        gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
+        # without a match the text is not read a second time
+        return F.when(F.size(found) > 0, let(F.arrays_zip(found.alias("match"), gaps.alias("gap")), located)).otherwise(none)
+
+    return let(F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1)), zipped)
 
 
 def none_over(spans: Column, start: Column, end: Column) -> Column:
