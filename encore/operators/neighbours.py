@@ -48,6 +48,7 @@ def cosine_neighbours(
     part is exact all the same: rows with equal strengths in the hot columns form one class. Between
     two classes the hot part of the cosine falls with the norm of the partner, so only the k + 1
     members of smallest norm of each class can be among the best partners that share no other column.
+    That holds while no strength is negative; where one is, all columns are joined.
     """
     cells = matrix.select(F.col(row).alias("r"), F.col(column).alias("c"), F.col("strength").alias("w")).filter("w <> 0")
     norms = cells.groupBy("r").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
@@ -59,6 +60,8 @@ def cosine_neighbours(
         x["c"] for x in cells.groupBy("c").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_degree)
         .orderBy(F.desc("n"), "c").limit(hot_columns).collect()
     ]
+    if hot and not cells.filter("w < 0").isEmpty():
+        hot = []
     cold = unit.filter(~F.col("c").isin(hot)) if hot else unit
     scored = _shared_columns(cold, queries)
     if hot:

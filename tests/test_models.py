@@ -142,6 +142,46 @@ def test_neighbours_with_hot_columns(spark, seed, hot_degree, hot_columns):
         assert [s for _, s in rows] == [s for _, s in found[user]], user
 
 
+def test_neighbours_with_negative_strengths(spark):
+    rng = random.Random(7)
+    cells = []
+    for user in range(40):
+        items = {rng.choice([0, 0, 0, 1, 1, rng.randint(2, 12)]) for _ in range(rng.randint(1, 5))}
+        cells += [(user, i, rng.choice([1.0, 0.5, -0.7, -0.2])) for i in items]
+    matrix = spark.createDataFrame(cells, "user_id int, concert_id int, strength double")
+    found = {}
+    for r in neighbours.cosine_neighbours(matrix, "user_id", "concert_id", 4, 0.1, hot_degree=5).orderBy("id1", "rank").collect():
+        found.setdefault(r["id1"], []).append(pytest.approx(r["similarity"], abs=2e-9))
+    assert {u: [s for _, s in v] for u, v in brute_neighbours(cells, 4, 0.1).items() if v} == found
+
+
+def test_predictions_follow_the_target(spark):
+    """The sales model explains most of an unseen part; a batch has the model's own predictions, and errors elsewhere."""
+    from pyspark.sql import functions as F
+
+    from encore.plans import features as ft
+    from encore.plans import models as md
+
+    rng = random.Random(3)
+    rows = []
+    for i in range(400):
+        x = [rng.uniform(0, 10) for _ in ft.SALES_FEATURES]
+        rows.append((i, *x, 100 + 20 * x[0] + (50 if x[5] > 5 else 0)))
+    names = ", ".join(f"{c} double" for c in ft.SALES_FEATURES)
+    features = spark.createDataFrame(rows, f"concert_id int, {names}, actual_sales double")
+    model, scores = md.train_and_test(features, "concert_id", "actual_sales", lambda d: md.train_sales_model(d, rounds=15))
+    unseen = {r["split"]: r.asDict() for r in scores.collect()}["test"]
+    assert unseen["r_squared"] > 0.7 and unseen["num_predictions"] > 40  # a constant has 0
+    known = features.filter("concert_id % 2 = 0")
+    batch = {r.concert_id: r for r in md.batch_predict(features.select("concert_id"), known, model, "concert_id").collect()}
+    own = {r.concert_id: r.predicted for r in model.transform(features).select("concert_id", "predicted").collect()}
+    assert len(batch) == 400
+    for i, r in batch.items():
+        assert (r.predicted, r.error) == ((own[i], None) if i % 2 == 0 else (None, "insufficient data for prediction"))
+    weights = md.feature_importances(model, ft.SALES_FEATURES).filter(F.col("importance") > 0.1).collect()
+    assert [w.feature for w in weights][:2] == ["artist_popularity_score", "venue_capacity"]
+
+
 def test_matrix_statistics(spark):
     rows = [("u1", "c1", 1.0, 1), ("u1", "c2", 1.0, 1), ("u2", "c1", 1.0, 1), ("u2", "c3", 0.2, 1), ("u2", "c3", 0.5, 2), ("u3", "c2", 1.0, 1)]
     matrix = neighbours.interaction_matrix(spark.createDataFrame(rows, "user_id string, concert_id string, interaction_strength double, timestamp int"))
