@@ -155,6 +155,29 @@ def test_neighbours_with_negative_strengths(spark):
     assert {u: [s for _, s in v] for u, v in brute_neighbours(cells, 4, 0.1).items() if v} == found
 
 
+def test_many_hot_columns_are_not_joined(spark, monkeypatch):
+    """No cell of a hot column goes to the join of pairs; equal rows come in the order of their ids, over several blocks."""
+    rng = random.Random(3)
+    kinds = [{i: rng.choice([1.0, 0.5, 0.2]) for i in rng.sample(range(12), rng.randint(2, 7))} for _ in range(14)]
+    cells = [(user, i, w) for user in range(70) for i, w in kinds[user % 14].items()]
+    cells += [(user, None, 0.5) for user in range(70)]
+    matrix = spark.createDataFrame(cells, "user_id int, concert_id int, strength double")
+    joined = []
+    shared = neighbours._shared_columns
+    monkeypatch.setattr(neighbours, "_shared_columns", lambda unit, queries: joined.append(unit.filter("c IS NOT NULL").count()) or shared(unit, queries))
+    monkeypatch.setattr(neighbours, "LEFT_BLOCK", 5)
+    monkeypatch.setattr(neighbours, "RIGHT_BLOCK", 4)
+    monkeypatch.setattr(neighbours, "TASK_CELLS", 50)
+    found = neighbours.cosine_neighbours(matrix, "user_id", "concert_id", 6, 0.1, hot_degree=4).orderBy("id1", "rank").collect()
+    assert joined == [0]
+    known = [(u, f"none {u}" if i is None else i, w) for u, i, w in cells]  # a column without a name is shared with nobody
+    for user, rows in brute_neighbours(known, 6, 0.1).items():
+        assert rows == [(r["id2"], pytest.approx(r["similarity"], abs=2e-9)) for r in found if r["id1"] == user]
+    some = neighbours.cosine_neighbours(
+        matrix, "user_id", "concert_id", 6, 0.1, spark.createDataFrame([(3,), (40,)], "u int"), hot_degree=4).orderBy("id1", "rank").collect()
+    assert some == [r for r in found if r["id1"] in (3, 40)]
+
+
 def test_predictions_follow_the_target(spark):
     """The sales model explains most of an unseen part; a batch has the model's own predictions, and errors elsewhere."""
     from pyspark.sql import functions as F
