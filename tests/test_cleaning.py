@@ -143,3 +143,35 @@ def test_fuzzy_scores_worked_out_by_hand():
     assert fuzzy_score("rolling stones", "stones rolling") == 1.0  # the same words
     assert fuzzy_score("arena hall", "arena hall two") == 1.0  # one text inside the other
     assert fuzzy_score("club", None) == 0.0 and fuzzy_score("abc", "xyz") == 0.0
+
+
+def test_few_stretches_are_compared(monkeypatch):
+    """The best stretch is the plain maximum over all; those that cannot win are not compared."""
+    from encore.functions import text
+
+    def plain(a, b):
+        short, long = sorted((a, b), key=len)
+        if not short or short in long:
+            return 100 if short else 0
+        either = [(short, long)] + [(long, short)] * (len(a) == len(b))
+        return max(text.ratio(x, y[i:i + len(x)]) for x, y in either for i in range(len(y)))
+
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abc 1") for _ in range(rng.randint(0, 9))) for _ in range(60)]
+    assert all(text.partial_ratio(a, b) == plain(a, b) for a in words for b in words)
+    compared = []
+    one = text._common
+    monkeypatch.setattr(text, "_common", lambda *given: compared.append(given) or one(*given))
+    assert text.partial_ratio("customer 000000001", "customer 00000000z") == 94
+    assert len(compared) < 8
+
+
+def test_fuzzy_scores_of_one_file_are_dealt_over_tasks(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    spark.createDataFrame([(i, f"Customer#{i:09d}", i % 3) for i in range(40)], "c_custkey long, c_name string, c_nationkey int").coalesce(1).write.parquet(
+        str(tmp_path / "customer.parquet"))
+    spark.createDataFrame([(i, f"NATION_{i}") for i in range(3)], "n_nationkey int, n_name string").write.parquet(str(tmp_path / "nation.parquet"))
+    scores = entry.queries()["x21_fuzzy_scores"](spark, str(tmp_path))
+    assert scores.rdd.getNumPartitions() > 1 and scores.count() == 40
+    assert scores.filter("same AND blank = 0 AND without_1 = 0.94 AND without_4 = 0.78").count() == 40
