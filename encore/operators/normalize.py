@@ -89,15 +89,25 @@ def normalize_artists(df: DataFrame, unicode_names: bool = False) -> DataFrame:
     )
 
 
+def _chained_meanings() -> dict[str, str]:
+    """What a text ends as whose first word of the chain is the key; the rest of the chain depends on that word alone.
+
+    Replacing the text step by step as an expression would double its size with every word.
+    """
+    ends = {}
+    for i, first in enumerate(CHAINED_WORDS):
+        text = VENUE_WORDS[first]
+        for word in CHAINED_WORDS[i + 1:]:
+            text = VENUE_WORDS[word] if word in text else text
+        ends[first] = text
+    return ends
+
+
 def venue_type(column: Column, compat: bool = False) -> Column:
     """Known word contained in the type. ``compat`` lets every later word of the chain overrule the earlier."""
     text = F.lower(F.trim(column))
-    if compat:
-        for word in CHAINED_WORDS:
-            text = F.when(text.contains(word), VENUE_WORDS[word]).otherwise(text)
-        return text
     expr = None
-    for word, meaning in VENUE_WORDS.items():
+    for word, meaning in (_chained_meanings() if compat else VENUE_WORDS).items():
         hit = text.contains(word)
         expr = F.when(hit, meaning) if expr is None else expr.when(hit, meaning)
     return expr.otherwise(text)

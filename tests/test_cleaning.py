@@ -175,3 +175,22 @@ def test_fuzzy_scores_of_one_file_are_dealt_over_tasks(spark, tmp_path):
     scores = entry.queries()["x21_fuzzy_scores"](spark, str(tmp_path))
     assert scores.rdd.getNumPartitions() > 1 and scores.count() == 40
     assert scores.filter("same AND blank = 0 AND without_1 = 0.94 AND without_4 = 0.78").count() == 40
+
+
+def test_chained_types_are_one_choice(spark):
+    """The chain of replacements as one flat choice, not an expression that doubles with every word."""
+    import itertools
+
+    from encore.operators.normalize import CHAINED_WORDS, VENUE_WORDS, venue_type
+
+    def chained(value):
+        text = value.strip(" ").lower()
+        for word in CHAINED_WORDS:
+            text = VENUE_WORDS[word] if word in text else text
+        return text
+
+    texts = [" Old ", "Warehouse", *(f" {a.upper()} or {b}" for a, b in itertools.product(CHAINED_WORDS, repeat=2))]
+    kind = venue_type(F.col("t"), compat=True)
+    assert str(kind).count("contains") == len(CHAINED_WORDS)
+    rows = spark.createDataFrame([(t,) for t in [*texts, None]], "t string").select("t", kind.alias("kind")).collect()
+    assert all(r["kind"] == (chained(r["t"]) if r["t"] is not None else None) for r in rows)
