@@ -12,7 +12,7 @@ from encore.registry.cleaning import _CONCERTS, _RAW_CONCERTS, _report_sql
 from encore.registry.helpers import AS_OF
 from encore.registry.sqlviews import rd, using
 from encore.registry.warehouse import POPULARITY, _popularity
-from encore.session import cut_lineage
+from encore.session import cut_lineage, shuffle_partitions
 from encore.sources import files, landed
 from encore.sources import warehouse as wh
 from encore.streaming.pipeline import scratch_folder
@@ -51,7 +51,8 @@ def _json(s):
 
 def _xml(s):
     folder = _folder(s, "xml")
-    s.names().withColumn("p", F.struct(F.col("id").alias("general"), (F.col("id") * 2).alias("vip"))).select(
+    # a file is read by one task
+    s.names().repartition(shuffle_partitions(s.spark)).withColumn("p", F.struct(F.col("id").alias("general"), (F.col("id") * 2).alias("vip"))).select(
         F.concat(F.lit("con_"), F.col("id").cast("string")).alias("concert_id"), F.col("name").alias("artist_id"),
         F.col("p").alias("ticket_prices")
     ).write.format("xml").option("rootTag", "concerts").option("rowTag", "concert").save(folder)

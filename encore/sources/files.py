@@ -178,23 +178,43 @@ def read_json(
 
 
 def record_tags(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """(path, tag): the first known record tag in each file, else the tag below the root; read line by line."""
-    opened = F.regexp_extract_all("value", F.lit(r"<([A-Za-z_][\w.-]*)"), F.lit(1))
-    lines = _lines(spark, paths).select(
-        "path", F.struct("_block", "_id").alias("at"), opened.alias("tags"),
-        *[F.col("value").rlike(rf"<{t}([\s/>]|$)").alias(f"has_{t}") for t in RECORD_TAGS],
-    ).filter(F.size("tags") > 0)
-    heads = lines.groupBy("path").agg(
-        F.min("at").alias("first"), F.min_by("tags", "at").alias("tags"),
-        *[F.max(f"has_{t}").alias(f"has_{t}") for t in RECORD_TAGS],
-    )
-    after = lines.select("path", "at", F.col("tags")[0].alias("next")).join(heads.select("path", "first"), "path").filter(
-        F.col("at") > F.col("first")
-    ).groupBy("path").agg(F.min_by("next", "at").alias("next"))
-    known = F.coalesce(*[F.when(F.col(f"has_{t}"), t) for t in RECORD_TAGS])
-    return heads.join(after, "path", "left").select(
-        "path", F.coalesce(known, F.get("tags", F.lit(1)), F.col("next")).alias("tag")
-    )
+    """(path, tag): the first known record tag in each file, else the tag below the root; read line by line.
+
+    Lines are only counted, never sorted or moved: one pass finds the known tags. Files without any are read again, first
+    for where their first two lines with a tag stand, then for these lines. The driver holds one row per file, or per
+    stretch of a file without a known tag.
+    """
+    has = {t: F.col("value").contains(f"<{t}") & F.col("value").rlike(rf"<{t}([\s/>]|$)") for t in RECORD_TAGS}
+    seen = _lines(spark, paths).groupBy("path").agg(
+        F.max(F.col("value").rlike(_TAG)).alias("tagged"), *[F.max(c).alias(t) for t, c in has.items()]
+    ).filter("tagged").collect()
+    found = [(r["path"], next((t for t in RECORD_TAGS if r[t]), None)) for r in seen]
+    other = sorted(path for path, tag in found if tag is None)
+    out = [x for x in found if x[1] is not None] + (_tags_below_root(spark, other) if other else [])
+    return spark.createDataFrame(out, "path string, tag string")
+
+
+_TAG = r"<([A-Za-z_][\w.-]*)"
+
+
+def _tags_below_root(spark: SparkSession, files: list[str]) -> list[tuple[str, str | None]]:
+    """The second tag of the first line with one, else the first tag of the next such line."""
+    lines = _lines(spark, files).filter(F.col("value").rlike(_TAG))
+
+    def starts(some: DataFrame) -> dict[str, tuple[int, int]]:
+        # the first line of every stretch, in numbers that a hash aggregation can hold
+        rows = some.groupBy("path", "_block").agg(F.min("_id").alias("_id")).collect()
+        return {p: min((r["_block"], r["_id"]) for r in rows if r["path"] == p) for p in {r["path"] for r in rows}}
+
+    first = starts(lines)
+    after = spark.createDataFrame([(p, *at) for p, at in first.items()], "path string, _first_block long, _first_id long")
+    later = F.struct("_block", "_id") > F.struct("_first_block", "_first_id")
+    second = starts(lines.join(F.broadcast(after), "path").filter(later))
+    wanted = spark.createDataFrame(
+        [(p, *at, n) for n, places in enumerate((first, second)) for p, at in places.items()], "path string, _block long, _id long, nth int")
+    tags = {(r["path"], r["nth"]): r["tags"] for r in lines.join(F.broadcast(wanted), ["path", "_block", "_id"]).select(
+        "path", "nth", F.slice(F.regexp_extract_all("value", F.lit(_TAG), F.lit(1)), 1, 2).alias("tags")).collect()}
+    return [(p, tags[p, 0][1] if len(tags[p, 0]) > 1 else tags[p, 1][0] if (p, 1) in tags else None) for p in first]
 
 
 def read_xml(spark: SparkSession, paths: str | Sequence[str], schema: str, tag: str | None = None, rows: bool = False) -> DataFrame:

@@ -321,3 +321,24 @@ def test_windows_outlive_a_run(spark, tmp_path):
     pl.compact_windows(spark, str(tmp_path / "more"))
     assert table("more") == want and spark.read.parquet(str(tmp_path / "more/windows")).count() == len(want)
     assert table("one", until="2024-01-01 04:00:00") == [r for r in want if r[1].hour <= 4]
+
+
+def test_record_tags_without_known_ones(spark, tmp_path):
+    """The tag below the root on the first or the second line with one, over files with and without known tags; no sort."""
+    put(tmp_path / "x", "a.xml", "\n<?xml version='1.0'?>\n\n<list>\n text \n<thing id='1'/><other/>\n<thing/>\n</list>")
+    put(tmp_path / "x", "b.xml", "<root><pair a='1'/></root>\n<late/>")
+    put(tmp_path / "x", "c.xml", "<row:s>\n<entry/>\n<item>1</item>\n</row:s>")
+    put(tmp_path / "x", "d.xml", "no tag at all")
+    put(tmp_path / "x", "e.xml", "<lonely>")
+    found = {r["path"].split("/")[-1]: r["tag"] for r in files.record_tags(spark, str(tmp_path / "x")).collect()}
+    assert found == {"a.xml": "thing", "b.xml": "pair", "c.xml": "item", "e.xml": None}
+
+
+def test_record_tags_sort_no_lines(spark, tmp_path, monkeypatch):
+    """The aggregation over all lines holds flags only: a sort of whole lines needs the memory of a whole file."""
+    put(tmp_path / "x", "a.xml", "<concerts>\n<concert><concert_id>1</concert_id></concert>\n</concerts>")
+    plans = []
+    collect = type(spark.range(1)).collect
+    monkeypatch.setattr(type(spark.range(1)), "collect", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or collect(df))
+    assert files.read_xml(spark, str(tmp_path / "x"), "concert_id string").count() == 1
+    assert plans and not any("Sort" in p for p in plans)
