@@ -98,18 +98,23 @@ def prepare_load(raw: DataFrame, table: str) -> DataFrame:
     """Columns of the table from raw rows, with ``_errors``: required values missing, others unreadable.
 
     Blank text counts as null, text is cut to the width of its column, dates are read in any of the
-    known forms. Columns the input lacks are null, columns the table lacks are dropped.
+    known forms. Columns the input lacks are null, columns the table lacks are dropped. ``_raw`` holds the row as JSON
+    where it has errors.
     """
     types = {f.name: f.dataType for f in raw.schema.fields}
-    values, errors = [], []
+    texts, values, errors = {}, {}, []
     for name, kind in TABLES[table].items():
-        text = _text(F.col(name), types[name]) if name in types else F.lit(None).cast("string")
-        value = _convert(text, kind)
-        values.append(value.alias(name))
+        text, value = F.col(f"_text_{name}"), F.col(f"_value_{name}")
+        texts[f"_text_{name}"] = _text(F.col(name), types[name]) if name in types else F.lit(None).cast("string")
+        values[f"_value_{name}"] = _convert(text, kind)
         errors.append(F.when(text.isNotNull() & value.isNull(), F.lit(f"{name} unreadable")))
         if name in REQUIRED.get(table, ()):
             errors.append(F.when(text.isNull(), F.lit(f"{name} missing")))
-    return raw.select(*values, F.array_compact(F.array(*errors)).alias("_errors"), F.to_json(F.struct("*")).alias("_raw"))
+    # step by step, so that no text is made and no value read twice
+    read = raw.select(F.struct("*").alias("_row"), *[c.alias(n) for n, c in texts.items()]).withColumns(values).withColumn(
+        "_errors", F.array_compact(F.array(*errors)))
+    return read.select(
+        *[F.col(f"_value_{n}").alias(n) for n in TABLES[table]], "_errors", F.when(F.size("_errors") > 0, F.to_json("_row")).alias("_raw"))
 
 
 QUARANTINE = "table_name string, started timestamp_ntz, errors array<string>, raw_line string, load_id string"

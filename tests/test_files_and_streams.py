@@ -342,3 +342,12 @@ def test_record_tags_sort_no_lines(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(type(spark.range(1)), "collect", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or collect(df))
     assert files.read_xml(spark, str(tmp_path / "x"), "concert_id string").count() == 1
     assert plans and not any("Sort" in p for p in plans)
+
+
+def test_raw_lines_are_kept_of_bad_rows_only(spark):
+    raw = spark.createDataFrame([("1", "x", "5"), ("2", None, "many"), (None, "y", None)], "artist_id string, name string, popularity_score string")
+    rows = wh.prepare_load(raw, "artists").orderBy("name").collect()
+    assert [(r["artist_id"], r["name"], list(r["_errors"])) for r in rows] == [
+        ("2", None, ["name missing", "popularity_score unreadable"]), ("1", "x", []), (None, "y", ["artist_id missing"])]
+    assert [r["_raw"] and json.loads(r["_raw"]) for r in rows] == [
+        {"artist_id": "2", "popularity_score": "many"}, None, {"name": "y"}]
