@@ -12,9 +12,11 @@ from encore.functions.similarity import (
 )
 from encore.operators.neighbours import matrix_statistics, similar_concerts, similar_users
 from encore.operators.ordering import position_within, running_sums
-from encore.session import cut_lineage
+from encore.session import cut_lineage, shuffle_partitions
 
 NEIGHBOURS = 20
+# listed concerts one task ranks, and the length of all lists up to which every task gets them
+TASK_ROWS, SENT_ROWS = 2_000_000, 100_000
 STRATEGIES = (
     "collaborative_user", "collaborative_item", "content_artist", "content_venue", "content_hybrid", "hybrid_all",
 )
@@ -293,41 +295,50 @@ def concerts_by_preference(
 ) -> DataFrame:
     """Concerts of the preferred (score 1) and similar entities; ``entity`` is artist_id or venue_id.
 
-    All concerts of an entity share its score, so of each entity only its first concerts by id can be
-    among the best k, and only entities before which fewer than k concerts were found. Both bounds
-    count the concerts a user excludes, so none is lost.
+    A concert among a user's best k stands, in the list of the preferred entity that gives it its score, behind fewer
+    than k concerts besides those the user excludes. So each preferred entity gets one list of its best concerts, however
+    many users share it, and a user reads as much of it as can count; the exclusions are counted per user and list.
     """
-    preferences = preferences.select("user_id", entity).distinct()
-    scores = _preference_scores(preferences, similar, entity).unionByName(
-        preferences.withColumn("score", F.lit(1.0))
-    ).groupBy("user_id", entity).agg(F.max("score").alias("score"))
-    placed = position_within(
-        concerts.filter(F.col(entity).isNotNull()).select("concert_id", entity), [entity], [F.col("concert_id").asc()], "place"
+    preferences = preferences.select("user_id", F.col(entity).alias("_liked")).distinct()
+    liked = preferences.select("_liked").distinct()
+    near = cut_lineage(
+        similar.select(F.col("id1").alias("_liked"), F.col("id2").alias(entity), "similarity").join(liked, "_liked", "left_semi")
+        .unionByName(liked.select("_liked", F.col("_liked").alias(entity), F.lit(1.0).alias("similarity")))
+        .filter(F.col(entity).isNotNull()).groupBy("_liked", entity).agg(F.max(_stable(F.col("similarity"))).alias("score"))
     )
-    sizes = placed.groupBy(entity).agg(F.max("_size").alias("size"))
-    wanted = scores.join(sizes, entity)
+    held = cut_lineage(concerts.select("concert_id", entity).join(near.select(entity).distinct(), entity, "left_semi"))
+    wanted = preferences.withColumn("dropped", F.lit(0).cast("bigint"))
     if exclude is not None:
         dropped = exclude.select("user_id", "concert_id").distinct()
-        per_entity = dropped.join(placed.select("concert_id", entity), "concert_id").groupBy("user_id", entity).agg(
-            F.count(F.lit(1)).alias("dropped")
-        )
-        wanted = wanted.join(per_entity, ["user_id", entity], "left").fillna(0, ["dropped"])
-    else:
-        wanted = wanted.withColumn("dropped", F.lit(0))
-    before = Window.partitionBy("user_id").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, -1)
-    tied = Window.partitionBy("user_id", "score")
-    needed = (
-        wanted.withColumn("found", F.coalesce(F.sum(F.col("size") - F.col("dropped")).over(before), F.lit(0)))
-        .withColumn("found", F.min("found").over(tied))
-        .filter(F.col("found") < k)
-        .withColumn("take", F.least(F.col("size"), F.col("dropped") + k).cast("bigint"))
-        .select("user_id", entity, "score", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("take"))).alias("place"))
+        counts = cut_lineage(dropped.join(held, "concert_id").groupBy("user_id", entity).agg(F.count(F.lit(1)).alias("n")))
+        per_list = counts.join(near.select("_liked", entity), entity).groupBy("user_id", "_liked").agg(F.sum("n").alias("dropped"))
+        wanted = preferences.join(per_list, ["user_id", "_liked"], "left").fillna(0, ["dropped"])
+    wanted = cut_lineage(wanted.withColumn("take", F.col("dropped") + k))
+    reach = wanted.groupBy("_liked").agg(F.max("take").alias("reach"))
+    sums = wanted.agg(F.max("take").alias("most"), F.sum("take").alias("all")).first()
+    by_id = Window.partitionBy(entity).orderBy("concert_id")
+    placed = held.withColumn("place", F.row_number().over(by_id)).filter(F.col("place") <= (sums["most"] or k))
+    by_score = Window.partitionBy("_liked").orderBy(F.desc("score"), "concert_id")
+    lists = cut_lineage(
+        near.join(reach, "_liked").join(placed, entity).filter("place <= reach")
+        .withColumn("nth", F.row_number().over(by_score)).filter("nth <= reach").drop("reach")
     )
-    listed = needed.join(placed.select("concert_id", entity, "place"), [entity, "place"])
+    if lists.count() <= SENT_ROWS:
+        # a row here becomes ``take`` rows, so tasks are cut by these
+        parts = max(shuffle_partitions(lists.sparkSession), (sums["all"] or 0) // TASK_ROWS)
+        listed = wanted.repartition(parts, "user_id").join(F.broadcast(lists), "_liked")
+    else:
+        listed = wanted.join(lists, "_liked")
+    listed = listed.filter("nth <= take")
+    # a concert row is its entity and place, so that repeated ids stay
+    found = listed.groupBy("user_id", entity, "place", F.col("concert_id").alias("item_id")).agg(F.max("score").alias("score"))
     if exclude is not None:
-        listed = listed.join(dropped, ["user_id", "concert_id"], "left_anti")
-    found = listed.select("user_id", F.col("concert_id").alias("item_id"), "score")
-    return _best(found, k).join(_confidence(preferences, entity), "user_id").select(
+        spare = counts.groupBy("user_id").agg(F.sum("n").alias("spare"))
+        order = Window.partitionBy("user_id").orderBy(F.desc(_stable(F.col("score"))), "item_id")
+        found = found.withColumn("nth", F.row_number().over(order)).join(spare, "user_id", "left").filter(
+            F.col("nth") <= F.coalesce("spare", F.lit(0)) + k)
+        found = found.join(dropped.withColumnRenamed("concert_id", "item_id"), ["user_id", "item_id"], "left_anti")
+    return _best(found, k).join(_confidence(preferences.withColumnRenamed("_liked", entity), entity), "user_id").select(
         "user_id", "item_id", "rank", "score", "confidence"
     )
 

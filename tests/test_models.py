@@ -298,3 +298,40 @@ def test_similar_venues_equal_all_pairs(spark):
         few.setdefault(a, []).append(v)
     for r in recommend.similar_venues(venues, venues.select("venue_id"), 4).collect():
         assert abs(r["similarity"] - sorted(few[r["id1"]], reverse=True)[r["rank"] - 1]) < 1e-6
+
+
+@pytest.mark.parametrize("sent", [0, 100_000])
+def test_preferred_concerts_are_listed_once_per_entity(spark, monkeypatch, sent):
+    rng = random.Random(5)
+    # thirty artists of equal similarity to each preferred one, repeated concert rows, exclusions
+    concerts = [(rng.randrange(400), rng.randrange(40)) for _ in range(600)] + [(7, None), (None, 3)]
+    near = [(e, x, rng.choice([1.0, 1.0, 0.5])) for e in range(5) for x in rng.sample(range(40), 30) if x != e]
+    liked = [(u, e) for u in range(12) for e in rng.sample(range(6), 3)] + [(0, None), (12, 39)]
+    excluded = [(u, rng.randrange(200)) for u in range(12) for _ in range(u * 4)]
+    k, rows = 4, []
+    best = recommend._best
+
+    def counted(scored, n):
+        rows.append(scored.count())
+        return best(scored, n)
+
+    monkeypatch.setattr(recommend, "_best", counted)
+    monkeypatch.setattr(recommend, "SENT_ROWS", sent, raising=False)
+    found = recommend.concerts_by_preference(
+        spark.createDataFrame(liked, "user_id long, artist_id long"),
+        spark.createDataFrame(near, "id1 long, id2 long, similarity double"),
+        spark.createDataFrame(concerts, "concert_id long, artist_id long"), "artist_id", k,
+        spark.createDataFrame(excluded, "user_id long, concert_id long"),
+    ).collect()
+    want = []
+    for user in range(13):
+        scores = {e: 1.0 for u, e in liked if u == user and e is not None}
+        for e, x, s in near:
+            if (user, e) in liked:
+                scores[x] = max(scores.get(x, 0.0), s)
+        listed = [(-scores[e], -1 if c is None else c) for c, e in concerts if e in scores and (user, c) not in excluded]
+        want += [(user, n, s, c) for n, (s, c) in enumerate(sorted(listed)[:k], 1)]
+    got = [(r["user_id"], r["rank"], -r["score"], -1 if r["item_id"] is None else r["item_id"]) for r in found]
+    assert sorted(got) == sorted(want)
+    # what is ranked does not grow with the number of similar artists
+    assert rows[0] <= 13 * k + 2 * len(excluded)
