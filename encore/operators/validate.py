@@ -186,8 +186,10 @@ def _cleaned(df: DataFrame, data_type: str) -> DataFrame:
 def mark(df: DataFrame, data_type: str, as_of: str) -> DataFrame:
     """Add ``errors``: the names of the violated rules in rule order."""
     df = lift_location(df)
-    named = [F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in violations(df, data_type, as_of).items()]
-    return df.withColumn("errors", F.filter(F.array(*named), lambda x: x.isNotNull()))
+    # lists put together instead of one list filtered by a function, which Spark would not compile
+    none = F.array().cast("array<string>")
+    named = [F.when(c, F.array(F.lit(n))).otherwise(none) for n, c in violations(df, data_type, as_of).items()]
+    return df.withColumn("errors", F.concat(*named))
 
 
 def split(df: DataFrame, data_type: str, as_of: str) -> tuple[DataFrame, DataFrame]:

@@ -284,7 +284,7 @@ def batch_report(records: DataFrame, data_type: str, as_of: str) -> DataFrame:
     if CORRUPT in marked.columns:
         broken = F.when(F.col(CORRUPT).isNotNull(), F.array(F.lit("unreadable record")))
         marked = marked.withColumn("errors", F.coalesce(broken, "errors"))
-    name = F.regexp_extract("_source_file", r"([^/]+)$", 1)
+    name = F.substring_index("_source_file", "/", -1)
     return upload_report(marked.withColumn("file_name", name), by="file_name")
 
 

@@ -351,3 +351,19 @@ def test_raw_lines_are_kept_of_bad_rows_only(spark):
         ("2", None, ["name missing", "popularity_score unreadable"]), ("1", "x", []), (None, "y", ["artist_id missing"])]
     assert [r["_raw"] and json.loads(r["_raw"]) for r in rows] == [
         {"artist_id": "2", "popularity_score": "many"}, None, {"name": "y"}]
+
+
+def test_batch_report_is_compiled(spark):
+    records = spark.createDataFrame(
+        [("s1", "c", "u", "vip", 2, 5.0, 10.0, "2024-01-01 10:00:00", "cash", "file:/a/b/x.json"),
+         ("s2", None, "u", None, 2, 5.0, 11.0, None, "", "file:/a/b/x.json"),
+         ("s3", "c", "u", "vip", None, 5.0, None, "2030-01-01", None, "y.json")], f"{RECORDS['ticket_sales']}, _source_file string")
+    report = files.batch_report(records, "ticket_sales", "2024-06-01")
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and "regexp" not in plan
+    assert {r["file_name"]: (r["records_processed"], r["records_failed"]) for r in report.collect()} == {"x.json": (2, 1), "y.json": (1, 1)}
+    errors = {r["sale_id"]: r["errors"] for r in files.mark(records, "ticket_sales", "2024-06-01").collect()}
+    assert errors == {
+        "s1": [], "s2": ["concert_id missing", "ticket_tier unknown", "total_price does not match", "purchase_timestamp missing"],
+        "s3": ["quantity out of range", "total_price out of range", "purchase_timestamp in the future"],
+    }
