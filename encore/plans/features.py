@@ -271,11 +271,12 @@ def _known_before(
         .select("artist_id", "venue_id", "status", "total_attendance", "revenue", "sales", "largest", "sold", day.alias("seen"))
     )
     places = venues.select("venue_id", "city", "capacity", "venue_type")
-    genre = artists.select("artist_id", "popularity_score", genre_text().alias("genre"))
+    genre = cut_lineage(artists.select("artist_id", "popularity_score", genre_text().alias("genre")))
     per_genre = genre.groupBy("genre").agg(F.avg("popularity_score").alias("artist_genre_popularity"))
-    asked = targets.withColumn("seen", F.date_sub(day, lead)).join(places, "venue_id").join(
+    # every statistic reads these rows, so the facts behind them are scanned once
+    asked = cut_lineage(targets.withColumn("seen", F.date_sub(day, lead)).join(places, "venue_id").join(
         genre.join(per_genre, "genre"), "artist_id"
-    )
+    ))
     done = history.filter(F.col("status") == "completed")
     sold = history.filter((F.col("sold") > 0) & F.col("artist_id").isNotNull())
     crowd = {"crowd": F.col("total_attendance"), "counted": F.col("total_attendance").isNotNull().cast("bigint")}

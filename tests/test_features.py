@@ -80,3 +80,26 @@ def test_no_label_in_its_own_history(spark):
     early = built(labels, lead=25)
     assert early[10]["artist_total_concerts"] == 4 and early[10]["venue_location_popularity"] == 8
     assert early[10]["days_until_event"] == 25
+
+
+def test_point_in_time_features_read_the_targets_once(spark, monkeypatch):
+    day = lambda n: dt.datetime(2020, 1, 1) + dt.timedelta(days=n)
+    concerts = spark.createDataFrame(
+        [(i, i % 3, i % 4, day(i * 5), "completed", 10 * i, 5.0 * i) for i in range(60)],
+        "concert_id int, artist_id int, venue_id int, event_date timestamp, status string, total_attendance int, revenue double",
+    )
+    sales = spark.createDataFrame([(i, 2, 3.0) for i in range(60)], "concert_id int, quantity int, unit_price double")
+    artists = spark.createDataFrame([(i, 50.0, ["rock"]) for i in range(3)], "artist_id int, popularity_score double, genre array<string>")
+    venues = spark.createDataFrame([(i, "x", 100, "club") for i in range(4)], "venue_id int, city string, capacity int, venue_type string")
+    prices = F.create_map(F.lit("general"), F.lit(10.0))
+    targets = ft.training_targets(concerts.withColumn("ticket_prices", prices), sales, "2021-01-01")
+    plans, totals = [], ft.as_of_totals
+
+    def seen(facts, points, *more):
+        plans.append(points._jdf.queryExecution().optimizedPlan().toString())
+        return totals(facts, points, *more)
+
+    monkeypatch.setattr(ft, "as_of_totals", seen)
+    rows = ft.sales_features(targets, concerts, artists, venues, sales, "2021-01-01", point_in_time=True, lead=30).collect()
+    assert len(plans) == 7 and all("Join" not in p for p in plans[:6])
+    assert {r["concert_id"] for r in rows} == {t for t in range(60) if t - 6 > max(t % 3, t % 4)}
