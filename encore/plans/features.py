@@ -379,8 +379,6 @@ def demo_venue_features(concerts: DataFrame, venues: DataFrame) -> DataFrame:
         "revenue_per_seat": share(F.col("total_revenue"), F.col("capacity")),
         "concerts_per_month": F.col("total_concerts") / 12,
     })
-    # one row per venue, read for the peaks and for the target
-    base = cut_lineage(base)
     peaks = base.agg(F.struct(F.max("total_revenue").alias("r"), F.max("total_concerts").alias("c")).alias("p")).scalar()
     target = (
         F.col("avg_capacity_utilization") * 0.4
