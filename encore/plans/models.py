@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -23,6 +24,9 @@ DEMO_SALES_FEATURES = (
     "is_weekend", "venue_type_encoded",
 )
 
+#: From so many rows on, training deals them out, and gives no part more than so many.
+DEALT_ROWS, PART_ROWS = 100_000, 2_000_000
+
 
 def training_rows(features: DataFrame, target: str, names: Sequence[str]) -> DataFrame:
     """Target first, then the features in their order, rows with nulls dropped."""
@@ -38,12 +42,22 @@ def _pipeline(names: Sequence[str], regressor, encode: bool = False) -> Pipeline
     return Pipeline(stages=stages)
 
 
+def dealt(features: DataFrame) -> DataFrame:
+    """All rows in equal parts, as many as there are task slots, or a multiple of that where parts would be too large.
+
+    Training makes hundreds of short passes, and each waits for its last task; as the joins before leave the rows, one part
+    more than there are slots doubles every pass, and the parts become more with the input. Few rows stay as they lie.
+    """
+    rows, slots = features.count(), features.sparkSession.sparkContext.defaultParallelism
+    return features if rows < DEALT_ROWS else features.repartition(slots * math.ceil(rows / (slots * PART_ROWS)))
+
+
 def train_venue_model(features: DataFrame, target: str = "popularity_score", rounds: int = 100, seed: int = 42) -> PipelineModel:
     boost = GBTRegressor(
         featuresCol="features", labelCol=target, predictionCol="predicted", maxIter=rounds, maxDepth=5, stepSize=0.2,
         subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=seed,
     )
-    return _pipeline(VENUE_FEATURES, boost).fit(features)
+    return _pipeline(VENUE_FEATURES, boost).fit(dealt(features))
 
 
 def train_sales_model(features: DataFrame, target: str = "actual_sales", rounds: int = 150, seed: int = 42) -> PipelineModel:
@@ -51,7 +65,7 @@ def train_sales_model(features: DataFrame, target: str = "actual_sales", rounds:
         featuresCol="features", labelCol=target, predictionCol="predicted", maxIter=rounds, maxDepth=6, stepSize=0.1,
         subsamplingRate=0.8, featureSubsetStrategy="0.8", minInstancesPerNode=3, seed=seed,
     )
-    return _pipeline(SALES_FEATURES, boost).fit(features)
+    return _pipeline(SALES_FEATURES, boost).fit(dealt(features))
 
 
 def train_demo_venue_model(features: DataFrame, trees: int = 100, seed: int = 42) -> PipelineModel:
@@ -59,7 +73,7 @@ def train_demo_venue_model(features: DataFrame, trees: int = 100, seed: int = 42
         featuresCol="features", labelCol="popularity_score", predictionCol="predicted", numTrees=trees, maxDepth=10,
         seed=seed,
     )
-    return _pipeline(DEMO_VENUE_FEATURES, forest, encode=True).fit(features)
+    return _pipeline(DEMO_VENUE_FEATURES, forest, encode=True).fit(dealt(features))
 
 
 def train_demo_sales_model(features: DataFrame, rounds: int = 100, seed: int = 42) -> PipelineModel:
@@ -67,7 +81,7 @@ def train_demo_sales_model(features: DataFrame, rounds: int = 100, seed: int = 4
         featuresCol="features", labelCol="total_tickets_sold", predictionCol="predicted", maxIter=rounds, maxDepth=5,
         stepSize=0.1, seed=seed,
     )
-    return _pipeline(DEMO_SALES_FEATURES, boost, encode=True).fit(features)
+    return _pipeline(DEMO_SALES_FEATURES, boost, encode=True).fit(dealt(features))
 
 
 def train_and_test(features: DataFrame, key: str, target: str, train) -> tuple[PipelineModel, DataFrame]:

@@ -335,3 +335,30 @@ def test_preferred_concerts_are_listed_once_per_entity(spark, monkeypatch, sent)
     assert sorted(got) == sorted(want)
     # what is ranked does not grow with the number of similar artists
     assert rows[0] <= 13 * k + 2 * len(excluded)
+
+
+def test_training_rows_are_dealt_over_all_slots(spark, monkeypatch):
+    """However the joins left the rows, training reads equal parts, one a slot, or more where they would be too large."""
+    from encore.plans import models as md
+
+    monkeypatch.setattr(md, "DEALT_ROWS", 100)
+    slots, seen = spark.sparkContext.defaultParallelism, []
+    recorder = type("Recorder", (), {"fit": lambda self, df: seen.append(df)})()
+    monkeypatch.setattr(md, "_pipeline", lambda *a, **b: recorder)
+
+    def sizes(df):
+        parts = df.groupBy(F.spark_partition_id().alias("part")).count().collect()
+        return sorted(r["count"] for r in parts)
+
+    rows = [(i % 50, None if i % 7 == 0 else "club") for i in range(601)]  # repeated rows, nulls
+    one = spark.createDataFrame(rows, "concert_id int, venue_type string").coalesce(1)
+    uneven = one.union(spark.createDataFrame(rows[:40], one.schema).repartition(7))
+    for train in (md.train_venue_model, md.train_sales_model, md.train_demo_venue_model, md.train_demo_sales_model):
+        for given in (one, uneven):
+            train(given)
+            got = sizes(seen[-1])
+            assert len(got) == slots and got[-1] - got[0] <= 8
+            assert sorted(map(str, seen[-1].collect())) == sorted(map(str, given.collect()))
+    monkeypatch.setattr(md, "PART_ROWS", 100)
+    assert len(sizes(md.dealt(one))) == slots * -(-601 // (slots * 100))
+    assert sizes(md.dealt(one.limit(99))) == [99]
