@@ -285,7 +285,7 @@ def _tiles(members: DataFrame, maps: DataFrame, percent: int, best: bool, scratc
     return rows.groupBy("bucket").applyInArrow(compare, "a bigint, b bigint").distinct()
 
 
-def _merged(names: DataFrame, more: DataFrame) -> DataFrame:
+def _merged(names: DataFrame, more: DataFrame, scratch: Scratch) -> DataFrame:
     """Components (node, component) after further links; only the names of the known ones go round again."""
     own = names.select(F.col("node").alias("a"), F.col("component").alias("na"))
     other = names.select(F.col("node").alias("b"), F.col("component").alias("nb"))
@@ -296,7 +296,7 @@ def _merged(names: DataFrame, more: DataFrame) -> DataFrame:
     known = names.join(
         joined.withColumnRenamed("node", "old").withColumnRenamed("component", "new"), F.col("component") == F.col("old"), "left"
     ).select("node", F.coalesce("new", "component").alias("component"))
-    return cut_lineage(known.unionByName(joined.join(names.select("node"), "node", "left_anti")))
+    return scratch.stored(known.unionByName(joined.join(names.select("node"), "node", "left_anti")))
 
 
 def jaccard_components(
@@ -377,7 +377,7 @@ def jaccard_components(
         )
         more = _verified(scratch.stored(rest), slim, index, words, percent, scratch)
         if more.limit(1).count():
-            names = _merged(names, more)
+            names = _merged(names, more, scratch)
     named = index.join(names, "node", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), "node", F.coalesce("component", "node").alias("component")
     )

@@ -8,6 +8,7 @@ import plain
 import pytest
 
 from encore.llm import graph, hashing, jaccard
+from encore.llm.common import Scratch
 
 
 def run(spark, rows):
@@ -86,6 +87,32 @@ def test_components(spark):
     assert got == name
 
 
+def test_components_of_long_chains(spark, monkeypatch):
+    """Few rounds, and no estimate that grows from round to round."""
+    rounds, stored = [], Scratch.stored
+    monkeypatch.setattr(Scratch, "stored", lambda self, df: rounds.append(df.columns) or stored(self, df))
+    rng = random.Random(5)
+    names = list({rng.getrandbits(63) - (1 << 62) for _ in range(600)})
+    chains = [names[:400], names[400:599], names[599:] * 2]  # the last is a link with itself
+    links = [pair for chain in chains for pair in zip(chain, chain[1:])]
+    found = graph.components(spark.createDataFrame(links, "a bigint, b bigint"))
+    assert {r.node: r.component for r in found.collect()} == {n: min(chain) for chain in chains for n in chain}
+    assert found.count() == 600
+    assert rounds.count(["a", "name", "old"]) <= 14
+    assert len(str(found._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < 12
+
+
+def test_merged_components(spark):
+    """Names of known components and further links are one graph, also when later links join what was apart."""
+    rng = random.Random(8)
+    first, more = ([(rng.randrange(300), rng.randrange(300)) for _ in range(n)] for n in (90, 60))
+    frame = lambda links: spark.createDataFrame(links, "a bigint, b bigint")
+    got = jaccard._merged(graph.components(frame(first)), frame(more), Scratch(spark))
+    want = graph.components(frame(first + more))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert len(str(got._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < 12
+
+
 def test_bit_table(spark):
     values = [0, 1, -1, 2**40 + 5, -(2**50), 32767, 32768, (1 << 24) - 1, hashing.TABLE_BITS - 1]
     table = hashing.bit_table(spark.createDataFrame([(v,) for v in values], "v bigint"), "v")
